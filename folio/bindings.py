@@ -97,3 +97,93 @@ def doc_text_from_titlepages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B3 as the ``doc_text`` input of J18."""
     b = run_binding(spark, sf_dir, B3_TITLEPAGES)
     return b.selectExpr("k AS thesis_id", "n_pages", "least(20, n_pages) AS kept", "text")
+
+
+# B4 -- attached files, one per line item. ``pos`` is the listing position; it
+# orders on every column because (l_orderkey, l_linenumber) is not unique.
+B4_FILES = """
+WITH li AS (
+  SELECT l.*,
+         CAST(row_number() OVER (
+           PARTITION BY l_orderkey
+           ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS INT) AS pos
+  FROM {lineitem} l
+)
+SELECT l_orderkey AS thesis_id,
+  pos,
+  CAST(CASE WHEN l_suppkey % 10 = 0 THEN 'Yfirlýsing um meðferð ' || CAST(l_partkey AS STRING) || '.pdf'
+            WHEN l_suppkey % 10 = 5 THEN 'declaration_' || CAST(l_partkey AS STRING) || '.pdf'
+            WHEN l_suppkey % 10 = 7 THEN 'yfirl.pdf'
+            ELSE 'ritgerd_' || CAST(l_partkey AS STRING) || '.pdf' END AS STRING) AS filename,
+  CAST(CASE l_returnflag WHEN 'A' THEN 'Heildartexti' WHEN 'N' THEN 'Yfirlýsing'
+            ELSE CASE WHEN l_partkey % 4 = 0 THEN 'Viðauki' END END AS STRING) AS description,
+  CAST(CASE WHEN l_partkey % 6 = 0 THEN 'ZIP' WHEN l_partkey % 6 = 1 THEN 'pdf' ELSE 'PDF' END AS STRING)
+    AS filetype,
+  CAST(CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE round(l_extendedprice * 100) END AS BIGINT)
+    AS size_bytes,
+  CAST(CASE l_returnflag WHEN 'R' THEN NULL WHEN 'A' THEN 'Opinn'
+            ELSE 'Lokaður til ' || lpad(CAST(day(l_shipdate) AS STRING), 2, '0') || '.'
+                 || lpad(CAST(month(l_shipdate) AS STRING), 2, '0') || '.'
+                 || CAST(year(l_shipdate) AS STRING) END AS STRING) AS access,
+  CAST('/bitstream/1946/' || CAST(l_orderkey AS STRING) || '/' || CAST(pos AS STRING) || '/file.pdf'
+       AS STRING) AS url
+FROM li
+"""
+
+# B6 -- bibliographic state per thesis: degree level by order priority (one
+# priority class carries none), and the theses whose title page is already
+# loaded (orders with status F).
+B6_METADATA = """
+SELECT o_orderkey AS thesis_id,
+  CAST(CASE substring(o_orderpriority, 1, 1) WHEN '1' THEN 'master' WHEN '2' THEN 'bachelor'
+       WHEN '3' THEN 'master' WHEN '5' THEN 'phd' END AS STRING) AS degree_level
+FROM {orders}
+"""
+B6_PARSED = """
+SELECT o_orderkey AS thesis_id FROM {orders} WHERE o_orderstatus = 'F'
+"""
+
+# B10 -- fetch outcomes: an 'error' event is a fetch attempt whose parts are
+# derived from the event's k; a 'purchase' event is a clean fetch.
+B10_OUTCOMES = """
+WITH e AS (
+  SELECT event_id, user_id, ts, event_type, value,
+         CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k
+  FROM {events}
+  WHERE event_type IN ('error', 'purchase')
+)
+SELECT event_id,
+  user_id AS thesis_id,
+  ts AS at_ts,
+  CAST('https://repository.example/bitstream/1946/' || CAST(user_id AS STRING) || '/1/'
+       || CAST(event_id AS STRING) || '.pdf' AS STRING) AS pdf_url,
+  CAST(CASE WHEN event_type = 'purchase' THEN 200
+            ELSE CASE k % 6 WHEN 0 THEN 200 WHEN 1 THEN 403 WHEN 2 THEN 404 WHEN 3 THEN 410
+                            WHEN 4 THEN 500 ELSE 503 END END AS INT) AS http_status,
+  CAST(CASE WHEN event_type = 'purchase' OR k % 4 <> 0 THEN '%PDF-' ELSE '<html' END AS STRING) AS magic,
+  CAST(round(value * 1000) AS BIGINT) AS expected_bytes,
+  CAST(CASE WHEN event_type = 'error' AND k % 5 = 1 THEN round(value * 1000) - 1
+            ELSE round(value * 1000) END AS BIGINT) AS received_bytes,
+  CASE WHEN event_type = 'error' AND k % 7 = 2 THEN FALSE ELSE TRUE END AS readable,
+  CAST(CASE WHEN event_type = 'purchase' THEN 1 + k ELSE 0 END AS INT) AS text_chars,
+  CAST(CASE WHEN event_type = 'purchase' OR k % 3 = 0 THEN 1 + k % 40 END AS INT) AS n_pages
+FROM e
+"""
+
+
+def files_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 as the ``files`` input of the elections."""
+    return run_binding(spark, sf_dir, B4_FILES)
+
+
+def metadata_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B6_METADATA)
+
+
+def parsed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B6_PARSED)
+
+
+def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B10_OUTCOMES)

@@ -6,13 +6,19 @@ and runs one job from SURVEY section 2 over the whole table.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from folio import bindings as B
+from folio.session import read_table
+
+from folio.operators import election, ledger
 from folio.operators.titlepage import extract_titlepage
-from folio.plans import reports
+from folio.plans import queue, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +43,98 @@ def q_faculty_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.faculty_summary(extract_titlepage(B.doc_text_from_titlepages(spark, sf_dir)))
 
 
+# The planning date is an argument, never the clock, so plans are reproducible.
+AS_OF = dt.date(2000, 1, 1)
+
+
+def thesis_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with their elected role, as the queue reads them."""
+    return election.elect_primary_scored(B.files_from_lineitem(spark, sf_dir))
+
+
+def failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.merge_failures(ledger.classify_fetch(B.fetch_outcomes(spark, sf_dir)))
+
+
+def q_elect_primary_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return thesis_file(spark, sf_dir).select("thesis_id", "pos", "filename", "role")
+
+
+def q_elect_primary_tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = election.elect_primary_tiered(B.files_from_lineitem(spark, sf_dir))
+    return f.select("thesis_id", "pos", "filename", "role")
+
+
+def q_queue_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return election.queue_candidates(thesis_file(spark, sf_dir), AS_OF)
+
+
+def q_queue_candidate_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return election.queue_candidates_window(thesis_file(spark, sf_dir), AS_OF)
+
+
+def _queue(spark: SparkSession, sf_dir: str, **opts) -> DataFrame:
+    return queue.plan_queue(
+        B.metadata_levels(spark, sf_dir),
+        thesis_file(spark, sf_dir),
+        B.parsed_ids(spark, sf_dir),
+        failure_ledger(spark, sf_dir),
+        as_of=AS_OF,
+        **opts,
+    )
+
+
+def q_queue_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queue(spark, sf_dir)
+
+
+def q_queue_plan_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explicit ids: the theses that have a fetch outcome on record."""
+    ids = B.fetch_outcomes(spark, sf_dir).select("thesis_id")
+    return _queue(spark, sf_dir, ids=ids)
+
+
+def q_queue_plan_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offline: the candidate set is the theses with cached text."""
+    cached = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("thesis_id"))
+    return _queue(spark, sf_dir, cached_ids=cached)
+
+
+def q_queue_plan_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The next 100 fetches, files over 5 MB skipped, closed files included."""
+    return _queue(spark, sf_dir, max_bytes=5_000_000, include_closed=True, limit=100)
+
+
+def q_fetch_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = ledger.classify_fetch(B.fetch_outcomes(spark, sf_dir))
+    return c.select("event_id", "thesis_id", "ok", "reason", "permanent")
+
+
+def q_failure_ledger_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return failure_ledger(spark, sf_dir)
+
+
+def q_failure_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.failure_report(failure_ledger(spark, sf_dir))
+
+
+def q_election_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.election_audit(thesis_file(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "elect_primary_scored": q_elect_primary_scored,
+    "elect_primary_tiered": q_elect_primary_tiered,
+    "queue_candidates": q_queue_candidates,
+    "queue_candidate_window": q_queue_candidate_window,
+    "queue_plan": q_queue_plan,
+    "queue_plan_ids": q_queue_plan_ids,
+    "queue_plan_cached": q_queue_plan_cached,
+    "queue_plan_topk": q_queue_plan_topk,
+    "fetch_outcome": q_fetch_outcome,
+    "failure_ledger_latest": q_failure_ledger_latest,
+    "failure_report": q_failure_report,
+    "election_audit": q_election_audit,
     "faculty_summary": q_faculty_summary,
     "titlepage_fields": q_titlepage_fields,
     "titlepage_units": q_titlepage_units,

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folio.functions.text import extract_if, first_match, strip_chars
+from folio.functions.text import strip_chars
 
 # ---------------------------------------------------------------------------
 # Wording that title pages use. These must match the source
@@ -63,8 +63,12 @@ DEGREE = "(?iU)\\b(" + "|".join(DEGREE_NAMES) + ")\\b"
 def unit_en(lines: Column, kind: str) -> Column:
     """Text after 'faculty of' / 'school of' / 'department of' on the first
     line that has it, cut where the university's name begins."""
-    pattern = f"(?iU){UNIT_PREFIXES[kind]}\\s+(.{{3,70}})"
-    line = first_match(lines, pattern)
+    prefix = UNIT_PREFIXES[kind]
+    pattern = f"(?iU){prefix}\\s+(.{{3,70}})"
+    # A plain substring test first: the regex runs only on lines that can match.
+    line = F.try_element_at(
+        F.filter(lines, lambda ln: F.lower(ln).contains(prefix) & ln.rlike(pattern)), F.lit(1)
+    )
     raw = F.regexp_extract(line, pattern, 1)
     return strip_chars(F.regexp_replace(raw, "(?iU)" + UNIVERSITY_TAIL, ""), " ,.")
 
@@ -72,14 +76,19 @@ def unit_en(lines: Column, kind: str) -> Column:
 def unit_names(lines: Column) -> Column:
     """E17 helper: every Icelandic unit name on the page, in reading order,
     at least 9 characters long."""
-    found = F.flatten(F.transform(lines, lambda ln: F.regexp_extract_all(ln, F.lit(UNIT_IS), 1)))
+    candidates = F.filter(
+        lines, lambda ln: F.lower(ln).rlike("deild|svið|skor")
+    )
+    found = F.flatten(
+        F.transform(candidates, lambda ln: F.regexp_extract_all(ln, F.lit(UNIT_IS), 1))
+    )
     names = F.transform(found, lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " ")))
     return F.filter(names, lambda x: F.length(x) >= 9)
 
 
-def unit_is(lines: Column) -> tuple[Column, Column]:
-    """(deild, svid) -- the first unit name of each kind."""
-    names = unit_names(lines)
+def unit_kinds(names: Column) -> tuple[Column, Column]:
+    """(deild, svid) -- the first unit name of each kind, decided by the
+    word the name ends on."""
     svid_rx = r"(?iU)svið[si]?$"
     deild = F.try_element_at(F.filter(names, lambda x: ~x.rlike(svid_rx)), F.lit(1))
     svid = F.try_element_at(F.filter(names, lambda x: x.rlike(svid_rx)), F.lit(1))
@@ -88,39 +97,59 @@ def unit_is(lines: Column) -> tuple[Column, Column]:
 
 def ects(joined: Column) -> Column:
     """First 1-3 digit number before 'ECTS'."""
-    return extract_if(joined, ECTS).try_cast("int")
+    return F.nullif(F.regexp_extract(joined, ECTS, 1), F.lit("")).try_cast("int")
 
 
 def degree_stated(joined: Column) -> Column:
     """Leftmost full degree name."""
-    return extract_if(joined, DEGREE)
+    return F.nullif(F.regexp_extract(joined, DEGREE, 1), F.lit(""))
 
 
 def subject(lines: Column) -> Column:
     """On the first line where it appears, the English then the Icelandic form."""
+    candidates = F.filter(
+        lines, lambda ln: F.lower(ln).rlike("degree in|master of|meistarapr")
+    )
     per_line = F.transform(
-        lines, lambda ln: F.coalesce(extract_if(ln, SUBJECT_EN), extract_if(ln, SUBJECT_IS))
+        candidates,
+        lambda ln: F.coalesce(
+            F.nullif(F.regexp_extract(ln, SUBJECT_EN, 1), F.lit("")),
+            F.nullif(F.regexp_extract(ln, SUBJECT_IS, 1), F.lit("")),
+        ),
     )
     hit = F.try_element_at(F.filter(per_line, lambda x: x.isNotNull()), F.lit(1))
     return strip_chars(hit, " ,.")
 
 
-def people_block(lines: Column, role: str) -> Column:
-    """Names listed under the first heading for ``role``.
+ANY_HEADING = "|".join(f"(?:{p})" for p in ROLE_HEADINGS.values())
 
-    The block runs until a stop line (institution, place, another role), a
-    heading, or a line not shaped like a name. NULL when empty or absent.
-    """
-    head = ROLE_HEADINGS[role]
-    at = F.array_position(F.transform(lines, lambda ln: ln.rlike(head)), True)
-    tail = F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines), F.lit(1)))
-    any_head = "|".join(f"(?:{p})" for p in ROLE_HEADINGS.values())
 
-    def ends(ln: Column) -> Column:
-        return ln.rlike(PERSON_STOP) | ln.rlike(any_head) | ~ln.rlike(PERSON_NAME)
+def block_breaks(lines: Column) -> Column:
+    """E21 helper: per line, does it end a block of names (a stop line, a
+    heading, or a line not shaped like a name)? Computed once per page."""
+    return F.transform(
+        lines,
+        lambda ln: ln.rlike(PERSON_STOP) | ln.rlike(ANY_HEADING) | ~ln.rlike(PERSON_NAME),
+    )
+
+
+def heading_at(lines: Column, role: str) -> Column:
+    """1-based position of the first heading for ``role``; 0 when absent."""
+    return F.array_position(F.transform(lines, lambda ln: ln.rlike(ROLE_HEADINGS[role])), True)
+
 
-    stop = F.array_position(F.transform(tail, ends), True)
-    names = F.when(stop == 0, tail).otherwise(F.slice(tail, 1, (stop - 1).cast("int")))
+def people_block(lines: Column, breaks: Column, at: Column) -> Column:
+    """Names listed under the heading at ``at``.
+
+    The block runs until the first break line after the heading. NULL when
+    there is no heading or the block is empty.
+    """
+    start = (at + 1).cast("int")
+    room = F.greatest(F.size(lines), F.lit(1))
+    stop = F.array_position(F.slice(breaks, start, room), True)
+    names = F.when(stop == 0, F.slice(lines, start, room)).otherwise(
+        F.slice(lines, start, (stop - 1).cast("int"))
+    )
     return F.when((at > 0) & (F.size(names) > 0), F.array_join(names, "; "))
 
 

@@ -18,22 +18,41 @@ TITLEPAGE_COLUMNS = [
 ]
 
 
-def extract_titlepage(doc_text: DataFrame) -> DataFrame:
+def extract_titlepage(doc_text: DataFrame, partitions: int | None = None) -> DataFrame:
     """``doc_text(thesis_id, n_pages, text)`` -> ``thesis_titlepage``.
 
     A row is produced when there is text or at least a page count (a scanned
     document still gets its row); a row with neither is a failure, see
     ``folio.operators.ledger.classify_fetch``.
     """
+    spark = doc_text.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Regex work costs ~0.2 ms per page, orders of magnitude more than moving
+    # the page, so the text is spread evenly by thesis_id before extraction.
+    # The hash partitioning is then reused by every replace-by-key on thesis_id.
     src = doc_text.where(
         (F.coalesce(F.length("text"), F.lit(0)) > 0) | F.col("n_pages").isNotNull()
+    ).repartition(n, "thesis_id")
+    # Three projections, so that per-page intermediates (the line array, the
+    # unit names, the block-break flags) are computed once and shared; the
+    # optimizer does not collapse projections that would duplicate them.
+    lines = F.col("_lines")
+    stage1 = src.select(
+        "thesis_id",
+        F.col("n_pages").cast("int").alias("n_pages"),
+        F.coalesce(F.length("text"), F.lit(0)).cast("int").alias("text_chars"),
+        text_lines("text").alias("_lines"),
+    )
+    stage2 = stage1.select(
+        "thesis_id", "n_pages", "text_chars", "_lines",
+        F.array_join(lines, " ").alias("_joined"),
+        tp.unit_names(lines).alias("_units"),
+        tp.block_breaks(lines).alias("_breaks"),
+        *[tp.heading_at(lines, r).alias(f"_at_{r}") for r in ("committee", "examiner", "advisors")],
     )
-    with_lines = src.select(
-        "thesis_id", "n_pages", "text", text_lines("text").alias("_lines")
-    ).withColumn("_joined", F.array_join("_lines", " "))
-    lines, joined = F.col("_lines"), F.col("_joined")
-    deild, svid = tp.unit_is(lines)
-    return with_lines.select(
+    joined, units, breaks = F.col("_joined"), F.col("_units"), F.col("_breaks")
+    deild, svid = tp.unit_kinds(units)
+    return stage2.select(
         F.col("thesis_id"),
         tp.unit_en(lines, "faculty").alias("faculty"),
         tp.unit_en(lines, "school").alias("school"),
@@ -43,12 +62,11 @@ def extract_titlepage(doc_text: DataFrame) -> DataFrame:
         tp.ects(joined).alias("ects"),
         tp.degree_stated(joined).alias("degree"),
         tp.subject(lines).alias("subject"),
-        tp.people_block(lines, "committee").alias("committee"),
-        tp.people_block(lines, "examiner").alias("examiner"),
-        tp.people_block(lines, "advisors").alias("advisors"),
+        *[tp.people_block(lines, breaks, F.col(f"_at_{r}")).alias(r)
+          for r in ("committee", "examiner", "advisors")],
         tp.year_on_page(lines).alias("year_on_page"),
-        F.col("n_pages").cast("int").alias("n_pages"),
-        F.coalesce(F.length("text"), F.lit(0)).cast("int").alias("text_chars"),
+        "n_pages",
+        "text_chars",
     )
 
 

@@ -66,3 +66,175 @@ ORACLES: dict[str, str] = {
            FROM expected WHERE faculty IS NOT NULL GROUP BY faculty ORDER BY n DESC, faculty"""
     ),
 }
+
+
+# --- files, election, queue, ledger -----------------------------------------
+
+_NOT_THESIS = ("'yfirlýsing', 'beiðni um lokun', 'viðauki', 'fylgiskjöl', 'forsíða', "
+               "'titilsíða', 'kápa', 'teikning', 'heimildaskrá', 'efnisyfirlit'")
+_FORM_NAME = ("(?i)yfirl[yý]s|\\byfirl\\b|bei[ðd]ni\\s*um\\s*lokun|lokunarbei[ðd]ni"
+              "|landsb[oó]kasafn|declaration")
+
+_FILES_ROLE = f"""
+scored AS (
+  SELECT b4.*,
+    CASE WHEN lower(trim(coalesce(description, ''))) = 'heildartexti' THEN 2
+         WHEN lower(trim(coalesce(description, ''))) IN ({_NOT_THESIS}) THEN -2 ELSE 0 END
+    + CASE WHEN regexp_matches(coalesce(filename, ''), '{_FORM_NAME}') THEN -5 ELSE 0 END AS score
+  FROM b4
+),
+win AS (
+  SELECT thesis_id, pos AS win_pos FROM (
+    SELECT thesis_id, pos, score,
+      row_number() OVER (PARTITION BY thesis_id
+                         ORDER BY score DESC, coalesce(size_bytes, 0) DESC, pos ASC) AS rn
+    FROM scored WHERE filetype = 'PDF') t
+  WHERE rn = 1 AND score > -7
+),
+tf AS (
+  SELECT s.*, CASE WHEN s.pos = w.win_pos THEN 'primary' ELSE 'secondary' END AS role
+  FROM scored s LEFT JOIN win w ON w.thesis_id = s.thesis_id
+)
+"""
+
+_CANDIDATE = """
+cand AS (
+  SELECT thesis_id, url AS pdf_url, size_bytes,
+    coalesce(access IS NULL OR access = 'Opinn'
+             OR CAST(try_strptime(regexp_extract(access, '(\\d{2}\\.\\d{2}\\.\\d{4})', 1), '%d.%m.%Y')
+                     AS DATE) <= DATE '2000-01-01', false) AS is_open,
+    row_number() OVER (PARTITION BY thesis_id ORDER BY
+      CASE WHEN role = 'primary' THEN 0 ELSE 1 END,
+      CASE WHEN description = 'Heildartexti' THEN 0 ELSE 1 END,
+      CASE WHEN lower(coalesce(description, '')) IN ('yfirlýsing', 'yfirlysing') THEN 1 ELSE 0 END,
+      size_bytes DESC NULLS LAST, filename ASC NULLS FIRST, url ASC NULLS FIRST) AS rn
+  FROM tf WHERE filetype = 'PDF'
+),
+f AS (
+  SELECT thesis_id, pdf_url,
+    CASE WHEN is_open THEN 1 ELSE 0 END AS open_pdfs,
+    CASE WHEN is_open THEN size_bytes END AS open_size,
+    size_bytes AS any_size
+  FROM cand WHERE rn = 1
+)
+"""
+
+_LEDGER = """
+classified AS (
+  SELECT *,
+    CASE
+      WHEN http_status IS NULL OR http_status >= 400
+        THEN trim('download failed: HTTPError ' || coalesce(CAST(http_status AS VARCHAR), ''))
+      WHEN coalesce(expected_bytes, 0) > 0 AND received_bytes <> expected_bytes
+        THEN 'download failed: OSError'
+      WHEN coalesce(magic, '') <> '%PDF-' THEN 'not a PDF (restricted or a landing page)'
+      WHEN NOT coalesce(readable, false) THEN 'unreadable PDF: PdfReadError: EOF marker not found'
+      WHEN coalesce(text_chars, 0) = 0 AND n_pages IS NULL THEN 'no text and no page count'
+    END AS reason
+  FROM b10
+),
+classified2 AS (
+  SELECT *, reason IS NULL AS ok,
+    CASE WHEN reason IS NULL THEN NULL
+         WHEN http_status IN (403, 404, 410) THEN true
+         WHEN http_status IS NULL OR http_status >= 400
+              OR (coalesce(expected_bytes, 0) > 0 AND received_bytes <> expected_bytes) THEN false
+         WHEN coalesce(magic, '') <> '%PDF-' THEN true
+         ELSE false END AS permanent
+  FROM classified
+),
+latest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY thesis_id ORDER BY at_ts DESC, event_id DESC) AS rn
+    FROM classified2) t
+  WHERE rn = 1
+),
+ledger AS (
+  SELECT thesis_id,
+    'https://repository.example/handle/1946/' || CAST(thesis_id AS VARCHAR) AS item_url,
+    pdf_url, reason, permanent, at_ts AS failed_at
+  FROM latest WHERE NOT ok
+)
+"""
+
+
+def _files(select: str) -> str:
+    return _with(b4=B.B4_FILES) + ",\n" + _FILES_ROLE + select
+
+
+def _queue(where: str, tail: str = "", extra: dict | None = None) -> str:
+    ctes = dict(b4=B.B4_FILES, b6=B.B6_METADATA, parsed=B.B6_PARSED, b10=B.B10_OUTCOMES)
+    ctes.update(extra or {})
+    return (
+        _with(**ctes) + ",\n" + _FILES_ROLE + ",\n" + _CANDIDATE + ",\n" + _LEDGER
+        + """
+SELECT m.thesis_id, f.pdf_url,
+       coalesce(f.open_size, f.any_size, CAST(9223372036854775807 AS BIGINT)) AS cost
+FROM b6 m LEFT JOIN f ON f.thesis_id = m.thesis_id
+WHERE """ + where + "\nORDER BY cost, m.thesis_id " + tail
+    )
+
+
+_ONLINE_DEFAULT = """f.pdf_url IS NOT NULL
+  AND (m.degree_level = 'master' OR m.degree_level IS NULL)
+  AND NOT EXISTS (SELECT 1 FROM parsed p WHERE p.thesis_id = m.thesis_id)
+  AND NOT EXISTS (SELECT 1 FROM ledger l WHERE l.thesis_id = m.thesis_id AND l.permanent)"""
+
+ORACLES.update({
+    "elect_primary_scored": _files("SELECT thesis_id, pos, filename, role FROM tf"),
+    "elect_primary_tiered": _with(b4=B.B4_FILES) + f""",
+tiered AS (
+  SELECT b4.*,
+    CASE WHEN lower(trim(coalesce(description, ''))) = 'heildartexti' THEN 1
+         WHEN lower(trim(coalesce(description, ''))) NOT IN ({_NOT_THESIS})
+              AND NOT regexp_matches(coalesce(filename, ''), '{_FORM_NAME}') THEN 0 END AS tier
+  FROM b4
+),
+win AS (
+  SELECT thesis_id, pos AS win_pos FROM (
+    SELECT thesis_id, pos,
+      row_number() OVER (PARTITION BY thesis_id
+                         ORDER BY tier DESC, coalesce(size_bytes, -1) DESC, pos ASC) AS rn
+    FROM tiered WHERE upper(coalesce(filetype, '')) = 'PDF' AND tier IS NOT NULL) t
+  WHERE rn = 1
+)
+SELECT b.thesis_id, b.pos, b.filename,
+       CASE WHEN b.pos = w.win_pos THEN 'primary' ELSE 'secondary' END AS role
+FROM b4 b LEFT JOIN win w ON w.thesis_id = b.thesis_id""",
+    "queue_candidates": _files(",\n" + _CANDIDATE + "SELECT * FROM f"),
+    "queue_candidate_window": _files(",\n" + _CANDIDATE + "SELECT * FROM f"),
+    "queue_plan": _queue(_ONLINE_DEFAULT + " AND f.open_pdfs > 0"),
+    "queue_plan_ids": _queue(
+        "f.pdf_url IS NOT NULL AND f.open_pdfs > 0 "
+        "AND m.thesis_id IN (SELECT thesis_id FROM b10)"),
+    "queue_plan_cached": _queue(
+        "m.thesis_id IN (SELECT doc_id FROM documents) "
+        "AND (m.degree_level = 'master' OR m.degree_level IS NULL)"),
+    "queue_plan_topk": _queue(
+        _ONLINE_DEFAULT + " AND coalesce(f.open_size, f.any_size, 0) <= 5000000", "LIMIT 100"),
+    "fetch_outcome": _with(b10=B.B10_OUTCOMES) + ",\n" + _LEDGER
+        + "SELECT event_id, thesis_id, ok, reason, permanent FROM classified2",
+    "failure_ledger_latest": _with(b10=B.B10_OUTCOMES) + ",\n" + _LEDGER + "SELECT * FROM ledger",
+    "failure_report": _with(b10=B.B10_OUTCOMES) + ",\n" + _LEDGER
+        + "SELECT reason, permanent, count(*) AS n FROM ledger GROUP BY reason, permanent",
+    "election_audit": _files(""",
+per_item AS (
+  SELECT thesis_id,
+    count(*) FILTER (WHERE filetype = 'PDF') AS pdfs,
+    max(CASE WHEN role = 'primary' THEN pos END) AS primary_pos,
+    bool_or(lower(trim(coalesce(description, ''))) = 'heildartexti'
+            AND regexp_matches(coalesce(filename, ''), '""" + _FORM_NAME + """')) AS conflict
+  FROM tf GROUP BY thesis_id
+),
+size_pick AS (
+  SELECT thesis_id, pos AS size_pos FROM (
+    SELECT thesis_id, pos, row_number() OVER (PARTITION BY thesis_id
+      ORDER BY coalesce(size_bytes, 0) DESC, pos ASC) AS rn
+    FROM tf WHERE filetype = 'PDF') t WHERE rn = 1
+)
+SELECT count(*) AS items,
+  count(*) FILTER (WHERE pdfs >= 2) AS multi_pdf_items,
+  count(*) FILTER (WHERE pdfs >= 2 AND s.size_pos IS DISTINCT FROM p.primary_pos) AS size_alone_differs,
+  count(*) FILTER (WHERE conflict) AS description_name_conflicts
+FROM per_item p LEFT JOIN size_pick s ON s.thesis_id = p.thesis_id"""),
+})

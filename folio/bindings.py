@@ -187,3 +187,169 @@ def parsed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fetch_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_binding(spark, sf_dir, B10_OUTCOMES)
+
+
+# B1 / B11 -- catalog records (oai_dc). ``_records_sql(ver)`` gives one harvest
+# pass: ver = -1 is the full record; ver 0..2 are three replays of the same
+# records in which field f (0 title, 1 subjects, 2 descriptions, 3
+# contributors, 4 types, 5 relations) is present only when (k + ver) % 3 <> f % 3.
+# Every field is a separate nullable column, and ``rec`` is the record's XML.
+def _keep(field: int, ver: int) -> str:
+    return "TRUE" if ver < 0 else f"((k + {ver}) % 3 <> {field % 3})"
+
+
+def _records_sql(ver: int) -> str:
+    offset_base = 0 if ver < 0 else ver * 1000000
+    q = "chr(39)"
+    # Replays differ in a few values, so "last non-NULL wins" is observable.
+    suffix = "''" if ver < 0 else f"' v{ver}'"
+    return f"""
+SELECT k, set_no, {ver} AS ver,
+  'col_1946_' || set_no AS set_spec,
+  CAST({offset_base} + floor(rn / 100) * 100 AS BIGINT) AS page_offset,
+  CAST(rn % 100 AS INT) AS pos,
+  deleted, header_id, dc_id1, dc_id2,
+  CASE WHEN {_keep(0, ver)} THEN title || {suffix} END AS title,
+  creator1, creator2, dc_date,
+  CASE WHEN {_keep(1, ver)} THEN s1 END AS s1,
+  CASE WHEN {_keep(1, ver)} THEN s2 END AS s2,
+  CASE WHEN {_keep(1, ver)} THEN s3 END AS s3,
+  CASE WHEN {_keep(2, ver)} THEN d1 END AS d1,
+  CASE WHEN {_keep(2, ver)} THEN d2 || {suffix} END AS d2,
+  CASE WHEN {_keep(2, ver)} THEN d3 END AS d3,
+  CASE WHEN {_keep(2, ver)} THEN d4 END AS d4,
+  CASE WHEN {_keep(3, ver)} THEN c1 END AS c1,
+  CASE WHEN {_keep(3, ver)} THEN c2 END AS c2,
+  CASE WHEN {_keep(4, ver)} THEN t1 END AS t1,
+  CASE WHEN {_keep(4, ver)} THEN t2 END AS t2,
+  CASE WHEN {_keep(5, ver)} THEN r1 || {suffix} END AS r1,
+  born
+FROM (
+  SELECT o.o_orderkey AS k,
+    substring(o.o_orderpriority, 1, 1) AS set_no,
+    row_number() OVER (PARTITION BY substring(o.o_orderpriority, 1, 1) ORDER BY o.o_orderkey) - 1 AS rn,
+    o.o_orderkey % 97 = 0 AS deleted,
+    CASE WHEN o.o_orderkey % 50 = 7 THEN 'oai:repository.example:item-' || CAST(o.o_orderkey AS STRING)
+         ELSE 'oai:repository.example:1946/' || CAST(o.o_orderkey AS STRING) END AS header_id,
+    CASE WHEN o.o_orderkey % 2 = 0 THEN 'urn:isbn:978' || CAST(o.o_orderkey AS STRING) END AS dc_id1,
+    CASE WHEN o.o_orderkey % 10 NOT IN (3, 7)
+         THEN 'http://hdl.handle.net/1946/' || CAST(o.o_orderkey AS STRING) END AS dc_id2,
+    CASE WHEN o.o_orderkey % 29 = 0 THEN NULL
+         WHEN o.o_orderkey % 3 = 0 THEN 'Greining á pöntun ' || CAST(o.o_orderkey AS STRING)
+         ELSE 'Analysis of order ' || CAST(o.o_orderkey AS STRING) END AS title,
+    CASE o.o_orderkey % 3
+      WHEN 0 THEN 'Höfundur ' || translate(substring(c.c_name, 10), '0123456789', 'abcdefghij')
+                  || ', ' || CAST(1950 + o.o_orderkey % 50 AS STRING) || '-'
+      WHEN 1 THEN 'Höfundur ' || translate(substring(c.c_name, 10), '0123456789', 'abcdefghij')
+                  || ' (' || CAST(1950 + o.o_orderkey % 50 AS STRING) || ')'
+      ELSE 'Höfundur ' || translate(substring(c.c_name, 10), '0123456789', 'abcdefghij') END AS creator1,
+    CASE WHEN o.o_orderkey % 8 = 1 THEN '   '
+         WHEN o.o_orderkey % 4 = 0 THEN 'Meðhöfundur ' || lower(translate(n.n_name, '0123456789_', 'abcdefghij'))
+    END AS creator2,
+    CASE o.o_orderkey % 3
+      WHEN 0 THEN CAST(year(o.o_orderdate) AS STRING) || '-' || lpad(CAST(month(o.o_orderdate) AS STRING), 2, '0')
+                  || '-' || lpad(CAST(day(o.o_orderdate) AS STRING), 2, '0')
+      WHEN 1 THEN CAST(year(o.o_orderdate) AS STRING) || '-' || lpad(CAST(month(o.o_orderdate) AS STRING), 2, '0')
+      ELSE CAST(year(o.o_orderdate) AS STRING) END AS dc_date,
+    lower(c.c_mktsegment) || CASE WHEN o.o_orderkey % 2 = 0 THEN '; ' ELSE ', ' END || 'Thesis' AS s1,
+    c.c_mktsegment AS s2,
+    CASE WHEN o.o_orderkey % 3 = 0 THEN substring(o.o_orderpriority, 3) END AS s3,
+    CASE WHEN o.o_orderkey % 4 = 0 THEN 'Ágrip: Íslenskur útdráttur um ' || lower(c.c_mktsegment) END AS d1,
+    'English abstract for order ' || CAST(o.o_orderkey AS STRING) AS d2,
+    CASE WHEN o.o_orderkey % 5 = 0 THEN 'Athugasemd: lokað til 2030' END AS d3,
+    CASE WHEN o.o_orderkey % 7 = 0 THEN 'Ritgerðin er lokuð' END AS d4,
+    n.n_name AS c1,
+    CASE WHEN o.o_orderkey % 2 = 0 THEN lower(n.n_name) END AS c2,
+    CASE o.o_orderkey % 5 WHEN 0 THEN 'Thesis' WHEN 1 THEN 'Bachelor' || {q} || 's thesis'
+         WHEN 2 THEN 'Doctoral thesis' WHEN 3 THEN 'Graduate diploma' ELSE 'Text' END AS t1,
+    CASE o.o_orderkey % 5 WHEN 0 THEN 'Master' || {q} || 's thesis' WHEN 3 THEN 'Master' || {q} || 's' END AS t2,
+    CASE WHEN o.o_orderkey % 6 = 0 THEN 'https://example.org/rel/' || CAST(o.o_orderkey AS STRING) END AS r1,
+    1950 + o.o_orderkey % 50 AS born
+  FROM {{orders}} o
+  JOIN {{customer}} c ON c.c_custkey = o.o_custkey
+  JOIN {{nation}} n ON n.n_nationkey = c.c_nationkey
+) base
+"""
+
+
+def _el(tag: str, col: str) -> str:
+    return f"CASE WHEN {col} IS NULL THEN '' ELSE '<dc:{tag}>' || {col} || '</dc:{tag}>' END"
+
+
+# The record's XML, built from the columns above (Spark side only: the oracle
+# never reads it).
+_REC_XML = (
+    "'<record><header' || CASE WHEN deleted THEN ' status=\"deleted\"' ELSE '' END || '>"
+    "<identifier>' || header_id || '</identifier><setSpec>' || set_spec || '</setSpec></header>' || "
+    "CASE WHEN deleted THEN '' ELSE "
+    "'<metadata><oai_dc:dc xmlns:oai_dc=\"http://www.openarchives.org/OAI/2.0/oai_dc/\" "
+    "xmlns:dc=\"http://purl.org/dc/elements/1.1/\">' || "
+    + " || ".join([
+        _el("title", "title"), _el("creator", "creator1"), _el("creator", "creator2"),
+        _el("subject", "s1"), _el("subject", "s2"), _el("subject", "s3"),
+        _el("description", "d1"), _el("description", "d2"), _el("description", "d3"),
+        _el("description", "d4"), _el("contributor", "c1"), _el("contributor", "c2"),
+        _el("type", "t1"), _el("type", "t2"), _el("relation", "r1"), _el("date", "dc_date"),
+        _el("identifier", "dc_id1"), _el("identifier", "dc_id2"),
+    ])
+    + " || '</oai_dc:dc></metadata>' END || '</record>'"
+)
+
+B1_RECORDS = _records_sql(-1)
+B11_RECORDS = " UNION ALL ".join(f"({_records_sql(v)})" for v in range(3))
+
+
+def oai_pages(spark: SparkSession, sf_dir: str, records_sql: str = B1_RECORDS) -> DataFrame:
+    """Harvest pages ``(file_name, xml)``: 100 records per page in key order,
+    a resumption token on every page but the last of a set, and per set one
+    ``noRecordsMatch`` page, one OAI error page and one truncated page."""
+    from pyspark.sql import functions as F
+
+    recs = run_binding(spark, sf_dir, records_sql).withColumn("rec", F.expr(_REC_XML))
+    pages = recs.groupBy("set_spec", "page_offset").agg(
+        F.array_join(
+            F.transform(F.array_sort(F.collect_list(F.struct("pos", "rec"))), lambda x: x["rec"]),
+            "",
+        ).alias("body"),
+        F.max("pos").alias("_last_pos"),
+    )
+    last = pages.groupBy("set_spec").agg(F.max("page_offset").alias("_last_offset"))
+    pages = pages.join(last, "set_spec")
+    head = ('<?xml version="1.0" encoding="UTF-8"?><OAI-PMH xmlns="http://www.openarchives.org/'
+            'OAI/2.0/"><responseDate>2024-01-01T00:00:00Z</responseDate><ListRecords>')
+    token = F.when(
+        F.col("page_offset") < F.col("_last_offset"),
+        F.concat(F.lit('<resumptionToken cursor="0">oai_dc///'), F.col("set_spec"), F.lit("/"),
+                 (F.col("page_offset") + 100).cast("string"), F.lit("</resumptionToken>")),
+    ).otherwise(F.lit(""))
+    xml = F.concat(F.lit(head), F.col("body"), token, F.lit("</ListRecords></OAI-PMH>"))
+    name = F.concat(F.lit("oai_dc_"), F.col("set_spec"), F.lit("_"),
+                    F.lpad(F.col("page_offset").cast("string"), 6, "0"), F.lit(".xml"))
+    ok = pages.select(name.alias("file_name"), xml.alias("xml"))
+    extra = last.select(
+        F.concat(F.lit("oai_dc_"), F.col("set_spec"), F.lit("_999998.xml")).alias("file_name"),
+        F.lit('<?xml version="1.0"?><OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/">'
+              '<error code="noRecordsMatch">No matching records</error></OAI-PMH>').alias("xml"),
+    ).unionByName(last.select(
+        F.concat(F.lit("oai_dc_"), F.col("set_spec"), F.lit("_999997.xml")).alias("file_name"),
+        F.lit('<?xml version="1.0"?><OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/">'
+              '<error code="badResumptionToken">The token is invalid</error></OAI-PMH>').alias("xml"),
+    )).unionByName(last.select(
+        F.concat(F.lit("oai_dc_"), F.col("set_spec"), F.lit("_999999.xml")).alias("file_name"),
+        F.lit('<OAI-PMH><ListRecords><record><header>').alias("xml"),
+    ))
+    return ok.unionByName(extra)
+
+
+# State of the thesis table before a harvest: orders with status O were
+# loaded earlier, under an older title.
+B1_THESIS_STATE = """
+SELECT o_orderkey AS id, CAST(DATE '1990-01-01' AS DATE) AS date_accepted,
+  CAST('Eldri titill ' || CAST(o_orderkey AS STRING) AS STRING) AS title,
+  CAST(NULL AS STRING) AS authors
+FROM {orders} WHERE o_orderstatus = 'O'
+"""
+
+
+def thesis_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B1_THESIS_STATE)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from folio import bindings as B
 from folio.session import read_table
 
-from folio.operators import election, ledger
+from folio.operators import election, keywords, ledger, upsert
+from folio.sources import oai_dc
 from folio.operators.titlepage import extract_titlepage
 from folio.plans import queue, reports
 
@@ -122,7 +123,85 @@ def q_election_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.election_audit(thesis_file(spark, sf_dir))
 
 
+def oai_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oai_dc.parse_oai_dc(B.oai_pages(spark, sf_dir))
+
+
+def replay_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three replays of the harvest (B11), parsed."""
+    return oai_dc.parse_oai_dc(B.oai_pages(spark, sf_dir, B.B11_RECORDS))
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    lists = ["subjects", "descriptions", "contributors", "types", "relations"]
+    return df.select("id", "date_accepted", "title", "authors",
+                     *[F.array_join(c, "|").alias(c) for c in lists])
+
+
+def q_oai_dc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(oai_records(spark, sf_dir))
+
+
+def q_page_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oai_dc.page_lineage(B.oai_pages(spark, sf_dir))
+
+
+def q_page_error_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = oai_dc.route_page_errors(oai_dc.parse_pages(B.oai_pages(spark, sf_dir)))
+    return routed.select(
+        "file_name", "page_status", "page_error",
+        F.when(F.col("p.ListRecords.record").isNull(), 0)
+        .otherwise(F.size("p.ListRecords.record")).cast("int").alias("n_records"),
+    )
+
+
+def q_year_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oai_dc.year_filter(oai_records(spark, sf_dir), 1996, 1998).select("id", "date_accepted")
+
+
+def q_id_semi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """records of theses already in the thesis table (metadata replay)."""
+    ids = B.thesis_state(spark, sf_dir).select("id")
+    return oai_records(spark, sf_dir).join(ids, "id", "left_semi").select("id", "title")
+
+
+def q_limit_per_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = oai_dc.limit_per_set(oai_records(spark, sf_dir), 50)
+    return first.select("set_spec", "id")
+
+
+def q_thesis_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.upsert_thesis(B.thesis_state(spark, sf_dir), oai_records(spark, sf_dir))
+
+
+def q_metadata_last_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.merge_metadata(None, replay_records(spark, sf_dir))
+
+
+def _keywords(spark: SparkSession, sf_dir: str):
+    fields = upsert.metadata_fields(replay_records(spark, sf_dir))
+    return keywords.build_keywords(fields)
+
+
+def q_keyword_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keywords(spark, sf_dir)[0]
+
+
+def q_thesis_keyword_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keywords(spark, sf_dir)[1]
+
+
 QUERIES: dict[str, Query] = {
+    "oai_dc_records": q_oai_dc_records,
+    "page_lineage": q_page_lineage,
+    "page_error_routing": q_page_error_routing,
+    "year_filter": q_year_filter,
+    "id_semi_filter": q_id_semi_filter,
+    "limit_per_set": q_limit_per_set,
+    "thesis_insert_only": q_thesis_insert_only,
+    "metadata_last_non_null": q_metadata_last_non_null,
+    "keyword_dictionary": q_keyword_dictionary,
+    "thesis_keyword_links": q_thesis_keyword_links,
     "elect_primary_scored": q_elect_primary_scored,
     "elect_primary_tiered": q_elect_primary_tiered,
     "queue_candidates": q_queue_candidates,

@@ -238,3 +238,105 @@ SELECT count(*) AS items,
   count(*) FILTER (WHERE conflict) AS description_name_conflicts
 FROM per_item p LEFT JOIN size_pick s ON s.thesis_id = p.thesis_id"""),
 })
+
+
+# --- catalog records, upserts, keywords ---------------------------------------
+
+_LIVE = "NOT deleted AND k % 50 <> 7"
+_DATE = ("CASE WHEN length(dc_date) = 10 THEN dc_date WHEN length(dc_date) = 7 "
+         "THEN dc_date || '-01' ELSE dc_date || '-01-01' END")
+_AUTHORS = "concat_ws('; ', creator1, nullif(trim(creator2), ''))"
+
+
+def _b1(select: str) -> str:
+    return _with(b1=B.B1_RECORDS) + "\n" + select
+
+
+def _name(offset_sql: str) -> str:
+    return f"'oai_dc_' || set_spec || '_' || lpad(CAST({offset_sql} AS VARCHAR), 6, '0') || '.xml'"
+
+
+_EXTRA_PAGES = """
+  UNION ALL SELECT DISTINCT 'oai_dc_' || set_spec || '_999997.xml', 'error',
+    'badResumptionToken: The token is invalid', 0 FROM b1
+  UNION ALL SELECT DISTINCT 'oai_dc_' || set_spec || '_999998.xml', 'empty', CAST(NULL AS VARCHAR), 0 FROM b1
+  UNION ALL SELECT DISTINCT 'oai_dc_' || set_spec || '_999999.xml', 'corrupt', 'malformed XML', 0 FROM b1
+"""
+
+# Per replay version: the derived metadata values, straight from base columns.
+_B11_DERIVED = f"""
+derived AS (
+  SELECT k, ver,
+    CASE WHEN k % 3 = 0 THEN title END AS title_is,
+    CASE WHEN k % 3 <> 0 THEN title END AS title_en,
+    CASE WHEN d1 IS NOT NULL THEN substring(d1, 8) END AS abstract_is,
+    d2 AS abstract_en,
+    nullif(concat_ws('; ', CASE WHEN d3 IS NOT NULL THEN 'lokað til 2030' END, d4), '') AS note,
+    CASE WHEN t1 IS NULL THEN NULL
+         ELSE CASE k % 5 WHEN 0 THEN 'master' WHEN 1 THEN 'bachelor' WHEN 2 THEN 'phd'
+                         WHEN 3 THEN 'diploma' END END AS degree_level,
+    CASE WHEN t1 IS NULL THEN NULL
+         ELSE CASE k % 5 WHEN 0 THEN 'Thesis; Master' || chr(39) || 's'
+                         WHEN 1 THEN 'Bachelor' || chr(39) || 's thesis'
+                         WHEN 2 THEN 'Doctoral thesis'
+                         WHEN 3 THEN 'Graduate diploma; Master' || chr(39) || 's'
+                         ELSE 'Text' END END AS thesis_type,
+    r1 AS related_url,
+    CASE WHEN s1 IS NOT NULL THEN lower(s2) || coalesce('; ' || s3, '') END AS raw_keywords,
+    c1 AS institution,
+    c1 AS university
+  FROM b11 WHERE {_LIVE}
+)
+"""
+_MD_FIELDS = ["title_is", "title_en", "abstract_is", "abstract_en", "degree_level",
+              "thesis_type", "note", "related_url", "raw_keywords", "institution", "university"]
+
+ORACLES.update({
+    "oai_dc_records": _b1(f"""
+SELECT k AS id, {_DATE} AS date_accepted, title, {_AUTHORS} AS authors,
+  concat_ws('|', s1, s2, s3) AS subjects, concat_ws('|', d1, d2, d3, d4) AS descriptions,
+  concat_ws('|', c1, c2) AS contributors, concat_ws('|', t1, t2) AS types,
+  concat_ws('|', r1) AS relations
+FROM b1 WHERE {_LIVE}"""),
+    "page_lineage": _b1(f"""
+SELECT file_name, 'oai_dc' AS prefix, set_spec, CAST(page_offset AS BIGINT) AS page_offset FROM (
+  SELECT DISTINCT {_name('page_offset')} AS file_name, set_spec, page_offset FROM b1
+  UNION ALL SELECT DISTINCT {_name('999997')}, set_spec, 999997 FROM b1
+  UNION ALL SELECT DISTINCT {_name('999998')}, set_spec, 999998 FROM b1
+  UNION ALL SELECT DISTINCT {_name('999999')}, set_spec, 999999 FROM b1) t"""),
+    "page_error_routing": _b1(f"""
+SELECT file_name, page_status, page_error, CAST(n_records AS INTEGER) AS n_records FROM (
+  SELECT {_name('page_offset')} AS file_name, 'ok' AS page_status,
+         CAST(NULL AS VARCHAR) AS page_error, count(*) AS n_records
+  FROM b1 GROUP BY set_spec, page_offset
+  {_EXTRA_PAGES}) t"""),
+    "year_filter": _b1(f"""
+SELECT k AS id, {_DATE} AS date_accepted FROM b1
+WHERE {_LIVE} AND CAST(substring(dc_date, 1, 4) AS INTEGER) BETWEEN 1996 AND 1998"""),
+    "id_semi_filter": _b1(f"""
+SELECT k AS id, title FROM b1
+WHERE {_LIVE} AND k IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')"""),
+    "limit_per_set": _b1(f"""
+SELECT set_spec, id FROM (
+  SELECT set_spec, k AS id,
+    row_number() OVER (PARTITION BY set_spec ORDER BY page_offset, pos) AS rn
+  FROM b1 WHERE {_LIVE}) t
+WHERE rn <= 50"""),
+    "thesis_insert_only": _with(b1=B.B1_RECORDS, st=B.B1_THESIS_STATE) + f"""
+SELECT id, date_accepted, title, authors FROM st
+UNION ALL
+SELECT k, CAST({_DATE} AS DATE), title, {_AUTHORS} FROM b1
+WHERE {_LIVE} AND k NOT IN (SELECT id FROM st)""",
+    "metadata_last_non_null": _with(b11=B.B11_RECORDS) + ",\n" + _B11_DERIVED + "SELECT k AS thesis_id, "
+        + ", ".join(f"arg_max({c}, ver) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _MD_FIELDS)
+        + " FROM derived GROUP BY k",
+    "keyword_dictionary": _with(b11=B.B11_RECORDS) + f"""
+SELECT DISTINCT lower(s2) AS keyword_norm, lower(s2) AS keyword FROM b11 WHERE {_LIVE} AND s1 IS NOT NULL
+UNION
+SELECT DISTINCT lower(s3), s3 FROM b11 WHERE {_LIVE} AND s1 IS NOT NULL AND s3 IS NOT NULL""",
+    "thesis_keyword_links": _with(b11=B.B11_RECORDS) + f"""
+SELECT k AS thesis_id, lower(s2) AS keyword_norm, 0 AS sort_order
+FROM b11 WHERE ver = 2 AND {_LIVE} AND s1 IS NOT NULL
+UNION ALL
+SELECT k, lower(s3), 1 FROM b11 WHERE ver = 2 AND {_LIVE} AND s1 IS NOT NULL AND s3 IS NOT NULL""",
+})

@@ -353,3 +353,68 @@ FROM {orders} WHERE o_orderstatus = 'O'
 
 def thesis_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_binding(spark, sf_dir, B1_THESIS_STATE)
+
+
+# B7 -- people and their thesis links. Base name from the customer's market
+# segment and a letters-only rendering of key % 200, so many customers share
+# a name; spelled clean / with a year / with years in parentheses / with a
+# parenthesised suffix by key % 4.
+B7_PEOPLE = """
+SELECT c_custkey AS id,
+  CAST(CASE c_custkey % 4
+    WHEN 0 THEN base
+    WHEN 1 THEN base || ', ' || CAST(1950 + c_custkey % 30 AS STRING) || '-'
+    WHEN 2 THEN base || ' (' || CAST(1950 + c_custkey % 30 AS STRING) || '–'
+                || CAST(2000 + c_custkey % 20 AS STRING) || ')'
+    ELSE base || ' (Jr)' END AS STRING) AS name,
+  CAST(CASE WHEN c_custkey % 8 = 0 THEN 1950 + c_custkey % 30 END AS INT) AS year_born,
+  CAST(NULL AS INT) AS year_died,
+  base, CAST(1950 + c_custkey % 30 AS INT) AS yb, CAST(2000 + c_custkey % 20 AS INT) AS yd
+FROM (
+  SELECT c_custkey,
+    'Person ' || lower(c_mktsegment) || ' ' || translate(CAST(c_custkey % 200 AS STRING), '0123456789', 'abcdefghij') AS base
+  FROM {customer}
+) t
+"""
+B7_LINKS = """
+SELECT o_orderkey AS thesis_id, o_custkey AS person_id,
+  CAST(CASE WHEN o_orderstatus = 'F' THEN 'author' ELSE 'advisor' END AS STRING) AS role
+FROM {orders}
+"""
+
+# B8 -- page-wise extraction results: a conversation is a document, a turn a page.
+B8_PAGE_ROWS = """
+SELECT conv_id AS thesis_id, CAST(turn + 1 AS INT) AS page_no, text,
+  (turn + conv_id) % 5 = 4 OR conv_id % 23 = 0 AS failed
+FROM {conversations}
+"""
+
+# B9 -- cached marked text: documents with a page-count marker line.
+B9_RAW_TEXT = """
+SELECT doc_id AS thesis_id, text AS body,
+  CAST(n_chars % 120 AS INT) AS total, CAST(n_chars % 25 AS INT) AS kept_n,
+  CAST(CASE
+    WHEN doc_id % 9 = 0 THEN text
+    WHEN doc_id % 9 = 1 THEN '%%PAGES' || chr(9) || CAST(n_chars % 120 AS STRING) || chr(10) || text
+    WHEN doc_id % 9 = 2 THEN '%%PAGES' || chr(9) || 'many' || chr(9) || '5' || chr(10) || text
+    ELSE '%%PAGES' || chr(9) || CAST(n_chars % 120 AS STRING) || chr(9)
+         || CAST(n_chars % 25 AS STRING) || chr(10) || text
+  END AS STRING) AS raw
+FROM {documents}
+"""
+
+
+def people_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B7_PEOPLE).select("id", "name", "year_born", "year_died")
+
+
+def people_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B7_LINKS)
+
+
+def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B8_PAGE_ROWS)
+
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_binding(spark, sf_dir, B9_RAW_TEXT).select("thesis_id", "raw")

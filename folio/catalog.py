@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from folio import bindings as B
 from folio.session import read_table
 
-from folio.operators import election, keywords, ledger, upsert
-from folio.sources import oai_dc
+from folio.operators import election, keywords, ledger, people, upsert
+from folio.sources import doc_text, oai_dc
 from folio.operators.titlepage import extract_titlepage
 from folio.plans import queue, reports
 
@@ -191,7 +191,51 @@ def q_thesis_keyword_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keywords(spark, sf_dir)[1]
 
 
+def cached_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return doc_text.split_marker(B.raw_text(spark, sf_dir))
+
+
+def q_doc_text_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cached_text(spark, sf_dir).select(
+        "thesis_id", "n_pages", "kept",
+        F.length("text").cast("int").alias("text_chars"), F.md5("text").alias("text_md5"))
+
+
+def q_text_cache_staleness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted: every thesis with an event or a label."""
+    wanted = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("thesis_id")).union(
+        read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("thesis_id")))
+    return ledger.text_cache_state(cached_text(spark, sf_dir), wanted, pages=20)
+
+
+def q_assemble_first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = doc_text.assemble_text(B.page_rows(spark, sf_dir), n=3)
+    return d.select("thesis_id", "n_pages", "kept", F.md5("text").alias("text_md5"), "failed")
+
+
+def _clean_people(spark: SparkSession, sf_dir: str):
+    return people.clean_people(B.people_table(spark, sf_dir), B.people_links(spark, sf_dir))
+
+
+def q_clean_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_people(spark, sf_dir)[0]
+
+
+def q_clean_people_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_people(spark, sf_dir)[1]
+
+
+def q_clean_people_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_people(spark, sf_dir)[2]
+
+
 QUERIES: dict[str, Query] = {
+    "doc_text_marker": q_doc_text_marker,
+    "text_cache_staleness": q_text_cache_staleness,
+    "assemble_first_pages": q_assemble_first_pages,
+    "clean_people": q_clean_people,
+    "clean_people_links": q_clean_people_links,
+    "clean_people_changed": q_clean_people_changed,
     "oai_dc_records": q_oai_dc_records,
     "page_lineage": q_page_lineage,
     "page_error_routing": q_page_error_routing,

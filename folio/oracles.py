@@ -340,3 +340,72 @@ FROM b11 WHERE ver = 2 AND {_LIVE} AND s1 IS NOT NULL
 UNION ALL
 SELECT k, lower(s3), 1 FROM b11 WHERE ver = 2 AND {_LIVE} AND s1 IS NOT NULL AND s3 IS NOT NULL""",
 })
+
+
+# --- document text, people ----------------------------------------------------
+
+_B9_EXPECTED = """
+c AS (
+  SELECT thesis_id,
+    CASE WHEN thesis_id % 9 IN (0, 2) THEN NULL ELSE total END AS n_pages,
+    CASE WHEN thesis_id % 9 IN (0, 1, 2) THEN NULL ELSE kept_n END AS kept,
+    body
+  FROM b9
+)
+"""
+
+_B7_EXPECTED = """
+p AS (
+  SELECT id, name, year_born, year_died, base, id % 4 <> 0 AS dirty,
+    CASE WHEN id % 4 IN (1, 2) THEN yb ELSE year_born END AS eff_born,
+    CASE WHEN id % 4 = 2 THEN yd ELSE year_died END AS eff_died,
+    base AS k_name,
+    coalesce(CASE WHEN id % 4 IN (1, 2) THEN yb WHEN id % 4 = 3 THEN NULL ELSE year_born END, -1)
+      AS k_born
+  FROM b7
+),
+g AS (
+  SELECT k_name, k_born,
+    coalesce(min(id) FILTER (WHERE NOT dirty), min(id) FILTER (WHERE dirty)) AS survivor
+  FROM p GROUP BY k_name, k_born
+),
+m AS (
+  SELECT p.*, CASE WHEN dirty THEN g.survivor END AS target
+  FROM p JOIN g ON g.k_name = p.k_name AND g.k_born = p.k_born
+)
+"""
+
+ORACLES.update({
+    "doc_text_marker": _with(b9=B.B9_RAW_TEXT) + ",\n" + _B9_EXPECTED + """
+SELECT thesis_id, n_pages, kept, CAST(length(body) AS INTEGER) AS text_chars, md5(body) AS text_md5
+FROM c""",
+    "text_cache_staleness": _with(b9=B.B9_RAW_TEXT) + ",\n" + _B9_EXPECTED + """,
+w AS (SELECT user_id AS thesis_id FROM events UNION SELECT doc_id FROM labels)
+SELECT w.thesis_id,
+  CASE WHEN c.thesis_id IS NULL THEN 'missing'
+       WHEN c.n_pages IS NULL OR c.kept IS NULL OR c.kept < least(20, c.n_pages) THEN 'stale'
+       ELSE 'fresh' END AS state,
+  CASE WHEN c.thesis_id IS NULL THEN 'fetch'
+       WHEN c.n_pages IS NULL OR c.kept IS NULL OR c.kept < least(20, c.n_pages) THEN 'fetch'
+       ELSE 'cache' END AS action
+FROM w LEFT JOIN c ON c.thesis_id = w.thesis_id""",
+    "assemble_first_pages": _with(b8=B.B8_PAGE_ROWS) + """
+SELECT thesis_id, CAST(count(*) AS INTEGER) AS n_pages,
+  CAST(count(*) FILTER (WHERE page_no <= 3) AS INTEGER) AS kept,
+  md5(coalesce(string_agg(CASE WHEN failed THEN '' ELSE coalesce(text, '') END, chr(10) ORDER BY page_no)
+               FILTER (WHERE page_no <= 3), '')) AS text_md5,
+  count(*) FILTER (WHERE page_no <= 3) > 0
+    AND count(*) FILTER (WHERE page_no <= 3 AND failed) = count(*) FILTER (WHERE page_no <= 3) AS failed
+FROM b8 GROUP BY thesis_id""",
+    "clean_people": _with(b7=B.B7_PEOPLE) + ",\n" + _B7_EXPECTED + """
+SELECT id, CASE WHEN dirty THEN base ELSE name END AS name,
+  CASE WHEN dirty THEN eff_born ELSE year_born END AS year_born,
+  CASE WHEN dirty THEN eff_died ELSE year_died END AS year_died
+FROM m WHERE NOT dirty OR target = id""",
+    "clean_people_links": _with(b7=B.B7_PEOPLE, l=B.B7_LINKS) + ",\n" + _B7_EXPECTED + """
+SELECT DISTINCT l.thesis_id,
+  coalesce(CASE WHEN m.dirty AND m.target <> m.id THEN m.target END, l.person_id) AS person_id, l.role
+FROM l LEFT JOIN m ON m.id = l.person_id""",
+    "clean_people_changed": _with(b7=B.B7_PEOPLE) + """
+SELECT count(*) FILTER (WHERE id % 4 <> 0) AS changed FROM b7""",
+})

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from folio import bindings as B
 from folio.session import read_table
 
-from folio.operators import election, keywords, ledger, people, upsert
+from folio.operators import election, keywords, ledger, people, progress, upsert
 from folio.sources import doc_text, oai_dc
 from folio.operators.titlepage import extract_titlepage
 from folio.plans import queue, reports
@@ -229,7 +229,52 @@ def q_clean_people_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _clean_people(spark, sf_dir)[2]
 
 
+def titlepages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_titlepage(B.doc_text_from_titlepages(spark, sf_dir))
+
+
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.run_summary(titlepages(spark, sf_dir), failure_ledger(spark, sf_dir))
+
+
+def q_reconcile_document_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.reconcile(B.metadata_levels(spark, sf_dir), titlepages(spark, sf_dir))
+
+
+def q_schema_evolution_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An older file snapshot without ``role`` appended to a newer one with it."""
+    files = B.files_from_lineitem(spark, sf_dir)
+    old = files.select("thesis_id", "pos", "filename", F.lit("old").alias("snapshot"))
+    new = election.elect_primary_tiered(files).select(
+        "thesis_id", "pos", "filename", "role", F.lit("new").alias("snapshot"))
+    return upsert.evolve_union(old, new).select("thesis_id", "pos", "snapshot", "role")
+
+
+def q_harvest_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mid-harvest snapshot: sets 2 and 4 have not stored their final page yet."""
+    pages = B.oai_pages(spark, sf_dir)
+    lin = pages.select("file_name", *oai_dc.lineage_columns(F.col("file_name")))
+    last = lin.where(F.col("page_offset") < 999997).groupBy("set_spec").agg(
+        F.max("page_offset").alias("_last"))
+    stored = lin.join(last, "set_spec").where(
+        ~(F.col("set_spec").isin("col_1946_2", "col_1946_4") & (F.col("page_offset") == F.col("_last")))
+    ).select("file_name")
+    return progress.harvest_progress(pages.join(stored, "file_name", "left_semi"))
+
+
+def q_pending_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Theses whose file table is not indexed yet: orders with no file rows."""
+    thesis = B.metadata_levels(spark, sf_dir).select(F.col("thesis_id").alias("id"))
+    status = B.files_from_lineitem(spark, sf_dir).select("thesis_id").distinct()
+    return queue.pending_index(thesis, status)
+
+
 QUERIES: dict[str, Query] = {
+    "run_summary": q_run_summary,
+    "reconcile_document_wins": q_reconcile_document_wins,
+    "schema_evolution_union": q_schema_evolution_union,
+    "harvest_progress": q_harvest_progress,
+    "pending_index": q_pending_index,
     "doc_text_marker": q_doc_text_marker,
     "text_cache_staleness": q_text_cache_staleness,
     "assemble_first_pages": q_assemble_first_pages,

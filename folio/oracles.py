@@ -409,3 +409,67 @@ FROM l LEFT JOIN m ON m.id = l.person_id""",
     "clean_people_changed": _with(b7=B.B7_PEOPLE) + """
 SELECT count(*) FILTER (WHERE id % 4 <> 0) AS changed FROM b7""",
 })
+
+
+# --- reports, progress ----------------------------------------------------------
+
+ORACLES.update({
+    "run_summary": _with(b3=B.B3_TITLEPAGES, b10=B.B10_OUTCOMES) + ",\n" + _B3_EXPECTED + ",\n"
+        + _LEDGER + """
+SELECT t.processed, t.with_unit,
+  CASE WHEN t.processed > 0 THEN (10000 * t.with_unit) // t.processed END AS with_unit_bp,
+  f.failed
+FROM (SELECT count(*) AS processed,
+             count(*) FILTER (WHERE faculty IS NOT NULL OR deild IS NOT NULL) AS with_unit
+      FROM expected) t,
+     (SELECT count(*) AS failed FROM ledger) f""",
+    "reconcile_document_wins": _with(b3=B.B3_TITLEPAGES, b6=B.B6_METADATA) + ",\n" + _B3_EXPECTED + """
+SELECT coalesce(m.thesis_id, e.thesis_id) AS thesis_id,
+  coalesce(CASE WHEN e.degree IS NOT NULL THEN 'master' END, m.degree_level) AS degree_level,
+  CASE WHEN e.degree IS NOT NULL THEN 'document' WHEN m.degree_level IS NOT NULL THEN 'metadata' END
+    AS source,
+  CASE WHEN e.degree IS NOT NULL AND m.degree_level IS NOT NULL THEN m.degree_level = 'master' END
+    AS agrees
+FROM b6 m FULL OUTER JOIN expected e ON e.thesis_id = m.thesis_id""",
+    "schema_evolution_union": _with(b4=B.B4_FILES) + f""",
+tiered AS (
+  SELECT b4.*,
+    CASE WHEN lower(trim(coalesce(description, ''))) = 'heildartexti' THEN 1
+         WHEN lower(trim(coalesce(description, ''))) NOT IN ({_NOT_THESIS})
+              AND NOT regexp_matches(coalesce(filename, ''), '{_FORM_NAME}') THEN 0 END AS tier
+  FROM b4
+),
+win AS (
+  SELECT thesis_id, pos AS win_pos FROM (
+    SELECT thesis_id, pos,
+      row_number() OVER (PARTITION BY thesis_id
+                         ORDER BY tier DESC, coalesce(size_bytes, -1) DESC, pos ASC) AS rn
+    FROM tiered WHERE upper(coalesce(filetype, '')) = 'PDF' AND tier IS NOT NULL) t
+  WHERE rn = 1
+)
+SELECT thesis_id, pos, 'old' AS snapshot, CAST(NULL AS VARCHAR) AS role FROM b4
+UNION ALL
+SELECT b.thesis_id, b.pos, 'new',
+       CASE WHEN b.pos = w.win_pos THEN 'primary' ELSE 'secondary' END
+FROM b4 b LEFT JOIN win w ON w.thesis_id = b.thesis_id""",
+    "harvest_progress": _b1("""
+, sets AS (
+  SELECT set_spec, count(DISTINCT page_offset) AS n_pages, max(page_offset) AS last_offset
+  FROM b1 GROUP BY set_spec
+)
+SELECT 'oai_dc' AS prefix, set_spec,
+  CAST(CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4') THEN n_pages - 1 ELSE n_pages END AS BIGINT)
+    AS pages,
+  CAST(CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4') THEN last_offset - 100 ELSE last_offset END
+       AS BIGINT) AS last_offset,
+  CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4')
+       THEN 'oai_dc///' || set_spec || '/' || CAST(last_offset AS VARCHAR) END AS next_token,
+  CAST(CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4') THEN last_offset ELSE last_offset + 1 END
+       AS BIGINT) AS next_offset,
+  set_spec NOT IN ('col_1946_2', 'col_1946_4') AS complete
+FROM sets"""),
+    "pending_index": _with(b6=B.B6_METADATA) + """
+SELECT thesis_id FROM b6
+WHERE thesis_id NOT IN (SELECT DISTINCT l_orderkey FROM lineitem)
+ORDER BY thesis_id""",
+})

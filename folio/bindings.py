@@ -418,3 +418,118 @@ def page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_binding(spark, sf_dir, B9_RAW_TEXT).select("thesis_id", "raw")
+
+
+# B2 -- rich (xoai) records: one per order, its line items as the bitstreams
+# of an ORIGINAL bundle (plus a THUMBNAIL bundle every 7th order), authors,
+# advisors and a stated degree by order priority.
+B2_RECORDS = """
+SELECT o.o_orderkey AS k,
+  CAST(row_number() OVER (ORDER BY o.o_orderkey) - 1 AS BIGINT) AS rn,
+  o.o_orderkey % 97 = 0 AS deleted,
+  o.o_orderkey % 61 <> 0 AS has_handle,
+  CAST('Höfundur ' || translate(substring(c.c_name, 10), '0123456789', 'abcdefghij') AS STRING) AS author,
+  CAST(CASE WHEN o.o_orderkey % 3 = 0 THEN 'Leiðbeinandi ' || lower(translate(n.n_name, '0123456789_', 'abcdefghij')) END AS STRING) AS advisor1,
+  CAST('Ráðgjafi ' || translate(substring(c.c_name, 12), '0123456789', 'jihgfedcba') AS STRING) AS advisor2,
+  CAST(CASE substring(o.o_orderpriority, 1, 1) WHEN '1' THEN 'Meistaragráða' WHEN '2' THEN 'Bakkalárgráða'
+       WHEN '3' THEN 'Graduate diploma' WHEN '4' THEN 'Doctoral' END AS STRING) AS degree,
+  o.o_orderkey % 7 = 0 AS thumbnail
+FROM {orders} o
+JOIN {customer} c ON c.c_custkey = o.o_custkey
+JOIN {nation} n ON n.n_nationkey = c.c_nationkey
+"""
+
+B2_BITSTREAMS = """
+SELECT b4.thesis_id AS k, b4.pos,
+  CASE WHEN l.l_partkey % 9 = 0 THEN NULL ELSE b4.filename END AS bs_name,
+  b4.filename AS bs_original,
+  CAST(CASE l.l_returnflag WHEN 'A' THEN 'COMPLETE_TEXT' WHEN 'N' THEN 'DECLARATION'
+       ELSE CASE WHEN l.l_partkey % 4 = 0 THEN 'Viðauki' END END AS STRING) AS bs_description,
+  CAST(CASE WHEN l.l_partkey % 6 = 0 THEN 'application/zip' WHEN l.l_partkey % 6 = 1 THEN NULL
+       ELSE 'application/pdf' END AS STRING) AS bs_format,
+  b4.size_bytes AS bs_size,
+  CAST('https://repository.example/bitstream/1946/' || CAST(b4.thesis_id AS STRING) || '/'
+       || CAST(b4.pos AS STRING) || '/' || b4.filename AS STRING) AS bs_url
+FROM (""" + B4_FILES + """) b4
+JOIN (SELECT l_orderkey, l_partkey, l_returnflag,
+        row_number() OVER (PARTITION BY l_orderkey
+          ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+                   l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS pos
+      FROM {lineitem}) l
+  ON l.l_orderkey = b4.thesis_id AND l.pos = b4.pos
+"""
+
+
+def _xfield(name: str, col: str):
+    from pyspark.sql import functions as F
+
+    return F.when(F.col(col).isNotNull(),
+                  F.concat(F.lit(f'<field name="{name}">'), F.col(col), F.lit("</field>"))
+                  ).otherwise(F.lit(""))
+
+
+def xoai_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rich-format harvest pages, 100 records per page in key order."""
+    from pyspark.sql import functions as F
+
+    bs = run_binding(spark, sf_dir, B2_BITSTREAMS).select(
+        "k", "pos",
+        F.concat(
+            F.lit('<element name="bitstream">'),
+            _xfield("name", "bs_name"), _xfield("originalName", "bs_original"),
+            _xfield("description", "bs_description"), _xfield("format", "bs_format"),
+            _xfield("size", "bs_size"), _xfield("url", "bs_url"),
+            F.concat(F.lit('<field name="sid">'), F.col("pos").cast("string"), F.lit("</field>")),
+            F.lit("</element>"),
+        ).alias("x"),
+    )
+    per_rec = bs.groupBy("k").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))),
+                                 lambda s: s["x"]), "").alias("bitstreams"))
+    recs = run_binding(spark, sf_dir, B2_RECORDS).join(per_rec, "k", "left")
+    value = lambda c: F.when(F.col(c).isNotNull(), F.concat(
+        F.lit('<field name="value">'), F.col(c), F.lit("</field>"))).otherwise(F.lit(""))
+    dc = F.concat(
+        F.lit('<element name="dc"><element name="contributor"><element name="author">'
+              '<element name="none">'), value("author"),
+        F.lit('</element></element></element><element name="description">'
+              '<element name="advisor"><element name="none">'), value("advisor1"), value("advisor2"),
+        F.lit('</element></element></element>'),
+        F.when(F.col("degree").isNotNull(), F.concat(
+            F.lit('<element name="type"><element name="degree"><element name="is">'),
+            value("degree"), F.lit("</element></element></element>"))).otherwise(F.lit("")),
+        F.lit("</element>"),
+    )
+    bundles = F.concat(
+        F.lit('<element name="bundles">'),
+        F.when(F.col("thumbnail"), F.lit(
+            '<element name="bundle"><field name="name">THUMBNAIL</field><element name="bitstreams">'
+            '<element name="bitstream"><field name="name">thumb.jpg</field>'
+            '<field name="format">image/jpeg</field></element></element></element>'
+        )).otherwise(F.lit("")),
+        F.lit('<element name="bundle"><field name="name">ORIGINAL</field><element name="bitstreams">'),
+        F.coalesce(F.col("bitstreams"), F.lit("")),
+        F.lit("</element></element></element>"),
+    )
+    others = F.when(F.col("has_handle"), F.concat(
+        F.lit('<element name="others"><field name="handle">1946/'), F.col("k").cast("string"),
+        F.lit("</field></element>"))).otherwise(F.lit(""))
+    rec = F.concat(
+        F.lit("<record><header"),
+        F.when(F.col("deleted"), F.lit(' status="deleted"')).otherwise(F.lit("")),
+        F.lit("><identifier>oai:repository.example:item/"), F.col("k").cast("string"),
+        F.lit('</identifier></header><metadata><metadata xmlns="http://www.lyncode.com/xoai">'),
+        dc, bundles, others, F.lit("</metadata></metadata></record>"),
+    )
+    pages = recs.select((F.floor(F.col("rn") / 100) * 100).cast("bigint").alias("page_offset"),
+                        (F.col("rn") % 100).alias("pos"), rec.alias("rec")).groupBy(
+        "page_offset").agg(F.array_join(F.transform(
+            F.array_sort(F.collect_list(F.struct("pos", "rec"))), lambda s: s["rec"]), "")
+            .alias("body"))
+    head = ('<?xml version="1.0" encoding="UTF-8"?><OAI-PMH xmlns="http://www.openarchives.org/'
+            'OAI/2.0/"><ListRecords>')
+    return pages.select(
+        F.concat(F.lit("xoai_all_"), F.lpad(F.col("page_offset").cast("string"), 6, "0"),
+                 F.lit(".xml")).alias("file_name"),
+        F.concat(F.lit(head), F.col("body"), F.lit("</ListRecords></OAI-PMH>")).alias("xml"),
+    )

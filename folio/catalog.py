@@ -17,7 +17,7 @@ from folio import bindings as B
 from folio.session import read_table
 
 from folio.operators import election, keywords, ledger, people, progress, upsert
-from folio.sources import doc_text, oai_dc
+from folio.sources import doc_text, oai_dc, xoai
 from folio.operators.titlepage import extract_titlepage
 from folio.plans import queue, reports
 
@@ -269,7 +269,49 @@ def q_pending_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queue.pending_index(thesis, status)
 
 
+def rich_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return xoai.parse_xoai(B.xoai_pages(spark, sf_dir))
+
+
+def q_xoai_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = rich_records(spark, sf_dir)
+    return r.select("id", F.array_join("authors", "; ").alias("authors"),
+                    F.array_join("advisors", "; ").alias("advisors"), "degree")
+
+
+def q_xoai_bitstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return xoai.explode_bitstreams(rich_records(spark, sf_dir)).drop("checksum")
+
+
+def _degree_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert.fill_degree(B.metadata_levels(spark, sf_dir), rich_records(spark, sf_dir))
+
+
+def q_degree_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _degree_fill(spark, sf_dir).select("thesis_id", "degree_level", "degree_raw")
+
+
+def q_degree_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.degree_audit(B.metadata_levels(spark, sf_dir), _degree_fill(spark, sf_dir))
+
+
+def q_files_replace_carry_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bundle files replace the item-page file table; access carries over."""
+    state = B.files_from_lineitem(spark, sf_dir).select(
+        "thesis_id", "filename", F.lit(None).cast("string").alias("size_label"), "size_bytes",
+        "access", "description", "filetype", "url", F.lit(None).cast("string").alias("role"))
+    new = election.elect_primary_scored(xoai.explode_bitstreams(rich_records(spark, sf_dir)))
+    out = upsert.replace_files(state, new)
+    return out.select("thesis_id", "filename", "size_bytes", "access", "description", "filetype",
+                      "role", "url")
+
+
 QUERIES: dict[str, Query] = {
+    "xoai_records": q_xoai_records,
+    "xoai_bitstreams": q_xoai_bitstreams,
+    "degree_fill": q_degree_fill,
+    "degree_audit": q_degree_audit,
+    "files_replace_carry_access": q_files_replace_carry_access,
     "run_summary": q_run_summary,
     "reconcile_document_wins": q_reconcile_document_wins,
     "schema_evolution_union": q_schema_evolution_union,

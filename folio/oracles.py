@@ -473,3 +473,58 @@ SELECT thesis_id FROM b6
 WHERE thesis_id NOT IN (SELECT DISTINCT l_orderkey FROM lineitem)
 ORDER BY thesis_id""",
 })
+
+
+# --- rich records -----------------------------------------------------------------
+
+_XOAI_FILES = """
+SELECT bs.k AS thesis_id, CAST(bs.pos - 1 AS INTEGER) AS pos,
+  coalesce(bs.bs_name, bs.bs_original) AS filename,
+  bs.bs_size AS size_bytes,
+  CASE bs.bs_description WHEN 'COMPLETE_TEXT' THEN 'Heildartexti' WHEN 'DECLARATION' THEN 'Yfirlýsing'
+       ELSE bs.bs_description END AS description,
+  CASE bs.bs_format WHEN 'application/zip' THEN 'ZIP' WHEN 'application/pdf' THEN 'PDF'
+       ELSE upper(regexp_extract(coalesce(bs.bs_name, bs.bs_original), '[^.]*$')) END AS filetype,
+  bs.bs_url AS url,
+  CAST(bs.pos AS INTEGER) AS sid
+FROM (""" + B.B2_BITSTREAMS + """) bs
+JOIN (""" + B.B2_RECORDS + """) r ON r.k = bs.k
+WHERE NOT r.deleted AND r.has_handle
+"""
+
+_DEGREE_FILLED = """
+filled AS (
+  SELECT m.thesis_id,
+    coalesce(m.degree_level, CASE r.degree WHEN 'Meistaragráða' THEN 'master'
+      WHEN 'Graduate diploma' THEN 'diploma' WHEN 'Doctoral' THEN 'phd' END) AS degree_level,
+    r.degree AS degree_raw
+  FROM b6 m LEFT JOIN (SELECT k, degree FROM b2 WHERE NOT deleted AND has_handle AND degree IS NOT NULL) r
+    ON r.k = m.thesis_id
+)
+"""
+
+ORACLES.update({
+    "xoai_records": _with(b2=B.B2_RECORDS) + """
+SELECT k AS id, author AS authors, concat_ws('; ', advisor1, advisor2) AS advisors, degree
+FROM b2 WHERE NOT deleted AND has_handle""",
+    "xoai_bitstreams": _with(x=_XOAI_FILES) + "\nSELECT * FROM x",
+    "degree_fill": _with(b6=B.B6_METADATA, b2=B.B2_RECORDS) + ",\n" + _DEGREE_FILLED
+        + "SELECT * FROM filled",
+    "degree_audit": _with(b6=B.B6_METADATA, b2=B.B2_RECORDS) + ",\n" + _DEGREE_FILLED + """,
+bf AS (SELECT degree_level, count(*) AS n FROM b6 GROUP BY degree_level),
+af AS (SELECT degree_level, count(*) AS n FROM filled GROUP BY degree_level)
+SELECT coalesce(bf.degree_level, af.degree_level) AS degree_level,
+  coalesce(bf.n, 0) AS before, coalesce(af.n, 0) AS after
+FROM bf FULL OUTER JOIN af ON bf.degree_level IS NOT DISTINCT FROM af.degree_level""",
+    "files_replace_carry_access": _with(b4=_XOAI_FILES, st=B.B4_FILES) + ",\n" + _FILES_ROLE + """,
+known AS (
+  SELECT thesis_id, filename, max(access) AS access FROM st WHERE access IS NOT NULL
+  GROUP BY thesis_id, filename
+)
+SELECT thesis_id, filename, size_bytes, access, description, filetype,
+  CAST(NULL AS VARCHAR) AS role, url
+FROM st WHERE thesis_id NOT IN (SELECT thesis_id FROM tf)
+UNION ALL
+SELECT t.thesis_id, t.filename, t.size_bytes, k.access, t.description, t.filetype, t.role, t.url
+FROM tf t LEFT JOIN known k ON k.thesis_id = t.thesis_id AND k.filename = t.filename""",
+})

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio import bindings as B
-from folio.session import read_table
+from folio.session import new_work_dir, read_table
+from folio.streaming.ingest import PAGE_SCHEMA, run_to_bronze
 
 from folio.operators import election, keywords, ledger, people, progress, upsert
 from folio.sources import doc_text, oai_dc, xoai
@@ -306,7 +307,46 @@ def q_files_replace_carry_access(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "role", "url")
 
 
+def _land(df: DataFrame, path: str, files: int) -> None:
+    """Land rows as files, the way an upstream fetcher drops them."""
+    df.repartition(files).write.mode("overwrite").parquet(path)
+
+
+def q_stream_pages_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: pages arrive as files; the stream parses them into bronze."""
+    work = new_work_dir(spark, "st1")
+    _land(B.oai_pages(spark, sf_dir), f"{work}/landing", 4)
+    run_to_bronze(spark, f"{work}/landing", PAGE_SCHEMA, oai_dc.parse_oai_dc,
+                  f"{work}/bronze", f"{work}/checkpoint", max_files_per_trigger=1)
+    return _flat(spark.read.parquet(f"{work}/bronze"))
+
+
+def q_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: three replays streamed one file per micro-batch, then the whole
+    stream run again; the fold over bronze equals the batch fold."""
+    work = new_work_dir(spark, "st2")
+    _land(B.oai_pages(spark, sf_dir, B.B11_RECORDS), f"{work}/landing", 3)
+    for _ in range(2):
+        run_to_bronze(spark, f"{work}/landing", PAGE_SCHEMA, oai_dc.parse_oai_dc,
+                      f"{work}/bronze", f"{work}/checkpoint", max_files_per_trigger=1)
+    return upsert.merge_metadata(None, spark.read.parquet(f"{work}/bronze"))
+
+
+def q_stream_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3: fetch outcomes stream in; the ledger is folded from bronze."""
+    work = new_work_dir(spark, "st3")
+    outcomes = B.fetch_outcomes(spark, sf_dir)
+    _land(outcomes, f"{work}/landing", 4)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in outcomes.schema.fields)
+    run_to_bronze(spark, f"{work}/landing", schema, ledger.classify_fetch,
+                  f"{work}/bronze", f"{work}/checkpoint", max_files_per_trigger=2)
+    return ledger.merge_failures(spark.read.parquet(f"{work}/bronze"))
+
+
 QUERIES: dict[str, Query] = {
+    "stream_pages_ingest": q_stream_pages_ingest,
+    "stream_replay_idempotent": q_stream_replay_idempotent,
+    "stream_failure_ledger": q_stream_failure_ledger,
     "xoai_records": q_xoai_records,
     "xoai_bitstreams": q_xoai_bitstreams,
     "degree_fill": q_degree_fill,

@@ -528,3 +528,11 @@ UNION ALL
 SELECT t.thesis_id, t.filename, t.size_bytes, k.access, t.description, t.filetype, t.role, t.url
 FROM tf t LEFT JOIN known k ON k.thesis_id = t.thesis_id AND k.filename = t.filename""",
 })
+
+
+# Streams must land exactly where the batch jobs do.
+ORACLES.update({
+    "stream_pages_ingest": ORACLES["oai_dc_records"],
+    "stream_replay_idempotent": ORACLES["metadata_last_non_null"],
+    "stream_failure_ledger": ORACLES["failure_ledger_latest"],
+})

@@ -533,3 +533,48 @@ def xoai_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit(".xml")).alias("file_name"),
         F.concat(F.lit(head), F.col("body"), F.lit("</ListRecords></OAI-PMH>")).alias("xml"),
     )
+
+
+# B5 -- item pages: each order's files (B4) as a file grid, preceded by a decoy
+# grid without the file header; orders without files get a page with no grid.
+def _b5_label_sql() -> str:
+    return ("CASE WHEN size_bytes IS NULL THEN 'óþekkt' ELSE "
+            "CAST(CAST(floor(size_bytes / 1048576) AS BIGINT) AS STRING) || ',' || "
+            "lpad(CAST(CAST(floor((size_bytes % 1048576) * 100 / 1048576) AS BIGINT) AS STRING), 2, '0')"
+            " || ' MB' END")
+
+
+B5_ROWS = f"""
+SELECT thesis_id, pos, filename, {_b5_label_sql()} AS size_label,
+  coalesce(access, 'Lokaður') AS access_label, coalesce(description, '') AS description_label,
+  filetype, url
+FROM ({B4_FILES}) b4
+"""
+
+
+def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    rows = run_binding(spark, sf_dir, B5_ROWS).select(
+        "thesis_id", "pos",
+        F.concat(
+            F.lit("<tr><td>"), F.col("filename"), F.lit("</td><td>"), F.col("size_label"),
+            F.lit("</td><td>"), F.col("access_label"), F.lit("</td><td>"),
+            F.col("description_label"), F.lit("</td><td>"), F.col("filetype"),
+            F.lit('</td><td><a href="'), F.col("url"), F.lit('">Opna</a></td></tr>'),
+        ).alias("tr"),
+    )
+    grid = rows.groupBy("thesis_id").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "tr"))), lambda s: s["tr"]), "\n").alias("body"))
+    ids = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("thesis_id"))
+    decoy = ('<table class="t-data-grid"><thead><tr><th>Skrá</th><th>Lýsing</th></tr></thead>'
+             '<tbody><tr><td>a</td><td>b</td><td>c</td><td>d</td><td>e</td></tr></tbody></table>')
+    head = ('<table class="t-data-grid files"><thead><tr><th>Skráarnafn</th><th>Stærð</th>'
+            '<th>Aðgangur</th><th>Lýsing</th><th>Snið</th><th></th></tr></thead><tbody>\n')
+    html = F.concat(
+        F.lit("<html><body><h1>Item</h1>"), F.lit(decoy),
+        F.when(F.col("body").isNotNull(), F.concat(F.lit(head), F.col("body"),
+                                                   F.lit("\n</tbody></table>"))).otherwise(F.lit("")),
+        F.lit("</body></html>"),
+    )
+    return ids.join(grid, "thesis_id", "left").select("thesis_id", html.alias("html"))

@@ -18,7 +18,7 @@ from folio.session import new_work_dir, read_table
 from folio.streaming.ingest import PAGE_SCHEMA, run_to_bronze
 
 from folio.operators import election, keywords, ledger, people, progress, upsert
-from folio.sources import doc_text, oai_dc, xoai
+from folio.sources import doc_text, html_grid, oai_dc, xoai
 from folio.operators.titlepage import extract_titlepage
 from folio.plans import queue, reports
 
@@ -343,7 +343,32 @@ def q_stream_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.merge_failures(spark.read.parquet(f"{work}/bronze"))
 
 
+def q_html_file_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_grid.parse_file_grid(B.item_pages(spark, sf_dir))
+
+
+INDEXED_AT = dt.datetime(2024, 1, 1, 12, 0, 0)
+
+
+def q_file_index_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fetched item page replaces its files, zero files included."""
+    pages = B.item_pages(spark, sf_dir)
+    files = election.elect_primary_tiered(html_grid.parse_file_grid(pages))
+    _, status = upsert.replace_file_index(None, None, pages, files, INDEXED_AT)
+    return status
+
+
+def q_file_index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = B.item_pages(spark, sf_dir)
+    files = election.elect_primary_tiered(html_grid.parse_file_grid(pages))
+    out, _ = upsert.replace_file_index(None, None, pages, files, INDEXED_AT)
+    return out.select("thesis_id", "filename", "size_bytes", "access", "url", "role")
+
+
 QUERIES: dict[str, Query] = {
+    "html_file_grid": q_html_file_grid,
+    "file_index_status": q_file_index_status,
+    "file_index_files": q_file_index_files,
     "stream_pages_ingest": q_stream_pages_ingest,
     "stream_replay_idempotent": q_stream_replay_idempotent,
     "stream_failure_ledger": q_stream_failure_ledger,

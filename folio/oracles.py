@@ -536,3 +536,43 @@ ORACLES.update({
     "stream_replay_idempotent": ORACLES["metadata_last_non_null"],
     "stream_failure_ledger": ORACLES["failure_ledger_latest"],
 })
+
+
+# --- item-page grid -----------------------------------------------------------------
+
+_B5_FILES = """
+SELECT thesis_id, CAST(pos - 1 AS INTEGER) AS pos, filename, size_label,
+  CASE WHEN size_label = 'óþekkt' THEN NULL
+       ELSE CAST(trunc(CAST(replace(replace(regexp_extract(size_label, '^([0-9.,]+)', 1), '.', ''), ',', '.')
+                            AS DOUBLE) * 1048576) AS BIGINT) END AS size_bytes,
+  access_label AS access, description_label AS description, filetype, url AS href
+FROM b5
+"""
+
+ORACLES.update({
+    "html_file_grid": _with(b5=B.B5_ROWS) + ",\ng AS (" + _B5_FILES + ")\nSELECT * FROM g",
+    "file_index_status": _with(b5=B.B5_ROWS) + """
+SELECT o.o_orderkey AS thesis_id, TIMESTAMP '2024-01-01 12:00:00' AS indexed_at,
+  CAST(count(b5.thesis_id) AS INTEGER) AS file_count
+FROM orders o LEFT JOIN b5 ON b5.thesis_id = o.o_orderkey GROUP BY o.o_orderkey""",
+    "file_index_files": _with(b5=B.B5_ROWS) + ",\nb4 AS (" + _B5_FILES + f"""),
+tiered AS (
+  SELECT b4.*,
+    CASE WHEN lower(trim(coalesce(description, ''))) = 'heildartexti' THEN 1
+         WHEN lower(trim(coalesce(description, ''))) NOT IN ({_NOT_THESIS})
+              AND NOT regexp_matches(coalesce(filename, ''), '{_FORM_NAME}') THEN 0 END AS tier
+  FROM b4
+),
+win AS (
+  SELECT thesis_id, pos AS win_pos FROM (
+    SELECT thesis_id, pos,
+      row_number() OVER (PARTITION BY thesis_id
+                         ORDER BY tier DESC, coalesce(size_bytes, -1) DESC, pos ASC) AS rn
+    FROM tiered WHERE upper(coalesce(filetype, '')) = 'PDF' AND tier IS NOT NULL) t
+  WHERE rn = 1
+)
+SELECT b.thesis_id, b.filename, b.size_bytes, b.access,
+  CASE WHEN b.href LIKE '/%' THEN 'https://repository.example' || b.href ELSE b.href END AS url,
+  CASE WHEN b.pos = w.win_pos THEN 'primary' ELSE 'secondary' END AS role
+FROM b4 b LEFT JOIN win w ON w.thesis_id = b.thesis_id""",
+})

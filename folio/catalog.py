@@ -365,7 +365,15 @@ def q_file_index_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("thesis_id", "filename", "size_bytes", "access", "url", "role")
 
 
+def q_people_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People from the rich records' authors and advisors."""
+    ppl, links = people.load_people(rich_records(spark, sf_dir))
+    return links.join(ppl, links["person_id"] == ppl["id"]).select(
+        "thesis_id", "role", "sort_order", "person_id", "name", "year_born")
+
+
 QUERIES: dict[str, Query] = {
+    "people_load": q_people_load,
     "html_file_grid": q_html_file_grid,
     "file_index_status": q_file_index_status,
     "file_index_files": q_file_index_files,

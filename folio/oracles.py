@@ -576,3 +576,22 @@ SELECT b.thesis_id, b.filename, b.size_bytes, b.access,
   CASE WHEN b.pos = w.win_pos THEN 'primary' ELSE 'secondary' END AS role
 FROM b4 b LEFT JOIN win w ON w.thesis_id = b.thesis_id""",
 })
+
+ORACLES["people_load"] = _with(b2=B.B2_RECORDS) + """,
+m AS (
+  SELECT k AS thesis_id, 'author' AS role, 0 AS sort_order, author AS name FROM b2
+  WHERE NOT deleted AND has_handle
+  UNION ALL
+  SELECT k, 'advisor', 0, advisor1 FROM b2 WHERE NOT deleted AND has_handle AND advisor1 IS NOT NULL
+  UNION ALL
+  SELECT k, 'advisor', CASE WHEN advisor1 IS NULL THEN 0 ELSE 1 END, advisor2 FROM b2
+  WHERE NOT deleted AND has_handle
+),
+firsts AS (
+  SELECT name, thesis_id * 1000 + sort_order * 2 + CASE WHEN role = 'advisor' THEN 1 ELSE 0 END AS person_id
+  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY thesis_id, role, sort_order) AS rn FROM m) t
+  WHERE rn = 1
+)
+SELECT m.thesis_id, m.role, CAST(m.sort_order AS INTEGER) AS sort_order, f.person_id, m.name,
+  CAST(NULL AS INTEGER) AS year_born
+FROM m JOIN firsts f ON f.name = m.name"""

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import packing, sharding
+from folio.llm import bpe, packing, sharding
 from folio.session import read_table
 
 
@@ -22,9 +22,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                          public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_sharding": op3_sharding,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES: dict[str, str] = {}

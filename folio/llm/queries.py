@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, packing, quality, sharding
+from folio.llm import bpe, langid, packing, quality, sharding
 from folio.session import read_table
 
 
@@ -22,6 +22,13 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    found = langid.detect(docs, langid.fit(docs))
+    return found.select("doc_id", F.coalesce(langid.held_out(), F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
 
@@ -35,6 +42,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_sharding": op3_sharding,
+    "op4_langid": op4_langid,
     "op7_quality": op7_quality,
     "op10_bpe": op10_bpe,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import bpe, langid, packing, quality, sharding
+from folio.llm import ann, bpe, html_extract, langid, packing, quality, sharding
 from folio.session import read_table
 
 
@@ -29,6 +29,15 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score")
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages").select(
+        "page_id", "url", "html"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(spark, read_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
 
@@ -43,6 +52,8 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_sharding": op3_sharding,
     "op4_langid": op4_langid,
+    "op5_html": op5_html,
+    "op6_ann": op6_ann,
     "op7_quality": op7_quality,
     "op10_bpe": op10_bpe,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import ann, bpe, html_extract, langid, packing, quality, sharding
+from folio.llm import ann, bpe, html_extract, langid, packing, pii, quality, sharding
 from folio.session import read_table
 
 
@@ -42,6 +42,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(spark, read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -55,6 +59,7 @@ QUERIES = {
     "op5_html": op5_html,
     "op6_ann": op6_ann,
     "op7_quality": op7_quality,
+    "op8_pii": op8_pii,
     "op10_bpe": op10_bpe,
 }
 

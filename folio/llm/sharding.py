@@ -15,7 +15,7 @@ DataFrame functions only. The driver draws the matrix: partitions x shards numbe
 
 Defined cases: a null text has size 1 and checksum 0; equal rows are separate
 rows; null keys are kept; an empty table gives no rows; other columns travel
-along or not as the caller selects them.
+along, but for ``shard`` and ``slot``, which are made anew.
 """
 
 from __future__ import annotations
@@ -68,8 +68,9 @@ def _hypergeometric(rng, good: int, bad: int, draws: int) -> int:
 def shuffle_shards(spark: SparkSession, rows: DataFrame, shards: int = SHARDS,
                    seed: int = SEED) -> DataFrame:
     """``rows`` with ``shard`` (0 to shards-1) and ``slot`` (gapless from 0 there)."""
+    rows = rows.drop("shard", "slot")
     kept = rows.columns
-    part, row, rank, key = "_part", "_row", "_rank", "_key"
+    part, row, rank, key = "__part", "__row", "__rank", "__key"
     source = staged(spark, rows.withColumns(
         {part: F.spark_partition_id(), row: F.monotonically_increasing_id()}), "sharding")
     counts = sorted((r[part], r["n"]) for r in
@@ -77,29 +78,29 @@ def shuffle_shards(spark: SparkSession, rows: DataFrame, shards: int = SHARDS,
     matrix = communication_matrix([n for _, n in counts], shards, seed)
     ends = spark.createDataFrame(
         [(p, [int(x) for x in np.cumsum(m)]) for (p, _), m in zip(counts, matrix)],
-        f"{part} int, _ends array<long>")
+        f"{part} int, __ends array<long>")
 
     local = Window.partitionBy(part).orderBy(F.xxhash64(F.lit(seed), F.col(row)), F.col(row))
     dealt = (
         source.withColumn(rank, F.row_number().over(local))
         .join(ends, part)
-        .withColumn("shard", F.size(F.filter("_ends", lambda e: e < F.col(rank))))
+        .withColumn("shard", F.size(F.filter("__ends", lambda e: e < F.col(rank))))
         .withColumn(key, F.xxhash64(F.lit(seed + 1), F.col(row)))
     )
     total = int(sum(n for _, n in counts))
     buckets = max(1, total // shards // BUCKET_ROWS)
-    dealt = dealt.withColumn("_bucket", F.shiftrightunsigned(key, 33) * buckets
-                             / F.lit(2**31)).withColumn("_bucket", F.col("_bucket").cast("int"))
-    dealt = staged(spark, dealt.select(*kept, row, key, "shard", "_bucket"), "sharding")
-    sizes = dealt.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("n"))
-    base = sizes.select("shard", "_bucket", (
-        F.sum("n").over(Window.partitionBy("shard").orderBy("_bucket")) - F.col("n"))
-        .alias("_base"))
-    place = Window.partitionBy("shard", "_bucket").orderBy(key, row)
+    dealt = dealt.withColumn("__bucket", F.shiftrightunsigned(key, 33) * buckets
+                             / F.lit(2**31)).withColumn("__bucket", F.col("__bucket").cast("int"))
+    dealt = staged(spark, dealt.select(*kept, row, key, "shard", "__bucket"), "sharding")
+    sizes = dealt.groupBy("shard", "__bucket").agg(F.count(F.lit(1)).alias("n"))
+    base = sizes.select("shard", "__bucket", (
+        F.sum("n").over(Window.partitionBy("shard").orderBy("__bucket")) - F.col("n"))
+        .alias("__base"))
+    place = Window.partitionBy("shard", "__bucket").orderBy(key, row)
     return (
         dealt.withColumn(rank, F.row_number().over(place))
-        .join(base, ["shard", "_bucket"])
-        .select(*kept, "shard", (F.col("_base") + F.col(rank) - 1).cast("long").alias("slot"))
+        .join(base, ["shard", "__bucket"])
+        .select(*kept, "shard", (F.col("__base") + F.col(rank) - 1).cast("long").alias("slot"))
     )
 
 

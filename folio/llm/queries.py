@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm import ann, bpe, html_extract, langid, packing, pii, quality, sharding
+from folio.llm import (
+    ann, bpe, html_extract, jaccard_join, langid, packing, pii, quality, sharding,
+)
 from folio.session import read_table
 
 
@@ -15,6 +17,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.join(spark, docs)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.document_rows(read_table(spark, sf_dir, "documents"))
     return sharding.shuffle_shards(spark, rows).select(
@@ -54,6 +61,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_sharding": op3_sharding,
     "op4_langid": op4_langid,
     "op5_html": op5_html,

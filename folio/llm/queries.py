@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from folio.llm import (
     ann, bpe, html_extract, jaccard_join, langid, packing, pii, quality, sharding,
+    suffix_dedup,
 )
 from folio.session import read_table
 
@@ -53,6 +54,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(spark, read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(
+        spark, read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
@@ -68,6 +74,7 @@ QUERIES = {
     "op6_ann": op6_ann,
     "op7_quality": op7_quality,
     "op8_pii": op8_pii,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe": op10_bpe,
 }
 

@@ -333,12 +333,10 @@ def chosen_children(big: DataFrame, tokens: DataFrame) -> DataFrame:
         run, "node long, u long, parent_n long")
 
 
-def join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-         threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
-         with_links: bool = True) -> DataFrame:
-    """One row per document: ``(key, class_id, links, set_id)``. Documents connected by
-    links share ``class_id``, the least key of them; ``links`` counts the documents at the
-    threshold with it, copies included; ``set_id`` tells equal shingle sets."""
+def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold: float,
+            recall: float, with_links: bool) -> DataFrame:
+    """One row per document: ``(key, tkey, sid, n, class, links)``; ``tkey`` is the digest of its
+    text, ``sid`` of its shingle set, ``class`` a number of this run, null without shingles."""
     rows = staged(spark, described(docs, key, text, runs_for(recall, threshold)), "jaccard")
     sets = staged(spark, rows.where("n > 0").groupBy("sid").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("tkey", "sketch", "nodes")).alias("x"))
@@ -382,13 +380,42 @@ def join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
                            "u", "left")
     else:
         found = found.withColumn("links", F.lit(None).cast("long"))
-    found = found.select("sid", F.coalesce("c", "u").alias("class_id"), "u", (
+    found = found.select("sid", F.coalesce("c", "u").alias("class"), (
         F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    named = rows.join(found, "sid", "left").select(
-        "key", "sid", "n", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("links"))
+    return rows.join(found, "sid", "left").select(
+        "key", "tkey", "sid", "n", "class", F.coalesce("links", F.lit(0)).cast("long").alias(
+            "links"))
+
+
+def join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
+         threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
+         with_links: bool = True) -> DataFrame:
+    """One row per document: ``(key, class_id, links, set_id)``. Documents connected by
+    links share ``class_id``, the least key of them; ``links`` counts the documents at the
+    threshold with it, copies included; ``set_id`` tells equal shingle sets."""
+    named = classes(spark, docs, key, text, threshold, recall, with_links)
     # A class is named by its least key; hot classes meet map-side and in a skew-split join.
-    least = named.where("n > 0").groupBy("class_id").agg(F.min("key").alias("least"))
-    return named.join(least, "class_id", "left").select(
+    least = named.where(F.col("class").isNotNull()).groupBy("class").agg(
+        F.min("key").alias("least"))
+    return named.join(least, "class", "left").select(
         F.col("key").alias(key),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("class_id"),
-        "links", F.hex("sid").alias("set_id"))
+        F.when(F.col("class").isNotNull(), F.col("least")).otherwise(F.col("key")).alias(
+            "class_id"), "links", F.hex("sid").alias("set_id"))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
+                threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
+    """``docs`` with one document of each class, the one of least key (then text digest).
+    A document without words is a class of its own; rows with equal key and text are one."""
+    named = staged(spark, classes(spark, docs, key, text, threshold, recall, False), "jaccard")
+    least = named.where(F.col("class").isNotNull()).groupBy("class").agg(
+        F.min(F.struct("key", "tkey")).alias("x")).select("x.*")
+    stay = least.union(named.where(F.col("class").isNull()).select("key", "tkey").distinct())
+    mine = docs.withColumn("__tkey", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
+    kept = mine.join(stay.select(F.col("key").alias("__key"), F.col("tkey").alias("__t")),
+                     F.col(f"`{key}`").eqNullSafe(F.col("__key"))
+                     & (F.col("__tkey") == F.col("__t")), "left_semi")
+    rest = [c for c in docs.columns if c != key]
+    return kept.groupBy(F.col(f"`{key}`").alias(key), "__tkey").agg(
+        F.first(F.struct(*(F.col(f"`{c}`") for c in rest))).alias("__row")).select(
+        *(F.col(f"`{key}`") if c == key else F.col(f"__row.`{c}`") for c in docs.columns))

@@ -37,6 +37,8 @@ SWITCH_PENALTY = 6.0
 SMOOTHING = 0.5
 #: A language uses a script if it has this share of its training letters.
 SCRIPT_SHARE = 0.02
+#: A text in which no language has this score is rejected by ``known``.
+LEAST_SCORE = 0.25
 BATCH_BYTES = 4 << 20
 
 #: Script ranges by first code point (fixed values of the Unicode blocks).
@@ -220,60 +222,87 @@ def viterbi(scores: np.ndarray, size: np.ndarray, penalty: float) -> np.ndarray:
     return out
 
 
+class Labels:
+    """The words of a run of texts with their languages, and each text's own."""
+
+    def __init__(self, texts: list[str], model: Model, letter, script, penalty: float):
+        codes, words = numbered(texts)
+        n, n_lang = len(texts), len(model.langs)
+        self.size = np.array([len(c) for c in codes], dtype=np.int64)
+        self.pred, self.score = np.full(n, -1), np.zeros(n)
+        flat = np.concatenate([*codes, np.zeros(0, dtype=np.int64)])
+        self.words = np.zeros(len(flat), dtype=np.int64)
+        if not words or not n_lang:
+            return
+        found = Words(words, letter, script)
+        scores = word_scores(found, model)
+        self.words = viterbi(scores[flat], self.size, penalty)
+        odds = np.exp(scores - scores.max(axis=1, keepdims=True))
+        odds /= odds.sum(axis=1, keepdims=True)
+        doc = np.repeat(np.arange(n), self.size)
+        letters = found.letters[flat]
+        by_lang = np.bincount(doc * n_lang + self.words, weights=letters,
+                              minlength=n * n_lang).reshape(n, n_lang)
+        some = by_lang.sum(axis=1) > 0
+        self.pred[some] = by_lang[some].argmax(axis=1)
+        mine = odds[flat, np.maximum(self.pred, 0)[doc]] * letters
+        self.score[some] = np.clip(np.bincount(doc, weights=mine, minlength=n)[some]
+                                   / by_lang.sum(axis=1)[some], 0, 1)
+
+    def names(self, langs: list[str]) -> list[str]:
+        return [langs[p] if p >= 0 else UNDETERMINED for p in self.pred]
+
+    def spans(self, langs: list[str]) -> list[list[dict]]:
+        """Each text's runs of words of one language."""
+        out, at = [], 0
+        for s in self.size.tolist():
+            own = self.words[at:at + s]
+            cut = np.append(0, np.flatnonzero(np.diff(own)) + 1) if s and langs else []
+            out.append([{"lang": langs[own[i]], "first_word": int(i), "n_words": int(j - i)}
+                        for i, j in zip(cut, [*cut[1:], s])])
+            at += s
+        return out
+
+
 def detect(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text",
            penalty: float = SWITCH_PENALTY, with_spans: bool = False) -> DataFrame:
     """``(key, lang_pred, score)`` and, ``with_spans``, runs of words of one language as
     ``array<struct<lang, first_word, n_words>>``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    spans_type = "array<struct<lang: string, first_word: int, n_words: int>>"
     spans_arrow = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()),
                                       ("n_words", pa.int32())]))
 
-    def spans(labels, langs):
-        if not len(labels):
-            return []
-        cut = np.flatnonzero(np.diff(labels)) + 1
-        a, b = np.append(0, cut), np.append(cut, len(labels))
-        return [{"lang": langs[labels[i]], "first_word": int(i), "n_words": int(j - i)}
-                for i, j in zip(a, b)]
-
     def run(batches):
-        model = shared.value
-        letter, script = letter_tables()
+        model, tables = shared.value, letter_tables()
         for batch in text_runs(batches, text, BATCH_BYTES):
-            codes, words = numbered(texts_of(batch.column(1)))
-            n_docs, n_lang = len(codes), len(model.langs)
-            found = Words(words, letter, script) if words else None
-            pred, score = np.full(n_docs, -1), np.zeros(n_docs)
-            size = np.array([len(c) for c in codes], dtype=np.int64)
-            flat = np.concatenate([*codes, np.zeros(0, dtype=np.int64)])
-            labels = np.zeros(len(flat), dtype=np.int64)
-            if found is not None and n_lang:
-                scores = word_scores(found, model)
-                labels = viterbi(scores[flat], size, penalty)
-                odds = np.exp(scores - scores.max(axis=1, keepdims=True))
-                odds /= odds.sum(axis=1, keepdims=True)
-                doc = np.repeat(np.arange(n_docs), size)
-                letters = found.letters[flat]
-                by_lang = np.bincount(doc * n_lang + labels, weights=letters,
-                                      minlength=n_docs * n_lang).reshape(n_docs, n_lang)
-                some = by_lang.sum(axis=1) > 0
-                pred[some] = by_lang[some].argmax(axis=1)
-                mine = odds[flat, np.maximum(pred, 0)[doc]] * letters
-                score[some] = (np.bincount(doc, weights=mine, minlength=n_docs)[some]
-                               / by_lang.sum(axis=1)[some])
-            out = [batch.column(0),
-                   pa.array([model.langs[p] if p >= 0 else UNDETERMINED for p in pred]),
-                   pa.array(np.clip(score, 0, 1))]
-            names = [key, "lang_pred", "score"]
+            found = Labels(texts_of(batch.column(1)), model, *tables, penalty)
+            out = [batch.column(0), pa.array(found.names(model.langs), pa.string()),
+                   pa.array(found.score)]
             if with_spans:
-                ends = np.cumsum(size)
-                out.append(pa.array([spans(labels[e - s:e], model.langs) if n_lang else []
-                                     for s, e in zip(size, ends)], spans_arrow))
-                names.append("spans")
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                out.append(pa.array(found.spans(model.langs), spans_arrow))
+            yield pa.RecordBatch.from_arrays(
+                out, names=[key, "lang_pred", "score"] + ["spans"] * with_spans)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(
         run, f"`{key}` {kind}, lang_pred string, score double"
-        + f", spans {spans_type}" * with_spans)
+        + ", spans array<struct<lang: string, first_word: int, n_words: int>>" * with_spans)
+
+
+def known(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang",
+          least_score: float = LEAST_SCORE, penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The documents with a language: ``und`` ones and those below ``least_score`` go, ``lang`` is
+    set to the prediction, every other column stays as it is."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        model, tables = shared.value, letter_tables()
+        for batch in text_runs(batches, text, BATCH_BYTES):
+            at = batch.schema.get_field_index(text)
+            found = Labels(texts_of(batch.column(at)), model, *tables, penalty)
+            keep = pa.array((found.pred >= 0) & (found.score >= least_score))
+            new = batch.set_column(batch.schema.get_field_index(lang), lang,
+                                   pa.array(found.names(model.langs), pa.string()))
+            yield new.filter(keep)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -24,8 +24,6 @@ from folio.llm.common import ragged
 
 BASE = 1 << 22
 MEMORY = 256 << 20
-K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-
 
 class Queue:
     """Suffix tuples (position, common prefix with the one before) by first character."""
@@ -76,29 +74,37 @@ def s_types(text: np.ndarray, runs: np.ndarray) -> np.ndarray:
     return ~last & (text[np.where(last, 0, after)] > text)
 
 
-def prefix_hash(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Polynomial prefix sums over mixed symbols, and the powers that shift them."""
-    x = (text.astype(np.uint64) + np.uint64(1)) * K2
-    x = (x ^ (x >> np.uint64(29))) * K1
-    x ^= x >> np.uint64(32)
-    with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(len(text), K1, dtype=np.uint64))
-        inverse = np.uint64(pow(int(K1), -1, 1 << 64))
-        back = np.cumprod(np.full(len(text) + 1, inverse, dtype=np.uint64))
-        return np.append(np.uint64(0), np.cumsum(x * power)), back, x
+def packed(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """Several symbols from each position on in one number, and how many; zeros follow the
+    text, whose last symbol occurs once, so two suffixes differ before them."""
+    if len(text) == 0 or int(text.max()) >= 512:
+        return text, 1
+    out = np.zeros(len(text), dtype=np.int64)
+    for j in range(7):
+        out <<= 9
+        out[:max(len(text) - j, 0)] += text[j:]
+    return out, 7
 
 
 def common_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Common prefix of the suffixes at ``a`` and ``b``, ``depth`` at most."""
-    sums, back, _ = prefix_hash(text)
-    low = np.zeros(len(a), dtype=np.int64)
-    high = np.minimum(depth, len(text) - np.maximum(a, b))
-    while (low < high).any():
-        mid = (low + high + 1) // 2
-        same = (sums[a + mid] - sums[a]) * back[a] == (sums[b + mid] - sums[b]) * back[b]
-        low = np.where(same, mid, low)
-        high = np.where(same, high, mid - 1)
-    return low
+    words, width = packed(text)
+    out = np.zeros(len(a), dtype=np.int32)
+    live = np.arange(len(a))
+    at = 0
+    while len(live) and at < depth:
+        x, y = a[live] + at, b[live] + at
+        other = words[x] ^ words[y]
+        ended = other != 0
+        gone, left = live[ended], other[ended]
+        out[gone] = at
+        if width > 1:
+            for j in range(width):
+                out[gone] += (left >> (9 * (width - 1 - j))) == 0
+        live = live[~ended]
+        at += width
+    out[live] = depth
+    return np.minimum(out, depth)
 
 
 def rank_in_memory(names: np.ndarray, symbols: int) -> np.ndarray:
@@ -125,7 +131,7 @@ def sorted_minima(text, stype, minima, depth, base, memory):
     """The S*-suffixes in order, by naming their substrings and sorting the names."""
     ends = np.append(minima[1:], len(text) - 1)
     size = ends - minima + 1
-    coded = text.astype(np.int64) * 2 + stype  # at equal symbols an L-suffix is smaller
+    coded = text * 2 + stype  # at equal symbols an L-suffix is smaller
     coded[-1] = 0
     # Names in order: stable passes from the last symbol of a substring to the first,
     # over the substrings long enough to have one.
@@ -135,7 +141,7 @@ def sorted_minima(text, stype, minima, depth, base, memory):
     live = np.searchsorted(-size[by_size], -np.arange(1, top + 1), side="right")
     for k in range(top - 1, -1, -1):
         some = by_size[:live[k]]
-        key = coded[minima[some] + k] * (len(minima) + 1) + rank[some]
+        key = coded[minima[some] + k].astype(np.int64) * (len(minima) + 1) + rank[some]
         _, place = np.unique(key, return_inverse=True)
         rank[some] = place + 1
     if len(minima) > base and rank.max() < len(minima):

@@ -12,8 +12,9 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else
    repeats. Only keys with a segment that occurs once go on.
 3. Order. Keys are packed into shards of about ``SHARD`` bytes; each shard's suffix array and
    common prefixes come from external induced sorting (``induced_sort``). Neighbours
-   with a common prefix of ``LENGTH`` bytes are repeats. A key larger than a shard is split
-   by the string itself: its starts fold as single strings with counts, exactly.
+   with a common prefix of ``LENGTH`` bytes are repeats. A key of more than ``LARGEST_KEY``
+   bytes is split by the string itself: its starts fold as single strings with counts,
+   exactly.
 
 Equal texts fold first (by a 128-bit digest), so groups of copies cost one text.
 
@@ -32,12 +33,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm.common import staged, text_runs
-from folio.llm.induced_sort import K1, K2, suffix_order
+from folio.llm.induced_sort import suffix_order
 
 LENGTH = 400
 GRAM = 32
-SHARD = 2 << 20
+#: Bytes sorted together: keys are added until so many are reached.
+SHARD = 1 << 20
+#: A key with more bytes than this is split by the string itself.
+LARGEST_KEY = 6 << 20
 BATCH_BYTES = 4 << 20
+K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
@@ -224,8 +229,10 @@ def segment_rows(found: DataFrame, length: int) -> DataFrame:
         run, "key long, seg binary, data binary, u long, start int, copies long")
 
 
-def repeats_in_shards(open_segments: DataFrame, shards: int, length: int) -> DataFrame:
-    """``(seg, first, last)``: runs of repeated starts in segments ``(key, seg, data)``."""
+def repeats_in_shards(open_segments: DataFrame, partitions: int, length: int, shard_bytes: int
+                      ) -> DataFrame:
+    """``(seg, first, last)``: runs of repeated starts in segments ``(key, seg, data)``. A shard
+    is closed at the first key after ``shard_bytes``, so it holds whole keys."""
 
     def flush(held):
         runs = repeated_starts([d for _, d in held], length)
@@ -237,20 +244,21 @@ def repeats_in_shards(open_segments: DataFrame, shards: int, length: int) -> Dat
                 names=["seg", "first", "last"])
 
     def run(batches):
-        held, shard = [], None
+        held, last, size = [], None, 0
         for batch in batches:
-            for mine, seg, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if mine != shard and held:
+            for key, seg, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if key != last and size >= shard_bytes:
                     yield from flush(held)
-                    held = []
-                shard = mine
+                    held, size = [], 0
+                last = key
                 held.append((seg, data))
+                size += len(data) + 1
         if held:
             yield from flush(held)
 
-    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")
-    return open_segments.select(shard, "seg", "data").repartition("shard").sortWithinPartitions(
-        "shard").mapInArrow(run, "seg binary, first int, last int")
+    return open_segments.select("key", "seg", "data").repartition(
+        partitions, "key").sortWithinPartitions("key").mapInArrow(
+        run, "seg binary, first int, last int")
 
 
 def repeats_by_string(hot: DataFrame, length: int) -> DataFrame:
@@ -263,8 +271,8 @@ def repeats_by_string(hot: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text",
-                   length: int = LENGTH, shard_bytes: int = SHARD
-                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   length: int = LENGTH, shard_bytes: int = SHARD,
+                   largest_key: int = LARGEST_KEY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents' digests in order of rows, repeated starts ``(u, first, last)`` of the distinct
     texts, the texts that have candidates ``(u, tkey, text)``)."""
     rows = staged(spark, texts_with_anchors(docs, text, length), "suffix")
@@ -285,16 +293,17 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text",
                                      F.sum(F.octet_length("data") + 1).alias("size")).where(
         "least = 1").select("key", "size")
     keys = staged(spark, keys, "suffix")
-    cool = keys.where(F.col("size") <= shard_bytes)
+    cool = keys.where(F.col("size") <= largest_key)
     total = cool.agg(F.sum("size")).collect()[0][0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    shards = -(-total // shard_bytes)
     parts = [folded.where("times > 1").select(
         "seg", F.lit(0).alias("first"), (F.octet_length("data") - length).alias("last"))]
     if total:
-        parts.append(repeats_in_shards(folded.join(cool, "key"), shards, length))
-    if keys.where(F.col("size") > shard_bytes).limit(1).count():
-        parts.append(repeats_by_string(folded.join(
-            keys.where(F.col("size") > shard_bytes), "key"), length))
+        parts.append(repeats_in_shards(folded.join(cool, "key"), shards, length,
+                                       shard_bytes))
+    hot = keys.where(F.col("size") > largest_key)
+    if hot.limit(1).count():
+        parts.append(repeats_by_string(folded.join(hot, "key"), length))
     runs = parts[0]
     for p in parts[1:]:
         runs = runs.unionByName(p)
@@ -316,10 +325,11 @@ def merged(firsts, lasts, length: int) -> list[tuple[int, int]]:
 
 
 def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length: int = LENGTH,
-              shard_bytes: int = SHARD) -> tuple[DataFrame, DataFrame]:
+              shard_bytes: int = SHARD,
+              largest_key: int = LARGEST_KEY) -> tuple[DataFrame, DataFrame]:
     """(documents' digests, ``(tkey, n_removed, n_spans, kept_sha256, kept)`` of the distinct texts
     that lose bytes; ``kept`` holds the remaining bytes)."""
-    rows, spans, found = repeated_spans(spark, docs, text, length, shard_bytes)
+    rows, spans, found = repeated_spans(spark, docs, text, length, shard_bytes, largest_key)
     lists = spans.distinct().groupBy("u").agg(
         F.collect_list(F.struct("first", "last")).alias("runs"))
 
@@ -346,9 +356,9 @@ def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length:
 
 
 def report(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-           length: int = LENGTH, shard_bytes: int = SHARD) -> DataFrame:
+           length: int = LENGTH, shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY) -> DataFrame:
     """``(key, n_bytes, n_removed, n_spans, kept_sha256)`` of every document."""
-    _, cut = cut_texts(spark, docs, text, length, shard_bytes)
+    _, cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key)
     utf8 = _text(text).cast("binary")
     whole = docs.select(F.col(key).alias(key), _tkey(text).alias("tkey"),
                         F.octet_length(utf8).cast("long").alias("n_bytes"),
@@ -360,10 +370,10 @@ def report(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str
 
 
 def removed(spark: SparkSession, docs: DataFrame, text: str = "text", length: int = LENGTH,
-            shard_bytes: int = SHARD) -> DataFrame:
+            shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``. Bytes of a character that is
     only partly covered stay out, so the text is valid."""
-    _, cut = cut_texts(spark, docs, text, length, shard_bytes)
+    _, cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key)
 
     def run(batches):
         for batch in text_runs(batches, "kept", BATCH_BYTES):

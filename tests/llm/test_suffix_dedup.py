@@ -62,12 +62,12 @@ def cases():
     return texts
 
 
-@pytest.mark.parametrize("shard", [S.SHARD, 3000])
-def test_removed_bytes_equal_brute_force(spark, make_docs, shard):
+@pytest.mark.parametrize("shard,key", [(S.SHARD, S.LARGEST_KEY), (2000, 3000)])
+def test_removed_bytes_equal_brute_force(spark, make_docs, shard, key):
     texts = cases()
     docs = make_docs([(i if i else None, t) for i, t in enumerate(texts)]).repartition(4)
     got = {r["doc_id"] or 0: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
-           for r in S.report(spark, docs, shard_bytes=shard).collect()}
+           for r in S.report(spark, docs, shard_bytes=shard, largest_key=key).collect()}
     assert [got[i] for i in range(len(texts))] == brute(texts)
 
 

@@ -145,29 +145,28 @@ SELECT o_orderkey AS thesis_id FROM {orders} WHERE o_orderstatus = 'F'
 """
 
 # B10 -- fetch outcomes: an 'error' event is a fetch attempt whose parts are
-# derived from the event's k; a 'purchase' event is a clean fetch.
+# derived from the event's k; every other event is a clean fetch.
 B10_OUTCOMES = """
 WITH e AS (
   SELECT event_id, user_id, ts, event_type, value,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k
   FROM {events}
-  WHERE event_type IN ('error', 'purchase')
 )
 SELECT event_id,
   user_id AS thesis_id,
   ts AS at_ts,
   CAST('https://repository.example/bitstream/1946/' || CAST(user_id AS STRING) || '/1/'
        || CAST(event_id AS STRING) || '.pdf' AS STRING) AS pdf_url,
-  CAST(CASE WHEN event_type = 'purchase' THEN 200
+  CAST(CASE WHEN event_type <> 'error' THEN 200
             ELSE CASE k % 6 WHEN 0 THEN 200 WHEN 1 THEN 403 WHEN 2 THEN 404 WHEN 3 THEN 410
                             WHEN 4 THEN 500 ELSE 503 END END AS INT) AS http_status,
-  CAST(CASE WHEN event_type = 'purchase' OR k % 4 <> 0 THEN '%PDF-' ELSE '<html' END AS STRING) AS magic,
+  CAST(CASE WHEN event_type <> 'error' OR k % 4 <> 0 THEN '%PDF-' ELSE '<html' END AS STRING) AS magic,
   CAST(round(value * 1000) AS BIGINT) AS expected_bytes,
   CAST(CASE WHEN event_type = 'error' AND k % 5 = 1 THEN round(value * 1000) - 1
             ELSE round(value * 1000) END AS BIGINT) AS received_bytes,
   CASE WHEN event_type = 'error' AND k % 7 = 2 THEN FALSE ELSE TRUE END AS readable,
-  CAST(CASE WHEN event_type = 'purchase' THEN 1 + k ELSE 0 END AS INT) AS text_chars,
-  CAST(CASE WHEN event_type = 'purchase' OR k % 3 = 0 THEN 1 + k % 40 END AS INT) AS n_pages
+  CAST(CASE WHEN event_type <> 'error' THEN 1 + k ELSE 0 END AS INT) AS text_chars,
+  CAST(CASE WHEN event_type <> 'error' OR k % 3 = 0 THEN 1 + k % 40 END AS INT) AS n_pages
 FROM e
 """
 
@@ -227,7 +226,7 @@ SELECT k, set_no, {ver} AS ver,
 FROM (
   SELECT o.o_orderkey AS k,
     substring(o.o_orderpriority, 1, 1) AS set_no,
-    row_number() OVER (PARTITION BY substring(o.o_orderpriority, 1, 1) ORDER BY o.o_orderkey) - 1 AS rn,
+    o.o_orderkey AS rn,
     o.o_orderkey % 97 = 0 AS deleted,
     CASE WHEN o.o_orderkey % 50 = 7 THEN 'oai:repository.example:item-' || CAST(o.o_orderkey AS STRING)
          ELSE 'oai:repository.example:1946/' || CAST(o.o_orderkey AS STRING) END AS header_id,
@@ -425,7 +424,7 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 # advisors and a stated degree by order priority.
 B2_RECORDS = """
 SELECT o.o_orderkey AS k,
-  CAST(row_number() OVER (ORDER BY o.o_orderkey) - 1 AS BIGINT) AS rn,
+  CAST(o.o_orderkey AS BIGINT) AS rn,
   o.o_orderkey % 97 = 0 AS deleted,
   o.o_orderkey % 61 <> 0 AS has_handle,
   CAST('Höfundur ' || translate(substring(c.c_name, 10), '0123456789', 'abcdefghij') AS STRING) AS author,

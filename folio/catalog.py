@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from folio import bindings as B
 from folio.session import new_work_dir, read_table
-from folio.streaming.ingest import PAGE_SCHEMA, run_to_bronze
+from folio.streaming.ingest import (
+    PAGE_SCHEMA, checkpoint_dir, raw_pages, read_bronze, run_to_bronze,
+)
 
 from folio.operators import election, keywords, ledger, people, progress, upsert
 from folio.sources import doc_text, html_grid, oai_dc, xoai
-from folio.operators.titlepage import extract_titlepage
+from folio.sources.pages import scan_doc_text, scan_page_folders
+from folio.operators.titlepage import extract_titlepage, replace_titlepages
 from folio.plans import queue, reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,13 +127,23 @@ def q_election_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.election_audit(thesis_file(spark, sf_dir))
 
 
+def _records(pages: DataFrame) -> DataFrame:
+    """The good pages' records; the bad pages are the result of ``rejected_pages``."""
+    return oai_dc.parse_oai_dc(pages, fail_on_error=False)
+
+
+def q_rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages whose records a harvest lacks, with the reason."""
+    return oai_dc.rejected_pages(B.oai_pages(spark, sf_dir))
+
+
 def oai_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return oai_dc.parse_oai_dc(B.oai_pages(spark, sf_dir))
+    return oai_dc.parse_oai_dc(B.oai_pages(spark, sf_dir), fail_on_error=False)
 
 
 def replay_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three replays of the harvest (B11), parsed."""
-    return oai_dc.parse_oai_dc(B.oai_pages(spark, sf_dir, B.B11_RECORDS))
+    return _records(B.oai_pages(spark, sf_dir, B.B11_RECORDS))
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -281,7 +294,8 @@ def q_xoai_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_xoai_bitstreams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return xoai.explode_bitstreams(rich_records(spark, sf_dir)).drop("checksum")
+    return xoai.explode_bitstreams(rich_records(spark, sf_dir)).drop(
+        "checksum", "file_name", "record_pos")
 
 
 def _degree_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,46 +315,87 @@ def q_files_replace_carry_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = B.files_from_lineitem(spark, sf_dir).select(
         "thesis_id", "filename", F.lit(None).cast("string").alias("size_label"), "size_bytes",
         "access", "description", "filetype", "url", F.lit(None).cast("string").alias("role"))
-    new = election.elect_primary_scored(xoai.explode_bitstreams(rich_records(spark, sf_dir)))
+    new = election.elect_primary_scored(xoai.last_record_files(
+        xoai.explode_bitstreams(rich_records(spark, sf_dir))))
     out = upsert.replace_files(state, new)
     return out.select("thesis_id", "filename", "size_bytes", "access", "description", "filetype",
                       "role", "url")
 
 
-def _land(df: DataFrame, path: str, files: int) -> None:
-    """Land rows as files, the way an upstream fetcher drops them."""
-    df.repartition(files).write.mode("overwrite").parquet(path)
+def _land(df: DataFrame, path: str) -> None:
+    """Land rows as files, the way an upstream fetcher drops them; the number of
+    files follows the data."""
+    df.write.parquet(path)
+
+
+def _land_pages(pages: DataFrame, path: str) -> None:
+    """Land raw pages one a file, in folders ``page=<file name>``."""
+    pages.select(F.col("file_name").alias("page"), F.col("xml").alias("value")).repartition(
+        "page").write.partitionBy("page").text(path)
+
+
+def q_scan_pages_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw pages scanned back from the store, with their record counts."""
+    work = new_work_dir(spark, "j1")
+    _land_pages(B.oai_pages(spark, sf_dir), f"{work}/pages")
+    routed = oai_dc.route_page_errors(oai_dc.parse_pages(
+        scan_page_folders(spark, f"{work}/pages")))
+    return routed.select("file_name", "page_status", F.coalesce(
+        F.size(F.coalesce("p.ListRecords.record", F.array())), F.lit(0)).alias("n_records"))
+
+
+def q_scan_doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marked texts scanned back from a folder per thesis."""
+    work = new_work_dir(spark, "j8")
+    raw = B.raw_text(spark, sf_dir).withColumn("raw", F.regexp_replace("raw", "\\s+$", ""))
+    raw.select("thesis_id", F.col("raw").alias("value")).write.partitionBy("thesis_id").option(
+        "lineSep", " ").text(f"{work}/texts")
+    d = doc_text.split_marker(scan_doc_text(spark, f"{work}/texts"))
+    return d.select("thesis_id", "n_pages", "kept")
 
 
 def q_stream_pages_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST1: pages arrive as files; the stream parses them into bronze."""
+    """ST1: raw pages arrive one a file; the stream parses them into bronze."""
     work = new_work_dir(spark, "st1")
-    _land(B.oai_pages(spark, sf_dir), f"{work}/landing", 4)
-    run_to_bronze(spark, f"{work}/landing", PAGE_SCHEMA, oai_dc.parse_oai_dc,
-                  f"{work}/bronze", f"{work}/checkpoint", max_files_per_trigger=1)
-    return _flat(spark.read.parquet(f"{work}/bronze"))
+    _land_pages(B.oai_pages(spark, sf_dir), f"{work}/landing")
+    run_to_bronze(spark, f"{work}/landing", "value STRING, page STRING",
+                  lambda b: _records(raw_pages(b)), f"{work}/bronze",
+                  checkpoint_dir(f"{work}/checkpoint", prefix="oai_dc"), wholetext=True)
+    return _flat(read_bronze(spark, f"{work}/bronze", ["file_name", "pos"]))
 
 
-def q_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ST2: three replays streamed one file per micro-batch, then the whole
-    stream run again; the fold over bronze equals the batch fold."""
+def _replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three versions of the harvest streamed in, then all of it again from a second
+    checkpoint with other batches; bronze read back."""
     work = new_work_dir(spark, "st2")
-    _land(B.oai_pages(spark, sf_dir, B.B11_RECORDS), f"{work}/landing", 3)
-    for _ in range(2):
-        run_to_bronze(spark, f"{work}/landing", PAGE_SCHEMA, oai_dc.parse_oai_dc,
-                      f"{work}/bronze", f"{work}/checkpoint", max_files_per_trigger=1)
-    return upsert.merge_metadata(None, spark.read.parquet(f"{work}/bronze"))
+    _land(B.oai_pages(spark, sf_dir, B.B11_RECORDS), f"{work}/landing")
+    for files in (4, 7):
+        run_to_bronze(spark, f"{work}/landing", PAGE_SCHEMA, _records, f"{work}/bronze",
+                      checkpoint_dir(f"{work}/checkpoint", files=files),
+                      max_files_per_trigger=files)
+    return read_bronze(spark, f"{work}/bronze", ["file_name", "pos"])
+
+
+def q_stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: the fold over a bronze that holds a replay equals the batch fold."""
+    return upsert.merge_metadata(None, _replayed(spark, sf_dir))
+
+
+def q_stream_replay_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: a replay adds no row: records per page in bronze."""
+    return _replayed(spark, sf_dir).groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("n_records"))
 
 
 def q_stream_failure_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST3: fetch outcomes stream in; the ledger is folded from bronze."""
     work = new_work_dir(spark, "st3")
     outcomes = B.fetch_outcomes(spark, sf_dir)
-    _land(outcomes, f"{work}/landing", 4)
+    _land(outcomes, f"{work}/landing")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in outcomes.schema.fields)
-    run_to_bronze(spark, f"{work}/landing", schema, ledger.classify_fetch,
-                  f"{work}/bronze", f"{work}/checkpoint", max_files_per_trigger=2)
-    return ledger.merge_failures(spark.read.parquet(f"{work}/bronze"))
+    run_to_bronze(spark, f"{work}/landing", schema, ledger.classify_fetch, f"{work}/bronze",
+                  checkpoint_dir(f"{work}/checkpoint", table="outcomes"))
+    return ledger.merge_failures(read_bronze(spark, f"{work}/bronze", ["event_id"]))
 
 
 def q_html_file_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +427,111 @@ def q_people_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "thesis_id", "role", "sort_order", "person_id", "name", "year_born")
 
 
+# Jobs over the state that earlier runs left.
+
+
+def q_metadata_merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first version folded earlier, the other two merged onto it."""
+    records = replay_records(spark, sf_dir)
+    first = F.element_at(F.split("file_name", "_"), -1).substr(1, 7) < "1000000"
+    state = upsert.merge_metadata(None, records.where(first))
+    return upsert.merge_metadata(state, records.where(~first))
+
+
+def _keywords_over_state(spark: SparkSession, sf_dir: str):
+    fields = upsert.metadata_fields(replay_records(spark, sf_dir))
+    first = F.element_at(F.split("file_name", "_"), -1).substr(1, 7) < "1000000"
+    earlier = keywords.build_keywords(fields.where(first))
+    return keywords.build_keywords(fields.where(~first), *earlier)
+
+
+def q_keyword_dictionary_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keywords_over_state(spark, sf_dir)[0]
+
+
+def q_keyword_links_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keywords_over_state(spark, sf_dir)[1]
+
+
+HALF_MONTH = dt.datetime(2024, 1, 16)
+
+
+def q_failure_ledger_merge_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of the first half of the month, then the other half on it."""
+    c = ledger.classify_fetch(B.fetch_outcomes(spark, sf_dir))
+    earlier = ledger.merge_failures(c.where(F.col("at_ts") < HALF_MONTH))
+    return ledger.merge_failures(c.where(F.col("at_ts") >= HALF_MONTH), earlier)
+
+
+def _reindexed(spark: SparkSession, sf_dir: str):
+    """Even theses were indexed in 2020 under other names; every third one is
+    indexed again."""
+    pages = B.item_pages(spark, sf_dir)
+    files = election.elect_primary_tiered(html_grid.parse_file_grid(pages))
+    even = F.col("thesis_id") % 2 == 0
+    third = F.col("thesis_id") % 3 == 0
+    state = upsert.replace_file_index(
+        None, None, pages.where(even), files.where(even).withColumn(
+            "filename", F.concat(F.lit("old_"), "filename")), dt.datetime(2020, 1, 1))
+    return upsert.replace_file_index(*state, pages.where(third), files.where(third), INDEXED_AT)
+
+
+def q_file_index_replace_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reindexed(spark, sf_dir)[0].select(
+        "thesis_id", "filename", "size_bytes", "access", "url", "role")
+
+
+def q_file_index_status_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reindexed(spark, sf_dir)[1]
+
+
+def q_titlepage_replace_clears_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even theses are loaded; their failures go, the others stay."""
+    tp = titlepages(spark, sf_dir)
+    even = F.col("thesis_id") % 2 == 0
+    _, failures = replace_titlepages(tp, failure_ledger(spark, sf_dir), tp.where(even))
+    return failures
+
+
+def q_queue_plan_retry_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _queue(spark, sf_dir, retry_failed=True)
+
+
+def q_text_cache_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offline over the wanted theses: what is cached is read as it is."""
+    wanted = read_table(spark, sf_dir, "events").select(F.col("user_id").alias("thesis_id")).union(
+        read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("thesis_id")))
+    return ledger.text_cache_state(cached_text(spark, sf_dir), wanted, offline=True)
+
+
+def q_pending_index_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Explicit ids: the theses with a fetch outcome, indexed or not."""
+    thesis = B.metadata_levels(spark, sf_dir).select(F.col("thesis_id").alias("id"))
+    status = B.files_from_lineitem(spark, sf_dir).select("thesis_id").distinct()
+    return queue.pending_index(thesis, status, ids=B.fetch_outcomes(spark, sf_dir).select(
+        "thesis_id"))
+
+
+def q_pages_without_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_grid.pages_without_grid(B.item_pages(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "rejected_pages": q_rejected_pages,
+    "scan_pages_inventory": q_scan_pages_inventory,
+    "scan_doc_text": q_scan_doc_text,
+    "stream_replay_bronze": q_stream_replay_bronze,
+    "metadata_merge_state": q_metadata_merge_state,
+    "keyword_dictionary_state": q_keyword_dictionary_state,
+    "keyword_links_state": q_keyword_links_state,
+    "failure_ledger_merge_state": q_failure_ledger_merge_state,
+    "file_index_replace_state": q_file_index_replace_state,
+    "file_index_status_state": q_file_index_status_state,
+    "titlepage_replace_clears_failure": q_titlepage_replace_clears_failure,
+    "queue_plan_retry_failed": q_queue_plan_retry_failed,
+    "text_cache_offline": q_text_cache_offline,
+    "pending_index_ids": q_pending_index_ids,
+    "pages_without_grid": q_pages_without_grid,
     "people_load": q_people_load,
     "html_file_grid": q_html_file_grid,
     "file_index_status": q_file_index_status,

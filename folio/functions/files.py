@@ -131,6 +131,14 @@ def abs_url(href: Column | str, base: str = SITE_BASE) -> Column:
     return F.when(h.startswith("/"), F.concat(F.lit(base), h)).otherwise(h)
 
 
+def set_spec(handle: Column | str) -> Column:
+    """A collection handle 'a/b' or 'a b' -> 'com_a_b'; set names ('com_...',
+    'col_...') stay as they are."""
+    h = F.trim(col_(handle))
+    parts = r"^(\d+)[/\s]+(\d+)$"
+    return F.when(h.rlike(parts), F.regexp_replace(h, parts, "com_$1_$2")).otherwise(h)
+
+
 def bitstream_seq(url: Column | str) -> Column:
     """Sequence number in a /bitstream/<a>/<b>/<seq>/ path, else 9999."""
     seq = F.regexp_extract(F.coalesce(col_(url), F.lit("")), r"/bitstream/\d+/\d+/(\d+)/", 1)

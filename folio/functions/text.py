@@ -40,20 +40,6 @@ def strip_chars(c: Column, chars: str) -> Column:
     return F.regexp_replace(c, f"^[{cls}]+|[{cls}]+$", "")
 
 
-def first_match(arr: Column, pattern: str) -> Column:
-    """First element of an array that contains a match of ``pattern``, else NULL."""
-    return F.try_element_at(F.filter(arr, lambda x: x.rlike(pattern)), F.lit(1))
-
-
-def extract_if(c: Column, pattern: str, group: int = 1) -> Column:
-    """Group of the leftmost match, NULL (not '') when there is no match."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
-
-
-def first_non_null(arr: Column) -> Column:
-    return F.try_element_at(F.filter(arr, lambda x: x.isNotNull()), F.lit(1))
-
-
 # The letters that count as Icelandic-specific.
 ICELANDIC_CHARS = "áðéíóúýþæö"
 

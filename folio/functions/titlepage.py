@@ -51,12 +51,12 @@ PERSON_NAME = r"(?U)^[A-ZÁÉÍÓÚÝÞÆÖ][^\d]{4,60}$"
 YEAR = r"(?U)\b((?:19|20)\d{2})\b"
 ECTS = r"(?iU)\b(\d{1,3})\s*ECTS\b"
 STATES_DEGREE = r"(?iU)master|magister|meistara|\bm\.?\s?sc\b"
-# ---------------------------------------------------------------------------
-
+# The unit pattern: up to four words that end in a comma or hyphen, then the unit word.
 UNIT_IS = (
     f"(?iU)((?:[{NAME_LETTERS}]{{2,}}[-,]+\\s*(?:og\\s+)?){{0,4}}"
     f"[{NAME_LETTERS}]{{2,}}{UNIT_WORD})"
 )
+# ---------------------------------------------------------------------------
 DEGREE = "(?iU)\\b(" + "|".join(DEGREE_NAMES) + ")\\b"
 
 

@@ -70,7 +70,7 @@ def elect_primary_tiered(files: DataFrame) -> DataFrame:
     return _join_role(files, winners)
 
 
-def candidate_sort_key(as_of) -> list:
+def candidate_sort_key() -> list:
     """Order of preference for the file a queue entry fetches (planning rule 1)."""
     return [
         F.when(F.col("role") == "primary", 0).otherwise(1),
@@ -90,7 +90,7 @@ def queue_candidates(thesis_file: DataFrame, as_of) -> DataFrame:
     Aggregation form: ``min`` over a struct whose leading fields are the sort
     keys (size descending = negated, NULLs last), trailing fields the payload.
     """
-    key = candidate_sort_key(as_of)
+    key = candidate_sort_key()
     open_ = ff.is_open("access", as_of)
     s = thesis_file.where(F.col("filetype") == "PDF").select(
         "thesis_id",
@@ -118,7 +118,7 @@ def queue_candidates_window(thesis_file: DataFrame, as_of) -> DataFrame:
     """The same candidate by ``row_number`` over a window -- the shape of
     the original SQL. Kept to prove the aggregation form equivalent; the
     window sorts each thesis's files inside one task."""
-    key = candidate_sort_key(as_of)
+    key = candidate_sort_key()
     w = Window.partitionBy("thesis_id").orderBy(
         *key, F.col("size_bytes").desc_nulls_last(), F.col("filename"), F.col("url")
     )

@@ -16,12 +16,15 @@ def keyword_norm(c: F.Column) -> F.Column:
     return F.trim(F.lower(c))
 
 
-def build_keywords(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
+def build_keywords(fields: DataFrame, dictionary_state: DataFrame | None = None,
+                   links_state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``fields(thesis_id, file_name, pos, keywords)`` -> (dictionary, links).
 
     dictionary(keyword_norm, keyword): display spelling = first seen in record
     order. links(thesis_id, keyword_norm, sort_order): each thesis's list is
-    replaced by its *last* record's list -- even an empty one.
+    replaced by its *last* record's list -- even an empty one. Over the state of
+    earlier runs known keywords keep their spelling, and theses outside this
+    batch their links.
     """
     ord_ = F.struct("file_name", "pos")
     exploded = fields.select(ord_.alias("o"), F.explode("keywords").alias("keyword"))
@@ -35,4 +38,10 @@ def build_keywords(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
         "thesis_id", F.posexplode("last.k").alias("sort_order", "keyword")
     ).select("thesis_id", keyword_norm(F.col("keyword")).alias("keyword_norm"),
              F.col("sort_order").cast("int").alias("sort_order"))
+    if dictionary_state is not None:
+        dictionary = dictionary_state.select("keyword_norm", "keyword").unionByName(
+            dictionary.join(dictionary_state.select("keyword_norm"), "keyword_norm", "left_anti"))
+    if links_state is not None:
+        links = links_state.select("thesis_id", "keyword_norm", "sort_order").join(
+            latest.select("thesis_id"), "thesis_id", "left_anti").unionByName(links)
     return dictionary, links

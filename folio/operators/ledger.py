@@ -24,10 +24,14 @@ def classify_fetch(outcomes: DataFrame) -> DataFrame:
 
     Columns used: http_status (NULL = no response), expected_bytes,
     received_bytes, magic (first 5 bytes), readable, read_error, text_chars,
-    n_pages. Rules, in the order the fetch meets them: HTTP error (permanent
-    for 403/404/410), short read, not a PDF (permanent), unreadable, no text
-    and no page count; anything else is a success.
+    n_pages and, if there, unexpected (the type of an exception outside these
+    rules). Rules, in the order the fetch meets them: no response or HTTP error
+    (permanent for 403/404/410), short read, not a PDF (permanent), unreadable,
+    unexpected, no text and no page count; anything else is a success. The reason
+    holds the first 120 characters of a read error; the column keeps it whole.
     """
+    unexpected = (F.col("unexpected") if "unexpected" in outcomes.columns
+                  else F.lit(None).cast("string"))
     status = F.col("http_status")
     truncated = (F.coalesce("expected_bytes", F.lit(0)) > 0) & (
         F.col("received_bytes") != F.col("expected_bytes")
@@ -37,13 +41,16 @@ def classify_fetch(outcomes: DataFrame) -> DataFrame:
         F.lit("PdfReadError: EOF marker not found"),
     )
     reason = (
-        F.when(status.isNull() | (status >= 400),
-               F.trim(F.concat(F.lit("download failed: HTTPError "),
-                               F.coalesce(status.cast("string"), F.lit("")))))
+        F.when(status.isNull() & unexpected.isNotNull(),
+               F.concat(F.lit("unexpected: "), unexpected))
+        .when(status.isNull(), F.lit("download failed: URLError"))
+        .when(status >= 400,
+              F.concat(F.lit("download failed: HTTPError "), status.cast("string")))
         .when(truncated, F.lit("download failed: OSError"))
         .when(F.coalesce(F.col("magic"), F.lit("")) != PDF_MAGIC, F.lit(NOT_PDF))
         .when(~F.coalesce(F.col("readable"), F.lit(False)),
               F.concat(F.lit("unreadable PDF: "), F.substring(read_error, 1, 120)))
+        .when(unexpected.isNotNull(), F.concat(F.lit("unexpected: "), unexpected))
         .when((F.coalesce(F.col("text_chars"), F.lit(0)) == 0) & F.col("n_pages").isNull(),
               F.lit(NO_TEXT))
     )

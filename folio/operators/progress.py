@@ -16,12 +16,8 @@ def harvest_progress(pages: DataFrame) -> DataFrame:
     """Per set: pages stored, the last offset, the last page's token, the
     offset to resume from (token tail ``/<n>``, else last + 1) and whether
     the set is complete (its last page carries no token)."""
-    routed = oai_dc.route_page_errors(oai_dc.parse_pages(pages)).where(F.col("page_status") == "ok")
-    p = routed.select(
-        *oai_dc.lineage_columns(F.col("file_name")),
-        F.nullif(oai_dc.strip_ws(F.col("p.ListRecords.resumptionToken._VALUE")), F.lit(""))
-        .alias("token"),
-    )
+    p = oai_dc.page_tokens(pages).select(
+        *oai_dc.lineage_columns(F.col("file_name")), "token")
     g = p.groupBy("prefix", "set_spec").agg(
         F.count(F.lit(1)).alias("pages"),
         F.max(F.struct("page_offset", "token")).alias("last"),

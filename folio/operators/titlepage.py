@@ -23,16 +23,14 @@ def extract_titlepage(doc_text: DataFrame, partitions: int | None = None) -> Dat
 
     A row is produced when there is text or at least a page count (a scanned
     document still gets its row); a row with neither is a failure, see
-    ``folio.operators.ledger.classify_fetch``.
+    ``folio.operators.ledger.classify_fetch``. The text is not moved: scan splits set
+    the parallelism. ``partitions`` spreads it first, for a source of few, large
+    splits.
     """
-    spark = doc_text.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Regex work costs ~0.2 ms per page, orders of magnitude more than moving
-    # the page, so the text is spread evenly by thesis_id before extraction.
-    # The hash partitioning is then reused by every replace-by-key on thesis_id.
     src = doc_text.where(
-        (F.coalesce(F.length("text"), F.lit(0)) > 0) | F.col("n_pages").isNotNull()
-    ).repartition(n, "thesis_id")
+        (F.coalesce(F.length("text"), F.lit(0)) > 0) | F.col("n_pages").isNotNull())
+    if partitions:
+        src = src.repartition(partitions, "thesis_id")
     # Three projections, so that per-page intermediates (the line array, the
     # unit names, the block-break flags) are computed once and shared; the
     # optimizer does not collapse projections that would duplicate them.
@@ -70,7 +68,11 @@ def extract_titlepage(doc_text: DataFrame, partitions: int | None = None) -> Dat
     )
 
 
-def replace_titlepages(state: DataFrame, new_rows: DataFrame) -> DataFrame:
-    """Delete-then-insert by thesis_id: the newest extraction replaces the row."""
-    kept = state.join(new_rows.select("thesis_id"), "thesis_id", "left_anti")
-    return kept.unionByName(new_rows.select(*TITLEPAGE_COLUMNS))
+def replace_titlepages(state: DataFrame, failures: DataFrame, new_rows: DataFrame
+                       ) -> tuple[DataFrame, DataFrame]:
+    """(titlepages, failures) after a load: the newest extraction replaces a thesis's
+    row, and its failure is cleared."""
+    done = new_rows.select("thesis_id")
+    kept = state.select(*TITLEPAGE_COLUMNS).join(done, "thesis_id", "left_anti")
+    return (kept.unionByName(new_rows.select(*TITLEPAGE_COLUMNS)),
+            failures.join(done, "thesis_id", "left_anti"))

@@ -97,25 +97,23 @@ tf AS (
 )
 """
 
+# The candidate of a thesis is the least key row over its PDFs; no row is numbered.
 _CANDIDATE = """
-cand AS (
-  SELECT thesis_id, url AS pdf_url, size_bytes,
-    coalesce(access IS NULL OR access = 'Opinn'
-             OR CAST(try_strptime(regexp_extract(access, '(\\d{2}\\.\\d{2}\\.\\d{4})', 1), '%d.%m.%Y')
-                     AS DATE) <= DATE '2000-01-01', false) AS is_open,
-    row_number() OVER (PARTITION BY thesis_id ORDER BY
-      CASE WHEN role = 'primary' THEN 0 ELSE 1 END,
-      CASE WHEN description = 'Heildartexti' THEN 0 ELSE 1 END,
-      CASE WHEN lower(coalesce(description, '')) IN ('yfirlýsing', 'yfirlysing') THEN 1 ELSE 0 END,
-      size_bytes DESC NULLS LAST, filename ASC NULLS FIRST, url ASC NULLS FIRST) AS rn
-  FROM tf WHERE filetype = 'PDF'
-),
 f AS (
-  SELECT thesis_id, pdf_url,
-    CASE WHEN is_open THEN 1 ELSE 0 END AS open_pdfs,
-    CASE WHEN is_open THEN size_bytes END AS open_size,
-    size_bytes AS any_size
-  FROM cand WHERE rn = 1
+  SELECT thesis_id, best.url AS pdf_url, CAST(best.open AS INTEGER) AS open_pdfs,
+    CASE WHEN best.open THEN best.bytes END AS open_size, best.bytes AS any_size
+  FROM (
+    SELECT thesis_id, min(struct_pack(
+      not_primary := role IS DISTINCT FROM 'primary',
+      not_full := description IS DISTINCT FROM 'Heildartexti',
+      form := lower(coalesce(description, '')) SIMILAR TO 'yfirl(ý|y)sing',
+      smaller := -coalesce(size_bytes, -1),
+      name := coalesce(filename, ''), link := coalesce(url, ''),
+      url := url, bytes := size_bytes,
+      open := CASE WHEN access IS NULL OR access = 'Opinn' THEN true
+                   ELSE coalesce(CAST(try_strptime(right(access, 10), '%d.%m.%Y') AS DATE)
+                                 <= DATE '2000-01-01', false) END)) AS best
+    FROM tf WHERE filetype = 'PDF' GROUP BY thesis_id)
 )
 """
 
@@ -124,7 +122,8 @@ classified AS (
   SELECT *,
     CASE
       WHEN http_status IS NULL OR http_status >= 400
-        THEN trim('download failed: HTTPError ' || coalesce(CAST(http_status AS VARCHAR), ''))
+        THEN coalesce('download failed: HTTPError ' || CAST(http_status AS VARCHAR),
+                      'download failed: URLError')
       WHEN coalesce(expected_bytes, 0) > 0 AND received_bytes <> expected_bytes
         THEN 'download failed: OSError'
       WHEN coalesce(magic, '') <> '%PDF-' THEN 'not a PDF (restricted or a landing page)'
@@ -453,20 +452,19 @@ SELECT b.thesis_id, b.pos, 'new',
        CASE WHEN b.pos = w.win_pos THEN 'primary' ELSE 'secondary' END
 FROM b4 b LEFT JOIN win w ON w.thesis_id = b.thesis_id""",
     "harvest_progress": _b1("""
-, sets AS (
-  SELECT set_spec, count(DISTINCT page_offset) AS n_pages, max(page_offset) AS last_offset
-  FROM b1 GROUP BY set_spec
+, pages AS (SELECT DISTINCT set_spec, page_offset FROM b1),
+sets AS (
+  SELECT set_spec, set_spec IN ('col_1946_2', 'col_1946_4') AS open_,
+    list(page_offset ORDER BY page_offset DESC) AS offsets
+  FROM pages GROUP BY set_spec
 )
 SELECT 'oai_dc' AS prefix, set_spec,
-  CAST(CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4') THEN n_pages - 1 ELSE n_pages END AS BIGINT)
-    AS pages,
-  CAST(CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4') THEN last_offset - 100 ELSE last_offset END
-       AS BIGINT) AS last_offset,
-  CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4')
-       THEN 'oai_dc///' || set_spec || '/' || CAST(last_offset AS VARCHAR) END AS next_token,
-  CAST(CASE WHEN set_spec IN ('col_1946_2', 'col_1946_4') THEN last_offset ELSE last_offset + 1 END
-       AS BIGINT) AS next_offset,
-  set_spec NOT IN ('col_1946_2', 'col_1946_4') AS complete
+  CAST(len(offsets) - CAST(open_ AS INTEGER) AS BIGINT) AS pages,
+  CASE WHEN open_ THEN offsets[2] ELSE offsets[1] END AS last_offset,
+  CASE WHEN open_ THEN 'oai_dc///' || set_spec || '/' || CAST(offsets[2] + 100 AS VARCHAR) END
+    AS next_token,
+  CASE WHEN open_ THEN offsets[2] + 100 ELSE offsets[1] + 1 END AS next_offset,
+  NOT open_ AS complete
 FROM sets"""),
     "pending_index": _with(b6=B.B6_METADATA) + """
 SELECT thesis_id FROM b6
@@ -586,12 +584,52 @@ m AS (
   UNION ALL
   SELECT k, 'advisor', CASE WHEN advisor1 IS NULL THEN 0 ELSE 1 END, advisor2 FROM b2
   WHERE NOT deleted AND has_handle
-),
-firsts AS (
-  SELECT name, thesis_id * 1000 + sort_order * 2 + CASE WHEN role = 'advisor' THEN 1 ELSE 0 END AS person_id
-  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY thesis_id, role, sort_order) AS rn FROM m) t
-  WHERE rn = 1
 )
-SELECT m.thesis_id, m.role, CAST(m.sort_order AS INTEGER) AS sort_order, f.person_id, m.name,
+SELECT thesis_id, role, CAST(min(sort_order) AS INTEGER) AS sort_order, name || '|' AS person_id, name,
   CAST(NULL AS INTEGER) AS year_born
-FROM m JOIN firsts f ON f.name = m.name"""
+FROM m GROUP BY thesis_id, role, name"""
+
+# --- pages in, state kept by earlier runs ------------------------------------------------------
+
+_OFFLINE = ORACLES["text_cache_staleness"].replace("""
+  CASE WHEN c.thesis_id IS NULL THEN 'fetch'
+       WHEN c.n_pages IS NULL OR c.kept IS NULL OR c.kept < least(20, c.n_pages) THEN 'fetch'
+       ELSE 'cache' END AS action
+FROM w LEFT JOIN c""", """
+  'cache' AS action
+FROM w JOIN c""")
+
+ORACLES.update({
+    "rejected_pages": _b1(f"""
+SELECT * FROM (SELECT '' AS file_name, '' AS page_status, '' AS page_error, 0 AS n_records
+  {_EXTRA_PAGES}) t WHERE page_status IN ('error', 'corrupt')""").replace(
+        "SELECT * FROM (SELECT ''", "SELECT file_name, page_status, page_error FROM (SELECT ''"),
+    "scan_pages_inventory": "SELECT file_name, page_status, n_records FROM ("
+        + ORACLES["page_error_routing"] + ") t",
+    "scan_doc_text": "SELECT thesis_id, n_pages, kept FROM (" + ORACLES["doc_text_marker"] + ") t",
+    "stream_replay_bronze": _with(b11=B.B11_RECORDS) + f"""
+SELECT {_name('page_offset')} AS file_name, count(*) AS n_records
+FROM b11 WHERE {_LIVE} GROUP BY set_spec, page_offset""",
+    "metadata_merge_state": ORACLES["metadata_last_non_null"],
+    "keyword_dictionary_state": ORACLES["keyword_dictionary"],
+    "keyword_links_state": ORACLES["thesis_keyword_links"],
+    "failure_ledger_merge_state": ORACLES["failure_ledger_latest"],
+    "file_index_replace_state": "WITH now AS (" + ORACLES["file_index_files"] + """)
+SELECT thesis_id, CASE WHEN thesis_id % 3 = 0 THEN filename ELSE 'old_' || filename END AS filename,
+  size_bytes, access, url, role
+FROM now WHERE thesis_id % 3 = 0 OR thesis_id % 2 = 0""",
+    "file_index_status_state": "WITH now AS (" + ORACLES["file_index_status"] + """)
+SELECT thesis_id, CASE WHEN thesis_id % 3 = 0 THEN indexed_at ELSE TIMESTAMP '2020-01-01 00:00:00' END
+  AS indexed_at, file_count
+FROM now WHERE thesis_id % 3 = 0 OR thesis_id % 2 = 0""",
+    "titlepage_replace_clears_failure": "WITH l AS (" + ORACLES["failure_ledger_latest"] + """)
+SELECT * FROM l
+WHERE thesis_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0)""",
+    "queue_plan_retry_failed": _queue(
+        _ONLINE_DEFAULT.rsplit("AND NOT EXISTS", 1)[0] + " AND f.open_pdfs > 0"),
+    "text_cache_offline": _OFFLINE,
+    "pending_index_ids": _with(b6=B.B6_METADATA, b10=B.B10_OUTCOMES) + """
+SELECT thesis_id FROM b6 WHERE thesis_id IN (SELECT thesis_id FROM b10) ORDER BY thesis_id""",
+    "pages_without_grid": """SELECT o_orderkey AS thesis_id FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
+})

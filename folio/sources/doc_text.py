@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed value: the first line of a cached text carries the page counts.
@@ -36,13 +36,17 @@ def assemble_text(page_rows: DataFrame, n: int | None = 20) -> DataFrame:
     """Page-wise text -> one document per thesis.
 
     The first ``n`` pages (all when ``n`` is None) are joined with newlines in
-    page order; a failed page contributes '' and keeps its place. The document
-    fails only when every kept page failed. Only pages inside the window are
-    collected, so a thesis's buffer is at most ``n`` pages.
+    page order, however pages are numbered; a failed page contributes '' and
+    keeps its place. The document fails only when every kept page failed. Only
+    pages inside the window are collected, so a thesis's buffer is at most ``n``
+    pages; without ``n`` it is the document itself.
     """
+    if n is not None:
+        first = Window.partitionBy("thesis_id").orderBy("page_no")
+        page_rows = page_rows.withColumn("_rank", F.row_number().over(first))
     page_txt = F.when(F.coalesce("failed", F.lit(False)), F.lit("")).otherwise(
         F.coalesce("text", F.lit("")))
-    in_window = F.lit(True) if n is None else (F.col("page_no") <= n)
+    in_window = F.lit(True) if n is None else (F.col("_rank") <= n)
     g = page_rows.groupBy("thesis_id").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.sort_array(F.collect_list(F.when(in_window, F.struct("page_no", page_txt.alias("t")))))

@@ -46,8 +46,20 @@ def clean_values(arr: Column) -> Column:
 
 
 def parse_pages(pages: DataFrame, schema: str = OAI_DC_SCHEMA) -> DataFrame:
-    """``pages(file_name, xml)`` -> ``pages + p`` (the parsed page struct)."""
-    return pages.select("*", F.from_xml(F.col("xml"), schema, XML_OPTIONS).alias("p"))
+    """``pages(file_name, xml)`` -> ``pages + p`` (the parsed page struct).
+
+    The one-element ``explode`` keeps the parse in a step of its own: filters on
+    the result are not pushed below it, so a page is parsed once.
+    """
+    return pages.select(
+        "*", F.explode(F.array(F.from_xml(F.col("xml"), schema, XML_OPTIONS))).alias("p"))
+
+
+def rejected_pages(pages: DataFrame, schema: str = OAI_DC_SCHEMA) -> DataFrame:
+    """The pages that carry no records because they are bad: name, status, error."""
+    return route_page_errors(parse_pages(pages, schema)).where(
+        F.col("page_status").isin("error", "corrupt")).select(
+        "file_name", "page_status", "page_error")
 
 
 def route_page_errors(parsed: DataFrame, fail_on_error: bool = False) -> DataFrame:
@@ -104,13 +116,16 @@ def record_id(dc_identifiers: Column, header_identifier: Column,
     return F.try_element_at(hits, F.lit(1)).try_cast("bigint")
 
 
-def parse_oai_dc(pages: DataFrame, handle_prefix: str = HANDLE_PREFIX) -> DataFrame:
+def parse_oai_dc(pages: DataFrame, handle_prefix: str = HANDLE_PREFIX,
+                 fail_on_error: bool = True) -> DataFrame:
     """``pages(file_name, xml)`` -> one row per live record.
 
-    Deleted records and records without a handle id are dropped. Lists keep
+    An error page or a malformed one fails the job; with ``fail_on_error`` off
+    it is left to ``rejected_pages``. Deleted records and records without a handle id are dropped. Lists keep
     document order; ``pos`` is the record's position in its page.
     """
-    routed = route_page_errors(parse_pages(pages)).where(F.col("page_status") == "ok")
+    routed = route_page_errors(parse_pages(pages), fail_on_error).where(
+        F.col("page_status") == "ok")
     recs = routed.select(
         "file_name", F.posexplode(F.col("p.ListRecords.record")).alias("pos", "r")
     ).where(F.coalesce(F.col("r.header._status"), F.lit("")) != "deleted")
@@ -133,10 +148,15 @@ def parse_oai_dc(pages: DataFrame, handle_prefix: str = HANDLE_PREFIX) -> DataFr
     return out.where(F.col("id").isNotNull())
 
 
+#: All that progress needs of a page: its token and its error.
+TOKEN_SCHEMA = ("ListRecords STRUCT<resumptionToken: STRUCT<_VALUE: STRING>>, "
+                "error STRUCT<_code: STRING, _VALUE: STRING>, _corrupt_record STRING")
+
+
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """Per page: its resumption token (NULL on the last page)."""
-    parsed = parse_pages(pages, "ListRecords STRUCT<resumptionToken: STRUCT<_VALUE: STRING>>")
-    return parsed.select(
+    """Per good page: its resumption token (NULL on the last page of a set)."""
+    ok = route_page_errors(parse_pages(pages, TOKEN_SCHEMA)).where(F.col("page_status") == "ok")
+    return ok.select(
         "file_name",
         F.nullif(strip_ws(F.col("p.ListRecords.resumptionToken._VALUE")), F.lit("")).alias("token"),
     )
@@ -174,9 +194,12 @@ def year_filter(records: DataFrame, year_start: int | None, year_end: int | None
         return records
     year = F.regexp_extract(F.coalesce("date_accepted", F.lit("")), r"^(\d{4})", 1)
     y = F.nullif(year, F.lit("")).try_cast("int")
-    lo = year_start if year_start is not None else -9999
-    hi = year_end if year_end is not None else 9999
-    return records.where(y.isNotNull() & y.between(lo, hi))
+    keep = y.isNotNull()
+    if year_start is not None:
+        keep &= y >= year_start
+    if year_end is not None:
+        keep &= y <= year_end
+    return records.where(keep)
 
 
 def limit_per_set(records: DataFrame, n: int) -> DataFrame:

@@ -21,16 +21,42 @@ def scan_pages(spark: SparkSession, path: str, prefix: str = "oai_dc",
     raises instead. Undecodable bytes are replaced, as the text source does.
     Order is not a property of a DataFrame: consumers order by ``file_name``.
     """
-    def read(glob: str) -> DataFrame:
-        return (
-            spark.read.format("text").option("wholetext", True)
-            .option("pathGlobFilter", glob).load(path)
-            .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("xml"))
-        )
-
-    pages = read(f"{prefix}_*.xml")
-    if pages.limit(1).count() == 0:
+    glob = f"{prefix}_*.xml"
+    if not _any_file(spark, path, glob):
         if not fallback_to_all:
             raise FileNotFoundError(f"no {prefix}_*.xml pages under {path}")
-        pages = read("*.xml")
-    return pages
+        glob = "*.xml"
+    return (
+        spark.read.format("text").option("wholetext", True)
+        .option("pathGlobFilter", glob).load(path)
+        .select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("xml"))
+    )
+
+
+def _any_file(spark: SparkSession, path: str, glob: str) -> bool:
+    """Whether a file below ``path`` has such a name; a listing, not a job."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(path, glob)
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.globStatus(pattern))
+
+
+def scan_page_folders(spark: SparkSession, path: str, prefix: str = "oai_dc") -> DataFrame:
+    """The same from a store that keeps each page in a folder ``page=<file name>``, as
+    distributed writers leave them; the folder names are a partition column, so the
+    prefix prunes folders."""
+    rows = spark.read.option("basePath", path).text(path, wholetext=True)
+    return rows.where(F.col("page").startswith(f"{prefix}_")).select(
+        F.col("page").alias("file_name"), F.trim("value").alias("xml"))
+
+
+def scan_doc_text(spark: SparkSession, path: str) -> DataFrame:
+    """Cached texts ``(thesis_id, raw)`` of files ``<id>.txt``, or of folders
+    ``thesis_id=<id>``; files with another name are not texts."""
+    rows = spark.read.option("basePath", path).text(path, wholetext=True)
+    if "thesis_id" in rows.columns:
+        return rows.select(F.col("thesis_id").cast("bigint").alias("thesis_id"),
+                           F.col("value").alias("raw"))
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^([0-9]+)[.]txt$", 1)
+    return rows.select(stem.try_cast("bigint").alias("thesis_id"), F.col("value").alias("raw")
+                       ).where(F.col("thesis_id").isNotNull())

@@ -3,10 +3,14 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from folio.sources.doc_text import assemble_text, split_marker
-from folio.sources.oai_dc import parse_oai_dc, parse_pages, route_page_errors
+from folio.sources.oai_dc import (
+    parse_oai_dc, parse_pages, rejected_pages, route_page_errors,
+)
 from folio.sources.pages import scan_pages
 
 PAGE = """<?xml version="1.0"?><OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><ListRecords>
@@ -40,13 +44,16 @@ def test_scan_pages_prefix_and_fallback(spark):
 def test_parse_and_route(spark):
     pages = spark.createDataFrame([("a.xml", PAGE), ("b.xml", EMPTY), ("c.xml", BAD),
                                    ("d.xml", "<OAI-PMH><ListRecords>")], "file_name string, xml string")
-    recs = parse_oai_dc(pages).collect()
+    with pytest.raises(Exception, match="badArgument: wrong|malformed XML"):
+        parse_oai_dc(pages).collect()
+    recs = parse_oai_dc(pages, fail_on_error=False).collect()
     assert [(r.id, r.date_accepted, r.title, r.authors) for r in recs] == [
         (11, "2019-05-01", "A title", "Example, Ann")]
     routed = {r.file_name: (r.page_status, r.page_error)
               for r in route_page_errors(parse_pages(pages)).collect()}
     assert routed == {"a.xml": ("ok", None), "b.xml": ("empty", None),
                       "c.xml": ("error", "badArgument: wrong"), "d.xml": ("corrupt", "malformed XML")}
+    assert sorted(r.file_name for r in rejected_pages(pages).collect()) == ["c.xml", "d.xml"]
 
 
 def test_marker_cases(spark):

@@ -9,13 +9,14 @@ again. ``runs`` independent trees bring a pair at the threshold together with th
 target recall: a pair is lost in one tree with the extinction probability of a
 branching process of mean ``BRANCH * threshold``.
 
-Comparison at a node is by one-permutation sketches (64 bytes a set), far below the
-threshold, so that no pair at it is lost; what passes is verified exactly on the
-token sets. First each node proposes stars only (a pivot and the sets like it) and
-their verified links give components; then all pairs alike that still lie in
-different components are proposed and verified. No step writes the pairs of a group:
-a node of n like sets costs n rows. A node that cannot be split is compared in
-blocks. Links are counted at the end, within each component, block by block.
+Comparison at a node is by one-permutation sketches (``BINS`` bytes a set), far below
+the threshold, so that no pair at it is lost. A node gives a spanning forest of its
+alike pairs, never the pairs themselves: a node of n sets costs n - 1 rows. A node too
+large for that is compared with its pivot first; if all its sets are then in one
+component it is done, else it is split, and where it cannot be split compared in blocks.
+The components of alike sets hold every pair at the threshold. Inside each, all pairs
+are brute-forced exactly on the token sets, block by block and each pair once, which
+gives the link counts and, again as spanning forests, the classes.
 
 Defined cases: a text of less than five words is one shingle of all its words; a null
 text or one without words is linked to nothing; equal shingle sets are one class with
@@ -45,10 +46,11 @@ BLOCK = 256
 #: A node that keeps this share of its parent is not split again; nor is one this deep.
 SHRINK = 0.7
 LEVELS = 8
-BINS = 64
-SKETCH_LEAST = 0.5
+BINS = 128
+SKETCH_LEAST = 0.64
 BATCH_BYTES = 4 << 20
-STAR_ROWS = 512
+#: Token bytes of one side of a block in the exact comparison.
+BLOCK_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,7 +109,7 @@ def children(node: int | np.ndarray, tokens: np.ndarray) -> np.ndarray:
 def sketch(tokens: np.ndarray) -> bytes:
     """A byte of the least token in each of ``BINS`` ranges; 0 for an empty range."""
     out = np.zeros(BINS, dtype=np.uint8)
-    bins, first = np.unique(tokens >> np.uint64(58), return_index=True)
+    bins, first = np.unique(tokens >> np.uint64(57), return_index=True)
     out[bins.astype(np.int64)] = (1 + tokens[first] % np.uint64(255)).astype(np.uint8)
     return out.tobytes()
 
@@ -179,110 +181,82 @@ def _table(rows: list, names: list[str]) -> pa.RecordBatch:
 
 
 def in_blocks(nodes: DataFrame) -> DataFrame:
-    """Rows ``(node, i, j, pivot, u, side)`` of nodes ``(node, u, n, pivot)``: every pair of
-    blocks of a node's sets. A node of ``BLOCK`` sets or less is one block."""
-    k = F.ceil(F.col("n") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("u"), k).cast("int")
-    other = F.explode(F.sequence(F.lit(0), k - 1)).alias("o")
-    rows = nodes.select("node", "pivot", "u", mine.alias("m"), other)
-    return rows.select("node", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"),
-                       "pivot", "u", F.when(F.col("m") < F.col("o"), 0).when(
-                           F.col("m") > F.col("o"), 1).otherwise(2).alias("side"))
-
-
-def stars(nodes: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Candidate links ``(a, b)``: a block's pivots with all sets alike to them, the node's
-    pivot first, then the least set that no pivot has taken. So every set that is alike
-    to another of its block is in a link, and a block of n like sets gives n - 1."""
-    k = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = nodes.select("node", F.pmod(F.xxhash64("u"), k).cast("int").alias("i"), "u", "pivot")
-    # The node's pivot stands in each of its blocks, so that the blocks' stars connect.
-    more = nodes.where((F.col("u") == F.col("pivot")) & (F.col("n") > BLOCK)).select(
-        "node", F.explode(F.sequence(F.lit(0), k - 1)).alias("i"), "u", "pivot")
-    rows = rows.union(more).distinct().join(sketches, "u")
+    """Rows ``(node, i, j, u, side)`` of nodes ``(node, u, k)``: every pair of the ``k`` blocks of
+    a node's sets. Side 0 is block i, side 1 block j, 2 both."""
+    mine = F.pmod(F.xxhash64("u"), F.col("k")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("o")
+    rows = nodes.select("node", "u", mine.alias("m"), other)
+    return rows.select("node", F.least("m", "o").alias("i"), F.greatest("m", "o").alias("j"), "u",
+                       F.when(F.col("m") < F.col("o"), 0).when(F.col("m") > F.col("o"), 1)
+                       .otherwise(2).alias("side"))
 
-    def run(batches):
-        for _, _, u, pivot, given in groups(batches, 2):
-            marks = np.frombuffer(b"".join(given), dtype=np.uint8).reshape(len(u), BINS)
-            order = np.lexsort((np.array(u), np.array(u) != pivot[0]))
-            u, marks = np.array(u)[order], marks[order]
-            out, free = [], np.ones(len(u), dtype=bool)
-            for x in range(len(u)):
-                if free[x]:
-                    near = alike(marks[x], marks)
-                    near[x] = False
-                    out += [(int(u[x]), int(b)) for b in u[near]]
-                    free &= ~near
-            if out:
-                yield _table(out, ["a", "b"])
 
-    parts = rows.select("node", "i", "u", "pivot", "sketch").repartition("node", "i")
-    return parts.sortWithinPartitions("node", "i").mapInArrow(run, "a long, b long").distinct()
+class Forest:
+    """Union-find over 0..n-1."""
 
+    def __init__(self, n: int):
+        self.up = list(range(n))
 
-def crossing(nodes: DataFrame, sketches: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate links between sets alike of one node that are not connected yet."""
-    labelled = nodes.join(labels, "u", "left").withColumn("c", F.coalesce("c", "u"))
-    mixed = labelled.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(
-        "lo < hi").select("node")
-    rows = in_blocks(nodes.join(mixed, "node")).join(sketches, "u").join(
-        labels, "u", "left").select("node", "i", "j", "u", "side", "sketch",
-                                    F.coalesce("c", "u").alias("c"))
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
 
-    def run(batches):
-        for _, i, j, u, side, given, c in groups(batches, 3):
-            u, c, side = np.array(u), np.array(c), np.array(side)
-            marks = np.frombuffer(b"".join(given), dtype=np.uint8).reshape(len(u), BINS)
-            out = []
-            for x in range(len(u)):
-                far = (c != c[x]) & ((u > u[x]) if i[0] == j[0] else (side > side[x]))
-                rest = np.flatnonzero(far)
-                if len(rest):
-                    near = rest[alike(marks[x], marks[rest])]
-                    out += [(int(min(u[x], u[y])), int(max(u[x], u[y]))) for y in near]
-            if out:
-                yield _table(out, ["a", "b"])
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
 
-    return rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(
-        run, "a long, b long").distinct()
 
-
-def verified(pairs: DataFrame, tokens: DataFrame, threshold: float) -> DataFrame:
-    """The pairs at the threshold. The first set of a pair is read once per ``STAR_ROWS``
-    partners or so, the partners pass by one at a time."""
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).cast("int").alias("k"))
-    dealt = pairs.join(sizes, "a").withColumn("s", F.pmod(F.xxhash64("b"), F.col("k")).cast("int"))
-    members = dealt.select("a", "s", F.lit(1).alias("side"), F.col("b").alias("u"))
-    pivots = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("s"),
-                          F.lit(0).alias("side"), F.col("a").alias("u"))
-    rows = members.union(pivots).join(tokens, "u").select("a", "s", "side", "u", "tokens")
+def alike_edges(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links ``(a, b)``: a spanning forest of the alike pairs of each group ``(node, i, j)``."""
 
     def run(batches):
-        pivot = None
-        for batch in batches:
-            out = []
-            for a, _, side, u, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                mine = np.frombuffer(raw, dtype=np.uint64)
-                if side == 0:
-                    pivot = mine
-                    continue
-                both = len(np.intersect1d(pivot, mine, assume_unique=True))
-                if both >= threshold * (len(pivot) + len(mine) - both):
-                    out.append((a, u))
+        for _, _, _, u, given in groups(batches, 3):
+            if len(u) < 2:
+                continue
+            marks = np.frombuffer(b"".join(given), dtype=np.uint8).reshape(len(u), BINS)
+            forest, out = Forest(len(u)), []
+            for x in range(len(u) - 1):
+                for y in np.flatnonzero(alike(marks[x], marks[x + 1:])).tolist():
+                    if forest.join(x, x + 1 + y):
+                        out.append((u[x], u[x + 1 + y]))
             if out:
                 yield _table(out, ["a", "b"])
 
-    return rows.repartition("a", "s").sortWithinPartitions("a", "s", "side").mapInArrow(
+    parts = rows.join(sketches, "u").select("node", "i", "j", "u", "sketch")
+    return parts.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "u").mapInArrow(
         run, "a long, b long")
 
 
-def link_counts(labels: DataFrame, copies: DataFrame, tokens: DataFrame,
-                threshold: float) -> DataFrame:
-    """``(u, links)``: documents of other sets at the threshold, counted exactly within each
-    component, block by block."""
-    sizes = labels.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    members = labels.join(sizes, "c").select(F.col("c").alias("node"), "u", "n",
-                                             F.col("c").alias("pivot"))
+def with_pivot(nodes: DataFrame) -> DataFrame:
+    """Groups ``(node, i, i)`` of nodes ``(node, u, n, pivot)``: each block of a node and the node's
+    pivot, so that sets alike to it connect whatever their block."""
+    k = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = nodes.select("node", F.pmod(F.xxhash64("u"), k).cast("int").alias("i"), "u")
+    pivots = nodes.where((F.col("u") == F.col("pivot")) & (F.col("n") > BLOCK)).select(
+        "node", F.explode(F.sequence(F.lit(0), k - 1)).alias("i"), "u")
+    return rows.union(pivots).distinct().withColumn("j", F.col("i"))
+
+
+def mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The nodes whose sets are not all in one component."""
+    labelled = nodes.join(labels, "u", "left").select("node", F.coalesce("c", "u").alias("c"))
+    several = labelled.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(
+        "lo < hi").select("node")
+    return nodes.join(several, "node")
+
+
+def exact_links(labels: DataFrame, copies: DataFrame, tokens: DataFrame, threshold: float
+                ) -> DataFrame:
+    """Rows ``(a, b, links)``: with ``b``, a spanning forest of the pairs at the threshold;
+    without, a part of the documents at the threshold with ``a``. Each pair of sets of a
+    component is compared once."""
+    weighed = labels.join(tokens, "u").select("u", "c", F.octet_length("tokens").alias("size"))
+    sizes = weighed.groupBy("c").agg(
+        F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("k"))
+    members = labels.join(sizes, "c").select(F.col("c").alias("node"), "u", "k")
     rows = in_blocks(members).join(copies, "u").join(tokens, "u").select(
         "node", "i", "j", "u", "side", "copies", "tokens")
 
@@ -290,24 +264,39 @@ def link_counts(labels: DataFrame, copies: DataFrame, tokens: DataFrame,
         for _, i, j, u, side, copies, raw in groups(batches, 3):
             sets = [np.frombuffer(r, dtype=np.uint64) for r in raw]
             size = np.array([len(s) for s in sets])
-            _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-            at = np.append(0, np.cumsum(size))
-            mark = np.zeros(flat.max() + 1, dtype=bool)
-            copies, side, got = np.array(copies), np.array(side), np.zeros(len(u), dtype=np.int64)
+            _, flat, times = np.unique(np.concatenate(sets), return_inverse=True,
+                                       return_counts=True)
+            # Tokens of a single set can't be shared.
+            owner = np.repeat(np.arange(len(sets)), size)
+            shared = times[flat] > 1
+            flat, owner = flat[shared], owner[shared]
+            at = np.searchsorted(owner, np.arange(len(sets) + 1))
+            mark = np.zeros(len(times), dtype=bool)
+            copies, side = np.array(copies), np.array(side)
+            got, forest, out = np.zeros(len(u), dtype=np.int64), Forest(len(u)), []
             for x in range(len(u)):
+                if i[0] != j[0] and side[x] != 0:
+                    continue
                 mine = flat[at[x]:at[x + 1]]
                 mark[mine] = True
-                both = np.add.reduceat(mark[flat], at[:-1], dtype=np.int64)
+                begin = at[x + 1] if i[0] == j[0] else 0
+                first = x + 1 if i[0] == j[0] else 0
+                both = np.bincount(owner[begin:][mark[flat[begin:]]], minlength=len(u))
                 mark[mine] = False
                 near = both >= threshold * (size + size[x] - both)
-                near[x] = False
+                near[:first] = False
                 if i[0] != j[0]:
-                    near &= side != side[x]
-                got[x] = copies[near].sum()
-            yield _table(list(zip(u, got.tolist())), ["u", "links"])
+                    near &= side == 1
+                got[x] += copies[near].sum()
+                got[near] += copies[x]
+                out += [(u[x], u[y], None) for y in np.flatnonzero(near).tolist()
+                        if forest.join(x, y)]
+            out += [(v, None, n) for v, n in zip(u, got.tolist()) if n]
+            if out:
+                yield _table(out, ["a", "b", "links"])
 
-    return rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j").mapInArrow(
-        run, "u long, links long").groupBy("u").agg(F.sum("links").alias("links"))
+    return rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "u").mapInArrow(
+        run, "a long, b long, links long")
 
 
 def meet(rows: DataFrame) -> DataFrame:
@@ -334,7 +323,7 @@ def chosen_children(big: DataFrame, tokens: DataFrame) -> DataFrame:
 
 
 def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold: float,
-            recall: float, with_links: bool) -> DataFrame:
+            recall: float) -> DataFrame:
     """One row per document: ``(key, tkey, sid, n, class, links)``; ``tkey`` is the digest of its
     text, ``sid`` of its shingle set, ``class`` a number of this run, null without shingles."""
     rows = staged(spark, described(docs, key, text, runs_for(recall, threshold)), "jaccard")
@@ -345,41 +334,40 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
 
     level = staged(spark, meet(sets.select(F.explode("nodes").alias("node"), "u")).select(
         "node", "u", "n", "pivot"), "jaccard")
-    # Only sets that meet a set alike, or lie in a node to be split, need their tokens.
-    small = level.where(F.col("n") <= BLOCK)
-    proposed = staged(spark, stars(small, sketches), "jaccard")
-    alike_sets = proposed.select(F.col("a").alias("u")).union(proposed.select("b"))
-    wanted = alike_sets.union(level.where(F.col("n") > BLOCK).select("u")).distinct()
-    tokens = staged(spark, token_sets(docs, text, wanted.join(sets, "u").select("u", "tkey")),
-                    "jaccard")
-
-    leaves, deep, depth = small, None, 1
-    big = level.where(F.col("n") > BLOCK)
-    while depth < LEVELS and big.limit(1).count():
-        below = staged(spark, meet(chosen_children(big, tokens)), "jaccard")
-        done = (F.col("n") <= BLOCK) | (F.col("n") >= SHRINK * F.col("parent_n"))
+    edges = staged(spark, alike_edges(with_pivot(level), sketches).distinct(), "jaccard")
+    near = components(spark, edges)
+
+    big = staged(spark, mixed(level.where(F.col("n") > BLOCK), near).select("node", "u", "n"),
+                 "jaccard")
+    depth = 1
+    while big.limit(1).count():
         depth += 1
-        if depth == LEVELS:
-            done = F.lit(True)
-        found = below.where(done).select("node", "u", "n", "pivot")
-        deep = found if deep is None else deep.union(found)
-        big = below.where(~done)
-
-    if deep is not None:
-        leaves = small.union(deep)
-        proposed = proposed.union(stars(deep, sketches)).distinct()
-    links = staged(spark, verified(proposed, tokens, threshold), "jaccard")
-    labels = components(spark, links)
-    rest = staged(spark, verified(crossing(leaves, sketches, labels), tokens, threshold),
-                  "jaccard")
-    labels = components(spark, links.union(rest))
-
-    found = sets.select("u", "sid", "copies").join(labels, "u", "left")
-    if with_links:
-        found = found.join(link_counts(labels, sets.select("u", "copies"), tokens, threshold),
-                           "u", "left")
-    else:
-        found = found.withColumn("links", F.lit(None).cast("long"))
+        tokens = staged(spark, token_sets(
+            docs, text, big.select("u").distinct().join(sets, "u").select("u", "tkey")), "jaccard")
+        below = staged(spark, meet(chosen_children(big, tokens)), "jaccard")
+        whole = (F.col("n") > BLOCK) & ((F.col("n") >= SHRINK * F.col("parent_n"))
+                                        | F.lit(depth >= LEVELS))
+        more = edges.union(alike_edges(with_pivot(below), sketches))
+        edges = staged(spark, more.distinct(), "jaccard")
+        near = components(spark, edges)
+        left = staged(spark, mixed(below.where(F.col("n") > BLOCK), near).select(
+            "node", "u", "n", whole.alias("whole")), "jaccard")
+        if left.where("whole").limit(1).count():
+            k = F.ceil(F.col("n") / BLOCK).cast("int")
+            rest = in_blocks(left.where("whole").select("node", "u", k.alias("k")))
+            edges = staged(spark, edges.union(alike_edges(
+                rest.where("i < j"), sketches)).distinct(), "jaccard")
+            near = components(spark, edges)
+        big = left.where(~F.col("whole")).select("node", "u", "n")
+
+    tokens = staged(spark, token_sets(
+        docs, text, near.join(sets, "u").select("u", "tkey")), "jaccard")
+    exact = staged(spark, exact_links(near, sets.select("u", "copies"), tokens, threshold),
+                   "jaccard")
+    labels = components(spark, exact.where(F.col("b").isNotNull()).select("a", "b"))
+    links = exact.where(F.col("b").isNull()).groupBy(F.col("a").alias("u")).agg(
+        F.sum("links").alias("links"))
+    found = sets.select("u", "sid", "copies").join(labels, "u", "left").join(links, "u", "left")
     found = found.select("sid", F.coalesce("c", "u").alias("class"), (
         F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
     return rows.join(found, "sid", "left").select(
@@ -388,12 +376,11 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
 
 
 def join(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-         threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
-         with_links: bool = True) -> DataFrame:
+         threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
     """One row per document: ``(key, class_id, links, set_id)``. Documents connected by
     links share ``class_id``, the least key of them; ``links`` counts the documents at the
     threshold with it, copies included; ``set_id`` tells equal shingle sets."""
-    named = classes(spark, docs, key, text, threshold, recall, with_links)
+    named = classes(spark, docs, key, text, threshold, recall)
     # A class is named by its least key; hot classes meet map-side and in a skew-split join.
     least = named.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min("key").alias("least"))
@@ -407,7 +394,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
                 threshold: float = THRESHOLD, recall: float = TARGET_RECALL) -> DataFrame:
     """``docs`` with one document of each class, the one of least key (then text digest).
     A document without words is a class of its own; rows with equal key and text are one."""
-    named = staged(spark, classes(spark, docs, key, text, threshold, recall, False), "jaccard")
+    named = staged(spark, classes(spark, docs, key, text, threshold, recall), "jaccard")
     least = named.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min(F.struct("key", "tkey")).alias("x")).select("x.*")
     stay = least.union(named.where(F.col("class").isNull()).select("key", "tkey").distinct())

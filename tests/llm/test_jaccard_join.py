@@ -57,7 +57,7 @@ def test_links_and_classes_of_the_documents(spark):
 
 def test_groups_larger_than_a_block_split_and_count(spark, make_docs, monkeypatch):
     monkeypatch.setattr(J, "BLOCK", 8)
-    monkeypatch.setattr(J, "STAR_ROWS", 10)
+    monkeypatch.setattr(J, "BLOCK_BYTES", 4000)
     rng = random.Random(3)
 
     def words(n):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.common import texts_of, text_runs
+from folio.llm.common import staged, texts_of, text_runs
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SYMBOLS = "#*$%&|<>"
@@ -176,7 +176,7 @@ def load_references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, dict[
 
     The driver gets at most ``COMMON + classes + 1`` rows a language.
     """
-    counts = references(docs)
+    counts = staged(docs.sparkSession, references(docs), "quality")
     both = counts.unionByName(counts.where(F.col("lang").isNotNull()).withColumn(
         "lang", F.lit(None).cast("string"))).groupBy("lang", "kind", "item").agg(
         F.sum("n").alias("n"))

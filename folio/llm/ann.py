@@ -14,7 +14,7 @@ vector are all verified and ties go to the smaller id.
 
 Defined cases: vectors that are null, empty or zero, or hold null, NaN or infinite
 components take no part; only vectors of one length meet; a null id takes no part;
-repeated rows are separate candidates; with fewer candidates than ``k`` all are given;
+repeated rows are separate candidates but one query; with fewer candidates than ``k`` all are given;
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -104,11 +104,11 @@ def search(spark: SparkSession, vectors: DataFrame, is_query, key: str = "vec_id
     kept = staged(spark, usable(vectors, key, vector).withColumns(
         {"dim": F.size("vector"), "row": row}), "ann")
     queries = kept.where(is_query(F.col("id"))).select(
-        "id", "vector", "dim", "row").distinct()
+        "id", "vector", "dim").distinct()
     n_queries = queries.count()
     q_blocks = max(1, -(-n_queries // QUERIES))
     # Query blocks by hash; data blocks are runs of rows of one written partition.
-    q_block = F.pmod(F.xxhash64("row"), F.lit(q_blocks)).cast("int")
+    q_block = F.pmod(F.xxhash64("id"), F.lit(q_blocks)).cast("int")
     d_block = F.floor(F.col("row") / BLOCK)
     data = kept.select("dim", d_block.alias("d"), F.explode(
         F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q"), "id", "vector",

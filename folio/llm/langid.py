@@ -59,7 +59,7 @@ def held_out(key: str = "doc_id"):
 
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
     """For each code point: whether it is a letter, and its script's number."""
-    letter = np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
+    letter = np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
     starts = np.array([s for _, s in SCRIPTS])
     number = np.array([NAMES.index(name) for name, _ in SCRIPTS], dtype=np.int8)
     return letter, number[np.searchsorted(starts, np.arange(0x110000), side="right") - 1]

@@ -397,12 +397,14 @@ def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text:
     named = staged(spark, classes(spark, docs, key, text, threshold, recall), "jaccard")
     least = named.where(F.col("class").isNotNull()).groupBy("class").agg(
         F.min(F.struct("key", "tkey")).alias("x")).select("x.*")
-    stay = least.union(named.where(F.col("class").isNull()).select("key", "tkey").distinct())
-    mine = docs.withColumn("__tkey", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
-    kept = mine.join(stay.select(F.col("key").alias("__key"), F.col("tkey").alias("__t")),
-                     F.col(f"`{key}`").eqNullSafe(F.col("__key"))
-                     & (F.col("__tkey") == F.col("__t")), "left_semi")
-    rest = [c for c in docs.columns if c != key]
-    return kept.groupBy(F.col(f"`{key}`").alias(key), "__tkey").agg(
-        F.first(F.struct(*(F.col(f"`{c}`") for c in rest))).alias("__row")).select(
-        *(F.col(f"`{key}`") if c == key else F.col(f"__row.`{c}`") for c in docs.columns))
+    stay = least.union(named.where(F.col("class").isNull()).select("key", "tkey"))
+
+    def row(key_, tkey):  # one digest of (key, text): join and folding share its partitioning
+        return F.md5(F.concat_ws("|", F.hex(tkey), F.col(key_).isNull().cast("string"),
+                                 F.col(key_).cast("string")))
+
+    stay = stay.select(row("key", "tkey").alias("__row")).distinct()
+    tkey = F.unhex(F.md5(F.coalesce(F.col(text), F.lit(""))))
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__doc")
+    kept = docs.select(row(f"`{key}`", tkey).alias("__row"), whole).join(stay, "__row", "left_semi")
+    return kept.groupBy("__row").agg(F.first("__doc").alias("__doc")).select("__doc.*")

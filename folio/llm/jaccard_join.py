@@ -209,23 +209,33 @@ class Forest:
         return x != y
 
 
-def alike_edges(rows: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Links ``(a, b)``: a spanning forest of the alike pairs of each group ``(node, i, j)``."""
+def alike_edges(rows: DataFrame, sketches: DataFrame, labels: DataFrame | None = None
+                ) -> DataFrame:
+    """Links ``(a, b)`` for each group ``(node, i, j)``: a spanning forest of its alike pairs, over
+    the components known so far. Sets of a group's largest component are not compared
+    with each other, so a group that is connected but for x of its n sets costs x * n."""
+    known = rows if labels is None else rows.join(labels, "u", "left")
+    known = known.withColumn("c", F.col("u") if labels is None else F.coalesce("c", "u"))
 
     def run(batches):
-        for _, _, _, u, given in groups(batches, 3):
+        for _, _, _, u, c, given in groups(batches, 3):
             if len(u) < 2:
                 continue
             marks = np.frombuffer(b"".join(given), dtype=np.uint8).reshape(len(u), BINS)
-            forest, out = Forest(len(u)), []
-            for x in range(len(u) - 1):
-                for y in np.flatnonzero(alike(marks[x], marks[x + 1:])).tolist():
-                    if forest.join(x, x + 1 + y):
-                        out.append((u[x], u[x + 1 + y]))
+            _, part, times = np.unique(np.array(c), return_inverse=True, return_counts=True)
+            inside, at = part == times.argmax(), np.arange(len(u))
+            forest, out = Forest(len(times)), []
+            for x in np.flatnonzero(~inside).tolist():
+                if len(out) == len(times) - 1:  # all connected
+                    break
+                other = np.flatnonzero((inside | (at > x)) & (part != part[x]))
+                for y in other[alike(marks[x], marks[other])].tolist():
+                    if forest.join(int(part[x]), int(part[y])):
+                        out.append((u[x], u[y]))
             if out:
                 yield _table(out, ["a", "b"])
 
-    parts = rows.join(sketches, "u").select("node", "i", "j", "u", "sketch")
+    parts = known.join(sketches, "u").select("node", "i", "j", "u", "c", "sketch")
     return parts.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "u").mapInArrow(
         run, "a long, b long")
 
@@ -347,7 +357,7 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
         below = staged(spark, meet(chosen_children(big, tokens)), "jaccard")
         whole = (F.col("n") > BLOCK) & ((F.col("n") >= SHRINK * F.col("parent_n"))
                                         | F.lit(depth >= LEVELS))
-        more = edges.union(alike_edges(with_pivot(below), sketches))
+        more = edges.union(alike_edges(with_pivot(below), sketches, near))
         edges = staged(spark, more.distinct(), "jaccard")
         near = components(spark, edges)
         left = staged(spark, mixed(below.where(F.col("n") > BLOCK), near).select(
@@ -356,7 +366,7 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
             k = F.ceil(F.col("n") / BLOCK).cast("int")
             rest = in_blocks(left.where("whole").select("node", "u", k.alias("k")))
             edges = staged(spark, edges.union(alike_edges(
-                rest.where("i < j"), sketches)).distinct(), "jaccard")
+                rest.where("i < j"), sketches, near)).distinct(), "jaccard")
             near = components(spark, edges)
         big = left.where(~F.col("whole")).select("node", "u", "n")
 

@@ -12,8 +12,9 @@ branching process of mean ``BRANCH * threshold``.
 Comparison at a node is by one-permutation sketches (``BINS`` bytes a set), far below
 the threshold, so that no pair at it is lost. A node gives a spanning forest of its
 alike pairs, never the pairs themselves: a node of n sets costs n - 1 rows. A node too
-large for that is compared with its pivot first; if all its sets are then in one
-component it is done, else it is split, and where it cannot be split compared in blocks.
+large for that is compared with its pivot first. If all but a few of its sets are then in
+one component, those few are compared with all; else it is split, and where it cannot be
+split compared in blocks.
 The components of alike sets hold every pair at the threshold. Inside each, all pairs
 are brute-forced exactly on the token sets, block by block and each pair once, which
 gives the link counts and, again as spanning forests, the classes.
@@ -49,6 +50,8 @@ LEVELS = 8
 BINS = 128
 SKETCH_LEAST = 0.64
 BATCH_BYTES = 4 << 20
+#: One in so many nodes is compared first.
+FIRST_PART = 6
 #: Token bytes of one side of a block in the exact comparison.
 BLOCK_BYTES = 2 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -250,12 +253,26 @@ def with_pivot(nodes: DataFrame) -> DataFrame:
     return rows.union(pivots).distinct().withColumn("j", F.col("i"))
 
 
-def mixed(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """The nodes whose sets are not all in one component."""
-    labelled = nodes.join(labels, "u", "left").select("node", F.coalesce("c", "u").alias("c"))
-    several = labelled.groupBy("node").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where(
-        "lo < hi").select("node")
-    return nodes.join(several, "node")
+def outside(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(node, u, n, whole, main, x)`` of the nodes whose sets are not all in one component:
+    whether a set is in the node's largest one, and how many are not."""
+    labelled = nodes.join(labels, "u", "left").withColumn("c", F.coalesce("c", "u"))
+    largest = labelled.groupBy("node", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("node").agg(
+        F.max(F.struct("m", "c")).alias("top"))
+    return labelled.join(largest, "node").where(F.col("n") > F.col("top.m")).select(
+        "node", "u", "n", "whole", (F.col("c") == F.col("top.c")).alias("main"),
+        (F.col("n") - F.col("top.m")).alias("x"))
+
+
+def with_outsiders(nodes: DataFrame) -> DataFrame:
+    """Groups ``(node, i, i)`` of nodes ``(node, u, n, main)``: each block of a node's largest
+    component and all sets outside it."""
+    k = F.ceil(F.col("n") / BLOCK).cast("int")
+    inside = nodes.where("main").select("node", F.pmod(F.xxhash64("u"), k).cast("int").alias("i"),
+                                        "u")
+    others = nodes.where(~F.col("main")).select(
+        "node", F.explode(F.sequence(F.lit(0), k - 1)).alias("i"), "u")
+    return inside.union(others).withColumn("j", F.col("i"))
 
 
 def exact_links(labels: DataFrame, copies: DataFrame, tokens: DataFrame, threshold: float
@@ -344,31 +361,39 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
 
     level = staged(spark, meet(sets.select(F.explode("nodes").alias("node"), "u")).select(
         "node", "u", "n", "pivot"), "jaccard")
-    edges = staged(spark, alike_edges(with_pivot(level), sketches).distinct(), "jaccard")
+    # A part of the nodes connects the large groups; the others then add what is new.
+    first = F.pmod("node", F.lit(FIRST_PART)) == 0
+    edges = staged(spark, alike_edges(with_pivot(level.where(first)), sketches).distinct(),
+                   "jaccard")
+    near = components(spark, edges)
+    edges = staged(spark, edges.union(alike_edges(
+        with_pivot(level.where(~first)), sketches, near)).distinct(), "jaccard")
     near = components(spark, edges)
 
-    big = staged(spark, mixed(level.where(F.col("n") > BLOCK), near).select("node", "u", "n"),
-                 "jaccard")
-    depth = 1
-    while big.limit(1).count():
+    todo, depth = level.where(F.col("n") > BLOCK).withColumn("whole", F.lit(False)), 1
+    while True:
+        out = staged(spark, outside(todo.select("node", "u", "n", "whole"), near), "jaccard")
+        if not out.limit(1).count():
+            break
+        # Small is a node with few sets outside its largest component; those meet all.
+        few, many = out.where(F.col("x") <= BLOCK), out.where(F.col("x") > BLOCK)
+        stuck = in_blocks(many.where("whole").select(
+            "node", "u", F.ceil(F.col("n") / BLOCK).cast("int").alias("k"))).where("i < j")
+        edges = staged(spark, edges.union(alike_edges(with_outsiders(few), sketches, near)).union(
+            alike_edges(stuck, sketches, near)).distinct(), "jaccard")
+        big = many.where(~F.col("whole")).select("node", "u", "n")
+        if not big.limit(1).count():
+            near = components(spark, edges)
+            break
         depth += 1
         tokens = staged(spark, token_sets(
             docs, text, big.select("u").distinct().join(sets, "u").select("u", "tkey")), "jaccard")
         below = staged(spark, meet(chosen_children(big, tokens)), "jaccard")
-        whole = (F.col("n") > BLOCK) & ((F.col("n") >= SHRINK * F.col("parent_n"))
-                                        | F.lit(depth >= LEVELS))
-        more = edges.union(alike_edges(with_pivot(below), sketches, near))
-        edges = staged(spark, more.distinct(), "jaccard")
+        edges = staged(spark, edges.union(alike_edges(with_pivot(below), sketches, near))
+                       .distinct(), "jaccard")
         near = components(spark, edges)
-        left = staged(spark, mixed(below.where(F.col("n") > BLOCK), near).select(
-            "node", "u", "n", whole.alias("whole")), "jaccard")
-        if left.where("whole").limit(1).count():
-            k = F.ceil(F.col("n") / BLOCK).cast("int")
-            rest = in_blocks(left.where("whole").select("node", "u", k.alias("k")))
-            edges = staged(spark, edges.union(alike_edges(
-                rest.where("i < j"), sketches, near)).distinct(), "jaccard")
-            near = components(spark, edges)
-        big = left.where(~F.col("whole")).select("node", "u", "n")
+        todo = below.where(F.col("n") > BLOCK).withColumn(
+            "whole", (F.col("n") >= SHRINK * F.col("parent_n")) | F.lit(depth >= LEVELS))
 
     tokens = staged(spark, token_sets(
         docs, text, near.join(sets, "u").select("u", "tkey")), "jaccard")

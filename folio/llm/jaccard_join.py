@@ -370,11 +370,14 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
         with_pivot(level.where(~first)), sketches, near)).distinct(), "jaccard")
     near = components(spark, edges)
 
-    todo, depth = level.where(F.col("n") > BLOCK).withColumn("whole", F.lit(False)), 1
-    while True:
-        out = staged(spark, outside(todo.select("node", "u", "n", "whole"), near), "jaccard")
-        if not out.limit(1).count():
-            break
+    todo = level.where(F.col("n") > BLOCK).withColumn("whole", F.lit(False))
+    out = staged(spark, outside(todo, near), "jaccard")
+    # All sets that can still be linked: the texts are read once more, for these alone.
+    wanted = near.select("u").union(out.select("u")).distinct()
+    tokens = staged(spark, token_sets(docs, text, wanted.join(sets, "u").select("u", "tkey")),
+                    "jaccard")
+    depth = 1
+    while out.limit(1).count():
         # Small is a node with few sets outside its largest component; those meet all.
         few, many = out.where(F.col("x") <= BLOCK), out.where(F.col("x") > BLOCK)
         stuck = in_blocks(many.where("whole").select(
@@ -386,17 +389,14 @@ def classes(spark: SparkSession, docs: DataFrame, key: str, text: str, threshold
             near = components(spark, edges)
             break
         depth += 1
-        tokens = staged(spark, token_sets(
-            docs, text, big.select("u").distinct().join(sets, "u").select("u", "tkey")), "jaccard")
         below = staged(spark, meet(chosen_children(big, tokens)), "jaccard")
         edges = staged(spark, edges.union(alike_edges(with_pivot(below), sketches, near))
                        .distinct(), "jaccard")
         near = components(spark, edges)
         todo = below.where(F.col("n") > BLOCK).withColumn(
             "whole", (F.col("n") >= SHRINK * F.col("parent_n")) | F.lit(depth >= LEVELS))
+        out = staged(spark, outside(todo.select("node", "u", "n", "whole"), near), "jaccard")
 
-    tokens = staged(spark, token_sets(
-        docs, text, near.join(sets, "u").select("u", "tkey")), "jaccard")
     exact = staged(spark, exact_links(near, sets.select("u", "copies"), tokens, threshold),
                    "jaccard")
     labels = components(spark, exact.where(F.col("b").isNotNull()).select("a", "b"))

@@ -43,7 +43,7 @@ WORDS = 5
 THRESHOLD = 0.8
 TARGET_RECALL = 0.9999
 BRANCH = 2.5
-BLOCK = 256
+BLOCK = 1024
 #: A node that keeps this share of its parent is not split again; nor is one this deep.
 SHRINK = 0.7
 LEVELS = 8

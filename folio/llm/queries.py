@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.llm import (
-    ann, bpe, html_extract, jaccard_join, langid, packing, pii, quality, sharding,
-    suffix_dedup,
+    ann, bpe, html_extract, jaccard_join, langid, packing, pii, prefix_trie, quality,
+    sharding, suffix_dedup, topk, vector_codes,
 )
+from folio.llm.oracles import ORACLES  # noqa: F401
 from folio.session import read_table
 
 
@@ -65,6 +66,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(spark, read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(spark, read_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(spark, read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -76,6 +89,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_bpe": op10_bpe,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_topk": op12_topk,
+    "op13_prefix_trie": op13_prefix_trie,
 }
-
-ORACLES: dict[str, str] = {}

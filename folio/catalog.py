@@ -9,17 +9,19 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
 from folio import bindings as B
-from folio.session import new_work_dir, read_table
+from folio.session import new_work_dir, read_table, stored
+from folio.sinks.table import VersionedTable
 from folio.streaming.ingest import (
-    PAGE_SCHEMA, checkpoint_dir, raw_pages, read_bronze, run_to_bronze,
+    PAGE_SCHEMA, checkpoint_dir, merge_batches, raw_pages, read_bronze, run_to_bronze,
 )
 
-from folio.operators import election, keywords, ledger, people, progress, upsert
+from folio.operators import election, keywords, ledger, people, progress, registers, upsert
 from folio.sources import doc_text, html_grid, oai_dc, xoai
 from folio.sources.pages import scan_doc_text, scan_page_folders
 from folio.operators.titlepage import extract_titlepage, replace_titlepages
@@ -516,7 +518,172 @@ def q_pages_without_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_grid.pages_without_grid(B.item_pages(spark, sf_dir))
 
 
+# State that carries order, versioned tables and merged micro-batches.
+
+
+def q_silver_metadata_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST2: the harvests streamed in 1, 4 and 7 batches; each merges the theses it touches
+    into the buckets that hold them."""
+    work = new_work_dir(spark, "silver")
+    B.oai_pages(spark, sf_dir, B.B11_RECORDS).repartition(28).write.parquet(f"{work}/landing")
+    out = None
+    for n in (1, 4, 7):
+        table = VersionedTable(spark, f"{work}/silver-{n}", ["thesis_id"], buckets=16)
+        run_to_bronze(
+            spark, f"{work}/landing", PAGE_SCHEMA, _records, f"{work}/bronze-{n}",
+            checkpoint_dir(f"{work}/checkpoint", batches=n), max_files_per_trigger=28 // n,
+            then=merge_batches(table, upsert.metadata_registers,
+                               lambda r: r.select(F.col("id").alias("thesis_id"))))
+        rows = registers.values(table.read(), "thesis_id").withColumn("n_batches", F.lit(n))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _versions_reversed(records: DataFrame) -> list[DataFrame]:
+    """The records of the three replays, the last one first."""
+    version = F.length(F.element_at(F.split("file_name", "_"), -1)) > F.length(F.lit("000000.xml"))
+    offset = F.regexp_extract("file_name", r"_(\d+)\.xml$", 1).cast("long")
+    ver = F.when(version, F.floor(offset / 1000000)).otherwise(0)
+    return [records.where(ver == v) for v in (2, 1, 0)]
+
+
+def q_metadata_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replays merged in reverse order of their records."""
+    state = None
+    for records in _versions_reversed(replay_records(spark, sf_dir)):
+        state = registers.merge(state, upsert.metadata_registers(records), "thesis_id")
+    return registers.values(state, "thesis_id")
+
+
+def _keywords_reversed(spark: SparkSession, sf_dir: str):
+    state = None
+    for records in _versions_reversed(replay_records(spark, sf_dir)):
+        state = keywords.merge_keywords(state, keywords.keyword_registers(
+            upsert.metadata_fields(records)))
+    return keywords.keyword_tables(*state)
+
+
+def q_keyword_dictionary_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keywords_reversed(spark, sf_dir)[0]
+
+
+def q_keyword_links_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _keywords_reversed(spark, sf_dir)[1]
+
+
+def q_degree_fill_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Theses of a later half of the ids first, and stale degrees of an earlier page last."""
+    rich = rich_records(spark, sf_dir).select("id", "file_name", "pos", "degree")
+    stale = rich.withColumn("file_name", F.lit("")).withColumn(
+        "degree", F.concat(F.lit("stale "), "degree"))
+    state = None
+    for records in (rich.where(F.col("id") % 2 == 1), rich.where(F.col("id") % 2 == 0), stale):
+        state = registers.merge(state, upsert.degree_registers(records), "thesis_id")
+    return upsert.fill_degree_from(B.metadata_levels(spark, sf_dir), state).select(
+        "thesis_id", "degree_level", "degree_raw")
+
+
+def q_stream_ledger_crash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST3: outcomes stream in batches into the ledger's state. The second batch is lost after
+    its rows are written, before the manifest; the stream is started again, and then all
+    of it is replayed from another checkpoint."""
+    work = new_work_dir(spark, "st3-table")
+    outcomes = B.fetch_outcomes(spark, sf_dir)
+    outcomes.repartition(6).write.parquet(f"{work}/landing")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in outcomes.schema.fields)
+    table = VersionedTable(spark, f"{work}/ledger", ["thesis_id"], buckets=16)
+    merge = merge_batches(table, ledger.outcome_registers, lambda r: r.select("thesis_id"))
+
+    def lost(rows: DataFrame, run: str, batch: int) -> None:
+        if batch == 1:
+            table.write_buckets(table.manifest(), ledger.outcome_registers(rows))
+            raise RuntimeError("the batch is lost")
+        merge(rows, run, batch)
+
+    def run(then, **params) -> None:
+        run_to_bronze(spark, f"{work}/landing", schema, ledger.classify_fetch, f"{work}/bronze",
+                      checkpoint_dir(f"{work}/checkpoint", **params), max_files_per_trigger=2,
+                      then=then)
+
+    try:
+        run(lost, table="outcomes")
+    except StreamingQueryException:
+        pass
+    run(merge, table="outcomes")
+    run(merge, table="outcomes", replay=1)
+    return ledger.ledger_of(table.read())
+
+
+def q_files_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item-page files were stored by an earlier run; the bundles' files replace those of
+    their theses, and access carries over from the version read."""
+    root = f"{new_work_dir(spark, 'files')}/thesis_file"
+    earlier = B.files_from_lineitem(spark, sf_dir).select(
+        "thesis_id", "filename", F.lit(None).cast("string").alias("size_label"), "size_bytes",
+        "access", "description", "filetype", "url", F.lit(None).cast("string").alias("role"))
+    VersionedTable(spark, root, ["thesis_id"], 16).merge(earlier, lambda _, rows: rows)
+    new = stored(spark, election.elect_primary_scored(xoai.last_record_files(
+        xoai.explode_bitstreams(rich_records(spark, sf_dir)))), "bundle-files")
+    table = VersionedTable(spark, root, ["thesis_id"])
+    table.merge(new, upsert.replace_files)
+    return table.read().select("thesis_id", "filename", "size_bytes", "access", "description",
+                               "filetype", "role", "url")
+
+
+def _reindexed_versions(spark: SparkSession, sf_dir: str):
+    """J16 as ``_reindexed``, over tables that the run of 2020 stored."""
+    root = new_work_dir(spark, "file-index")
+    pages = B.item_pages(spark, sf_dir).select("thesis_id", "html")
+    files = stored(spark, election.elect_primary_tiered(html_grid.parse_file_grid(pages)), "grid")
+
+    def load(which: Column, files: DataFrame, at: dt.datetime) -> list[VersionedTable]:
+        ids = pages.where(which).select("thesis_id")
+        rows = upsert.replace_file_index(None, None, ids, files.where(which), at)
+        tables = [VersionedTable(spark, f"{root}/{name}", ["thesis_id"], 16)
+                  for name in ("thesis_file", "thesis_file_status")]
+        for table, new in zip(tables, rows):
+            table.replace(ids, new)
+        return tables
+
+    load(F.col("thesis_id") % 2 == 0, files.withColumn(
+        "filename", F.concat(F.lit("old_"), "filename")), dt.datetime(2020, 1, 1))
+    return load(F.col("thesis_id") % 3 == 0, files, INDEXED_AT)
+
+
+def q_file_index_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reindexed_versions(spark, sf_dir)[0].read().select(
+        "thesis_id", "filename", "size_bytes", "access", "url", "role")
+
+
+def q_file_index_status_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reindexed_versions(spark, sf_dir)[1].read()
+
+
+def q_titlepage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows were stored by an earlier extraction with other values; the new rows of
+    even theses replace theirs."""
+    root = f"{new_work_dir(spark, 'titlepage')}/thesis_titlepage"
+    tp = stored(spark, titlepages(spark, sf_dir), "titlepage")
+    earlier = tp.withColumn("faculty", F.concat(F.lit("old "), "faculty")).withColumn(
+        "n_pages", F.lit(-1))
+    VersionedTable(spark, root, ["thesis_id"], 16).merge(earlier, lambda _, rows: rows)
+    new = tp.where(F.col("thesis_id") % 2 == 0)
+    table = VersionedTable(spark, root, ["thesis_id"])
+    table.replace(new.select("thesis_id"), new)
+    return table.read().select("thesis_id", "faculty", "n_pages")
+
+
 QUERIES: dict[str, Query] = {
+    "silver_metadata_batches": q_silver_metadata_batches,
+    "metadata_reversed": q_metadata_reversed,
+    "keyword_dictionary_reversed": q_keyword_dictionary_reversed,
+    "keyword_links_reversed": q_keyword_links_reversed,
+    "degree_fill_reversed": q_degree_fill_reversed,
+    "stream_ledger_crash": q_stream_ledger_crash,
+    "files_versions": q_files_versions,
+    "file_index_versions": q_file_index_versions,
+    "file_index_status_versions": q_file_index_status_versions,
+    "titlepage_versions": q_titlepage_versions,
     "rejected_pages": q_rejected_pages,
     "scan_pages_inventory": q_scan_pages_inventory,
     "scan_doc_text": q_scan_doc_text,

@@ -7,10 +7,11 @@ J21 a map plus a left join of the wanted ids.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.functions.files import item_url
+from folio.operators import registers as reg
 
 # The reasons recorded in the ledger.
 NOT_PDF = "not a PDF (restricted or a landing page)"
@@ -68,34 +69,23 @@ def classify_fetch(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def merge_failures(classified: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """The failure ledger after replaying outcomes in time order.
+def outcome_registers(classified: DataFrame) -> DataFrame:
+    """J20 as state: per thesis its latest outcome, a success included, so that outcomes may
+    come in any order; ``registers.merge`` puts two lots together."""
+    return classified.select("thesis_id", _outcome(
+        1, F.col("at_ts"), F.col("event_id"), F.col("ok")).alias("o")).groupBy("thesis_id").agg(
+        F.max("o").alias("o"))
 
-    A failure replaces the thesis's ledger row, a success deletes it, so the
-    ledger holds a thesis exactly when its *latest* outcome (by time, then
-    event id) is a failure. ``state`` (an earlier ledger) counts as older than
-    every outcome.
-    """
+
+def _outcome(gen: int, at: Column, event: Column, ok: Column) -> Column:
     # Leading field ``gen``: an earlier ledger row is older than every outcome.
-    ev = classified.select(
-        "thesis_id",
-        F.struct(
-            F.lit(1).alias("gen"), F.col("at_ts").alias("t"), F.col("event_id").alias("e"),
-            F.col("ok"), F.col("pdf_url"), F.col("reason"), F.col("permanent"),
-        ).alias("o"),
-    )
-    if state is not None:
-        old = state.select(
-            "thesis_id",
-            F.struct(
-                F.lit(0).alias("gen"), F.col("failed_at").alias("t"),
-                F.lit(-1).cast("bigint").alias("e"), F.lit(False).alias("ok"),
-                F.col("pdf_url"), F.col("reason"), F.col("permanent"),
-            ).alias("o"),
-        )
-        ev = ev.unionByName(old)
-    latest = ev.groupBy("thesis_id").agg(F.max("o").alias("o"))
-    return latest.where(~F.col("o.ok")).select(
+    return F.struct(F.lit(gen).alias("gen"), at.alias("t"), event.cast("bigint").alias("e"),
+                    ok.alias("ok"), F.col("pdf_url"), F.col("reason"), F.col("permanent"))
+
+
+def ledger_of(registers: DataFrame) -> DataFrame:
+    """The failure ledger that the latest outcomes make."""
+    return registers.where(~F.col("o.ok")).select(
         F.col("thesis_id"),
         item_url("thesis_id").alias("item_url"),
         F.col("o.pdf_url").alias("pdf_url"),
@@ -105,6 +95,22 @@ def merge_failures(classified: DataFrame, state: DataFrame | None = None) -> Dat
     )
 
 
+def merge_failures(classified: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """The failure ledger after replaying outcomes in time order.
+
+    A failure replaces the thesis's ledger row, a success deletes it, so the
+    ledger holds a thesis exactly when its *latest* outcome (by time, then
+    event id) is a failure. ``state`` (an earlier ledger) counts as older than
+    every outcome.
+    """
+    latest = outcome_registers(classified)
+    if state is not None:
+        old = state.select("thesis_id", _outcome(
+            0, F.col("failed_at"), F.lit(-1), F.lit(False)).alias("o"))
+        latest = reg.merge(old, latest, "thesis_id")
+    return ledger_of(latest)
+
+
 def failure_report(ledger: DataFrame) -> DataFrame:
     """The triage table -- theses per (reason, permanent)."""
     return ledger.groupBy("reason", "permanent").agg(F.count(F.lit(1)).alias("n"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import metadata as md
 from folio.functions.files import abs_url
+from folio.operators import registers as reg
 
 THESIS_COLUMNS = ["id", "date_accepted", "title", "authors"]
 METADATA_FIELDS = [
@@ -68,22 +69,21 @@ def metadata_fields(records: DataFrame) -> DataFrame:
     )
 
 
-def merge_metadata(state: DataFrame | None, records: DataFrame) -> DataFrame:
-    """Per thesis and per field, the last non-NULL value in record order
-    wins; a field no record fills keeps its old value; new theses appear.
+def metadata_registers(records: DataFrame) -> DataFrame:
+    """J11 as state: per thesis and field the last non-NULL value and its record order. Merged
+    by ``registers.merge``, whatever the order in which records arrive.
 
-    One ``groupBy(thesis_id)`` computes every field: ``max`` over
-    ``struct(ord, value)`` restricted to non-NULL values.
+    One ``groupBy(thesis_id)`` computes every field, by ``max`` over ``struct(order, value)``.
     """
-    f = metadata_fields(records)
-    aggs = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(_ord().alias("o"), F.col(c).alias("v"))))
-        .alias(c)
-        for c in METADATA_FIELDS
-    ]
-    folded = f.groupBy("thesis_id").agg(*aggs).select(
-        "thesis_id", *[F.col(f"{c}.v").alias(c) for c in METADATA_FIELDS]
-    )
+    return metadata_fields(records).groupBy("thesis_id").agg(
+        *[F.max(reg.register(F.col(c))).alias(c) for c in METADATA_FIELDS])
+
+
+def merge_metadata(state: DataFrame | None, records: DataFrame) -> DataFrame:
+    """Per thesis and per field, the last non-NULL value in record order wins; a field no
+    record fills keeps its old value; new theses appear. ``state`` holds plain values, older
+    than any record; where records may come late, keep ``metadata_registers`` instead."""
+    folded = reg.values(metadata_registers(records), "thesis_id")
     if state is None:
         return folded
     old = state.select("thesis_id", *[F.col(c).alias(f"_old_{c}") for c in METADATA_FIELDS])
@@ -143,12 +143,21 @@ def replace_file_index(state: DataFrame | None, status: DataFrame | None,
     return out_files, out_status
 
 
+def degree_registers(rich: DataFrame) -> DataFrame:
+    """J17 as state: per thesis the last stated degree and its record order."""
+    return rich.where(F.col("degree").isNotNull()).groupBy(F.col("id").alias("thesis_id")).agg(
+        F.max(reg.register(F.col("degree"))).alias("degree"))
+
+
 def fill_degree(metadata: DataFrame, rich: DataFrame) -> DataFrame:
     """From the rich records, degree_raw is overwritten where a degree is
     stated (last by record order) and degree_level filled only where NULL."""
-    stated = rich.where(F.col("degree").isNotNull()).groupBy(F.col("id").alias("thesis_id")).agg(
-        F.max(F.struct(_ord().alias("o"), F.col("degree").alias("v"))).alias("d")
-    ).select("thesis_id", F.col("d.v").alias("_degree"))
+    return fill_degree_from(metadata, degree_registers(rich))
+
+
+def fill_degree_from(metadata: DataFrame, degrees: DataFrame) -> DataFrame:
+    """J17 over the registers of all rich records so far."""
+    stated = degrees.select("thesis_id", F.col("degree.v").alias("_degree"))
     base = metadata if "degree_raw" in metadata.columns else metadata.withColumn(
         "degree_raw", F.lit(None).cast("string"))
     j = base.join(stated, "thesis_id", "left")

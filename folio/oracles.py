@@ -8,6 +8,7 @@ the generated text. Patterns stay in the RE2 subset (no lookaround).
 from __future__ import annotations
 
 from folio import bindings as B
+from folio.functions.files import DECLARATION_DESCRIPTIONS
 
 
 def _with(**ctes: str) -> str:
@@ -97,8 +98,10 @@ tf AS (
 )
 """
 
+_DECLARATIONS = ", ".join(f"'{d}'" for d in DECLARATION_DESCRIPTIONS)
+
 # The candidate of a thesis is the least key row over its PDFs; no row is numbered.
-_CANDIDATE = """
+_CANDIDATE = f"""
 f AS (
   SELECT thesis_id, best.url AS pdf_url, CAST(best.open AS INTEGER) AS open_pdfs,
     CASE WHEN best.open THEN best.bytes END AS open_size, best.bytes AS any_size
@@ -106,7 +109,7 @@ f AS (
     SELECT thesis_id, min(struct_pack(
       not_primary := role IS DISTINCT FROM 'primary',
       not_full := description IS DISTINCT FROM 'Heildartexti',
-      form := lower(coalesce(description, '')) SIMILAR TO 'yfirl(ý|y)sing',
+      form := lower(coalesce(description, '')) IN ({_DECLARATIONS}),
       smaller := -coalesce(size_bytes, -1),
       name := coalesce(filename, ''), link := coalesce(url, ''),
       url := url, bytes := size_bytes,
@@ -633,3 +636,21 @@ SELECT thesis_id FROM b6 WHERE thesis_id IN (SELECT thesis_id FROM b10) ORDER BY
     "pages_without_grid": """SELECT o_orderkey AS thesis_id FROM orders
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""",
 })
+
+# State that carries order, versioned tables and merged micro-batches.
+ORACLES.update({
+    "silver_metadata_batches": "SELECT n_batches, t.* FROM ("
+        + ORACLES["metadata_last_non_null"] + ") t, (VALUES (1), (4), (7)) b(n_batches)",
+    "metadata_reversed": ORACLES["metadata_last_non_null"],
+    "keyword_dictionary_reversed": ORACLES["keyword_dictionary"],
+    "keyword_links_reversed": ORACLES["thesis_keyword_links"],
+    "degree_fill_reversed": ORACLES["degree_fill"],
+    "stream_ledger_crash": ORACLES["failure_ledger_latest"],
+    "files_versions": ORACLES["files_replace_carry_access"],
+    "file_index_versions": ORACLES["file_index_replace_state"],
+    "file_index_status_versions": ORACLES["file_index_status_state"],
+    "titlepage_versions": _b3("""SELECT thesis_id,
+        CASE WHEN thesis_id % 2 = 0 THEN faculty ELSE 'old ' || faculty END AS faculty,
+        CAST(CASE WHEN thesis_id % 2 = 0 THEN n_pages ELSE -1 END AS INTEGER) AS n_pages
+        FROM expected"""),
+})

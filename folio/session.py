@@ -59,7 +59,6 @@ def work_dir(spark: SparkSession, name: str) -> str:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="folio-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")
     return f"{base}/{name}"
@@ -70,3 +69,10 @@ def new_work_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return work_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the work folder and read back: computed once, lineage cut."""
+    path = new_work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -3,9 +3,14 @@
 New files are picked up by a file-source stream, transformed in ``foreachBatch`` and
 written to a bronze folder of their own, ``run=<checkpoint>/batch=<epoch>``, which a
 retried batch overwrites. A second checkpoint over the same files writes the same
-rows under another run; ``read_bronze`` keeps one row per record key, so a replay
-adds nothing. Folds over bronze (J11, J20) use the record order stored with each
-row, not arrival order, so results do not depend on how files fell into batches.
+rows under another run; ``read_bronze`` keeps what was stored last of each page, so a
+replay adds nothing.
+
+``merge_batches`` keeps silver beside bronze: each batch's bronze rows become registers that
+are merged into a versioned table, whose untouched buckets stay as they are. The table
+holds the number of the last batch of each run, so a batch that is retried after its
+commit, or after a crash before it, is merged once. Registers carry record order, so results
+do not depend on how files fell into batches, nor on their order.
 """
 
 from __future__ import annotations
@@ -13,9 +18,12 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folio.operators import registers as reg
+from folio.sinks.table import VersionedTable
+
 PAGE_SCHEMA = "file_name STRING, xml STRING"
 
 
@@ -40,10 +48,12 @@ def run_to_bronze(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
     wholetext: bool = False,
+    then: Callable[[DataFrame, str, int], None] | None = None,
 ) -> None:
     """Process every file in ``source_dir`` not seen by ``checkpoint`` and write the
     transformed rows below ``bronze_dir``. Files are Parquet, or with ``wholetext``
-    one raw page each in folders ``page=<name>``.
+    one raw page each in folders ``page=<name>``. ``then(rows, run, batch)`` gets the
+    bronze rows of each batch once they are stored.
 
     ``trigger(availableNow=True)`` drains what is there in (possibly several)
     micro-batches and stops, so the same code serves a scheduled batch run
@@ -59,8 +69,11 @@ def run_to_bronze(
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(
-            f"{bronze_dir}/run={run}/batch={epoch_id}")
+        path = f"{bronze_dir}/run={run}/batch={epoch_id}"
+        rows = transform(batch).withColumn("stored_at", F.current_timestamp())
+        rows.write.mode("overwrite").parquet(path)
+        if then:
+            then(spark.read.schema(rows.schema).parquet(path).drop("stored_at"), run, epoch_id)
 
     q = (
         src.writeStream.foreachBatch(write_batch)
@@ -71,6 +84,23 @@ def run_to_bronze(
     q.awaitTermination()
 
 
+def merge_batches(table: VersionedTable, registers_of: Callable[[DataFrame], DataFrame],
+                  keys_of: Callable[[DataFrame], DataFrame]
+                  ) -> Callable[[DataFrame, str, int], None]:
+    """For ``run_to_bronze(then=...)``: merges the registers of every batch into ``table``."""
+    key, = table.key
+
+    def then(rows: DataFrame, run: str, batch: int) -> None:
+        table.merge(registers_of(rows), lambda old, new: reg.merge(old, new, key), run, batch,
+                    keys_of(rows))
+
+    return then
+
+
 def read_bronze(spark: SparkSession, bronze_dir: str, key: list[str]) -> DataFrame:
-    """The bronze rows of all runs, one per ``key``."""
-    return spark.read.parquet(bronze_dir).drop("run", "batch").dropDuplicates(key)
+    """The bronze rows of all runs, one per ``key``. The first column of ``key`` names what is
+    stored as a whole (a page): of one stored again, the last store counts."""
+    stored = F.struct("stored_at", "run", "batch")
+    last = F.max(stored).over(Window.partitionBy(key[0]))
+    return spark.read.parquet(bronze_dir).withColumn("_last", last).where(
+        stored == F.col("_last")).drop("run", "batch", "stored_at", "_last").dropDuplicates(key)

@@ -488,9 +488,13 @@ def xoai_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     recs = run_binding(spark, sf_dir, B2_RECORDS).join(per_rec, "k", "left")
     value = lambda c: F.when(F.col(c).isNotNull(), F.concat(
         F.lit('<field name="value">'), F.col(c), F.lit("</field>"))).otherwise(F.lit(""))
+    # Every 1009th order has its author 20 elements deeper.
+    deep = F.col("k") % 1009 == 0
+    down, up = (F.when(deep, F.lit(x * 20)).otherwise(F.lit("")) for x in (
+        '<element name="x">', "</element>"))
     dc = F.concat(
         F.lit('<element name="dc"><element name="contributor"><element name="author">'
-              '<element name="none">'), value("author"),
+              '<element name="none">'), down, value("author"), up,
         F.lit('</element></element></element><element name="description">'
               '<element name="advisor"><element name="none">'), value("advisor1"), value("advisor2"),
         F.lit('</element></element></element>'),
@@ -577,3 +581,26 @@ def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</body></html>"),
     )
     return ids.join(grid, "thesis_id", "left").select("thesis_id", html.alias("html"))
+
+
+# B12 -- keyword records in words whose case folds in more than one way: German sharp s, a
+# ligature, a final sigma. ``word`` is the folded word, ``spelling`` one of its forms.
+B12_KEYWORDS = """
+SELECT c_custkey AS thesis_id, word, spelling FROM (
+  SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'strasse' WHEN 1 THEN 'fisch' WHEN 2 THEN 'λόγοσ'
+      ELSE 'grösse' END AS word,
+    CASE c_custkey % 12 WHEN 0 THEN 'Straße' WHEN 4 THEN 'STRASSE' WHEN 8 THEN 'strasse'
+      WHEN 1 THEN 'ﬁsch' WHEN 5 THEN 'FISCH' WHEN 9 THEN 'Fisch'
+      WHEN 2 THEN 'λόγος' WHEN 6 THEN 'ΛΌΓΟΣ' WHEN 10 THEN 'Λόγοσ'
+      WHEN 3 THEN 'Größe' WHEN 7 THEN 'GRÖSSE' ELSE 'größe' END AS spelling
+  FROM {customer}) t
+"""
+
+
+def folding_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B12 as keyword lists in record order: a word in two spellings."""
+    from pyspark.sql import functions as F
+
+    return run_binding(spark, sf_dir, B12_KEYWORDS).select(
+        "thesis_id", F.lit("p").alias("file_name"), F.col("thesis_id").alias("pos"),
+        F.array("spelling", "word").alias("subjects"))

@@ -22,7 +22,8 @@ from folio.streaming.ingest import (
 )
 
 from folio.operators import election, keywords, ledger, people, progress, registers, upsert
-from folio.sources import doc_text, html_grid, oai_dc, xoai
+from folio.functions import metadata
+from folio.sources import doc_text, dump, html_grid, oai_dc, xoai
 from folio.sources.pages import scan_doc_text, scan_page_folders
 from folio.operators.titlepage import extract_titlepage, replace_titlepages
 from folio.plans import queue, reports
@@ -673,7 +674,89 @@ def q_titlepage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read().select("thesis_id", "faculty", "n_pages")
 
 
+def _dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of the harvest in two large files, scanned by records."""
+    work = new_work_dir(spark, "dump")
+    B.oai_pages(spark, sf_dir).select("xml").repartition(2).write.text(f"{work}/dump")
+    return dump.scan_dump(spark, f"{work}/dump")
+
+
+def q_dump_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 from a dump: splits of one file are parsed by many tasks."""
+    return _flat(dump.parse_dump(_dump(spark, sf_dir)))
+
+
+def q_dump_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dump.dump_problems(_dump(spark, sf_dir)).groupBy("status", "problem").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def q_dump_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dump.dump_tokens(_dump(spark, sf_dir)).select("token")
+
+
+#: Two harvests with other parameters, stored together, and one that has stored nothing.
+EARLY, LATE, NEVER = (progress.context_digest(years=y, output="catalog") for y in (
+    "1990-1995", "1996-2000", "2001-2005"))
+
+
+def _two_harvests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The early harvest lost some pages in its middle, the late one has not come to the end."""
+    pages = B.oai_pages(spark, sf_dir)
+    offset = F.regexp_extract("file_name", r"_(\d+)\.xml$", 1).cast("long")
+    stored_pages = pages.withColumn("offset", offset)
+    return stored_pages.where(F.col("offset") % 700 != 300).withColumn(
+        "context", F.lit(EARLY)).unionByName(stored_pages.where(F.col("offset") < 5000).withColumn(
+            "context", F.lit(LATE))).drop("offset")
+
+
+def q_harvest_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that are named by a stored page and not there, for each run."""
+    return progress.missing_pages(_two_harvests(spark, sf_dir))
+
+
+def q_harvest_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each run goes on; a run with other parameters has no resume point."""
+    pages = stored(spark, _two_harvests(spark, sf_dir), "harvests")
+    points = [progress.resume_points(pages, c).withColumn("context", F.lit(c))
+              for c in (EARLY, LATE, NEVER)]
+    return points[0].unionByName(points[1]).unionByName(points[2])
+
+
+def _people_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Odd people are loaded and cleaned, then all are loaded and cleaned again."""
+    loaded = B.people_table(spark, sf_dir)
+    odd = F.col("id") % 2 == 1
+    first = people.clean_more(None, None, loaded.where(odd))
+    return people.clean_more(*first, loaded)
+
+
+def q_people_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _people_runs(spark, sf_dir)[0].drop("dirty", "absorbed")
+
+
+def q_people_links_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links under the ids of their load, resolved through the forwarding table."""
+    return people.resolve_links(B.people_links(spark, sf_dir), _people_runs(spark, sf_dir)[1])
+
+
+def q_keyword_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spellings that differ in case only are one keyword."""
+    fields = B.folding_keywords(spark, sf_dir).withColumn(
+        "keywords", metadata.split_keywords(F.col("subjects")))
+    words, links = keywords.build_keywords(fields)
+    return links.join(words, "keyword_norm")
+
+
 QUERIES: dict[str, Query] = {
+    "dump_records": q_dump_records,
+    "dump_problems": q_dump_problems,
+    "dump_tokens": q_dump_tokens,
+    "harvest_missing": q_harvest_missing,
+    "harvest_resume": q_harvest_resume,
+    "people_runs": q_people_runs,
+    "people_links_runs": q_people_links_runs,
+    "keyword_folding": q_keyword_folding,
     "silver_metadata_batches": q_silver_metadata_batches,
     "metadata_reversed": q_metadata_reversed,
     "keyword_dictionary_reversed": q_keyword_dictionary_reversed,

@@ -7,6 +7,8 @@ case-insensitive pattern here is written ``(?iU)``.
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,18 +56,40 @@ def clean_list(arr: Column) -> Column:
     return F.filter(F.transform(arr, whitespace_norm), lambda x: x.isNotNull())
 
 
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Where full case folding differs from lower case: (one character for one, one for several),
+    by the rule of the Unicode tables that Python carries."""
+    one, many = {}, {}
+    for code in range(sys.maxunicode + 1):
+        char = chr(code)
+        low, folded = char.lower(), char.casefold()
+        if len(low) == 1 and low != folded:
+            (one if len(folded) == 1 else many)[low] = folded
+    return one, many
+
+
+FOLD_ONE, FOLD_MANY = _folds()
+
+
+def fold(c: Column | str) -> Column:
+    """Full case folding: texts that differ in case only become equal (``Maß``, ``MASS``;
+    ``ﬁ``, ``FI``; a final sigma and any other). Lower case, one ``translate``, and only
+    where a character folds to several a map over the characters."""
+    low = F.translate(F.lower(col_(c)), "".join(FOLD_ONE), "".join(FOLD_ONE.values()))
+    table = F.create_map(*(F.lit(x) for pair in FOLD_MANY.items() for x in pair))
+    spread = F.array_join(F.transform(
+        F.split(low, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(low.rlike("[" + "".join(FOLD_MANY) + "]"), spread).otherwise(low)
+
+
 def dedupe_ci(arr: Column) -> Column:
     """Whitespace-normalise, drop blanks, keep the first spelling of each
-    lower-cased value, preserving order."""
-    cleaned = clean_list(arr)
-    empty = F.array().cast("array<string>")
-    return F.aggregate(
-        cleaned,
-        empty,
-        lambda acc, x: F.when(
-            F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc
-        ).otherwise(F.concat(acc, F.array(x))),
-    )
+    case-folded value, preserving order."""
+    pairs = F.transform(clean_list(arr), lambda x: F.struct(x.alias("v"), fold(x).alias("f")))
+    none = F.array().cast("array<struct<v: string, f: string>>")
+    first = F.aggregate(pairs, none, lambda acc, x: F.when(
+        F.exists(acc, lambda y: y["f"] == x["f"]), acc).otherwise(F.concat(acc, F.array(x))))
+    return F.transform(first, lambda x: x["v"])
 
 
 def join_or_null(arr: Column, sep: str = "; ") -> Column:

@@ -11,11 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions.text import fold
 from folio.operators import registers as reg
 
 
 def keyword_norm(c: F.Column) -> F.Column:
-    return F.trim(F.lower(c))
+    return F.trim(fold(c))
 
 
 def keyword_registers(fields: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from folio import bindings as B
 from folio.functions.files import DECLARATION_DESCRIPTIONS
+from folio.operators.progress import context_digest
 
 
 def _with(**ctes: str) -> str:
@@ -654,3 +655,48 @@ ORACLES.update({
         CAST(CASE WHEN thesis_id % 2 = 0 THEN n_pages ELSE -1 END AS INTEGER) AS n_pages
         FROM expected"""),
 })
+
+
+# Dumps, harvests with gaps, people over two runs, case folding.
+EARLY, LATE = (context_digest(years=y, output="catalog") for y in ("1990-1995", "1996-2000"))
+_HARVESTS = _with(b1=B.B1_RECORDS) + f""",
+pages AS (SELECT DISTINCT set_spec, page_offset FROM b1),
+ends AS (SELECT set_spec, max(page_offset) AS final FROM pages GROUP BY set_spec),
+kept AS (
+  SELECT '{EARLY}' AS context, set_spec, page_offset FROM pages WHERE page_offset % 700 <> 300
+  UNION ALL SELECT '{LATE}', set_spec, page_offset FROM pages WHERE page_offset < 5000),
+last AS (SELECT context, set_spec, max(page_offset) AS last FROM kept GROUP BY context, set_spec),
+missing AS (
+  SELECT k.context, 'oai_dc' AS prefix, k.set_spec, k.page_offset AS after_offset,
+    k.page_offset + 100 AS missing_offset
+  FROM kept k JOIN last l ON l.context = k.context AND l.set_spec = k.set_spec
+  WHERE k.page_offset + 100 <= l.last AND NOT EXISTS (SELECT 1 FROM kept o WHERE
+    o.context = k.context AND o.set_spec = k.set_spec AND o.page_offset = k.page_offset + 100))
+"""
+ORACLES.update({
+    "dump_records": ORACLES["oai_dc_records"],
+    "dump_problems": _b1("""
+SELECT status, problem, count(DISTINCT set_spec) AS n FROM b1, (VALUES
+  ('error', 'badResumptionToken: The token is invalid'), ('corrupt', 'malformed XML'))
+  p(status, problem) GROUP BY status, problem"""),
+    "dump_tokens": _b1("""
+SELECT 'oai_dc///' || set_spec || '/' || CAST(page_offset + 100 AS VARCHAR) AS token
+FROM (SELECT DISTINCT set_spec, page_offset FROM b1) p
+WHERE page_offset < (SELECT max(page_offset) FROM b1 q WHERE q.set_spec = p.set_spec)"""),
+    "harvest_missing": _HARVESTS + "SELECT * FROM missing",
+    "harvest_resume": _HARVESTS + """
+SELECT context, prefix, set_spec, resume_offset, missing FROM (
+  SELECT l.context, 'oai_dc' AS prefix, l.set_spec,
+    coalesce(min(m.missing_offset), CASE WHEN l.last < any_value(e.final) THEN l.last + 100 END)
+      AS resume_offset, count(m.missing_offset) AS missing
+  FROM last l JOIN ends e ON e.set_spec = l.set_spec
+  LEFT JOIN missing m ON m.context = l.context AND m.set_spec = l.set_spec
+  GROUP BY l.context, l.set_spec, l.last) t
+WHERE resume_offset IS NOT NULL""",
+    "people_runs": ORACLES["clean_people"],
+    "people_links_runs": ORACLES["clean_people_links"],
+    "keyword_folding": _with(b12=B.B12_KEYWORDS) + """
+SELECT b.thesis_id, b.word AS keyword_norm, 0 AS sort_order, f.spelling AS keyword
+FROM b12 b JOIN (SELECT word, arg_min(spelling, thesis_id) AS spelling FROM b12 GROUP BY word) f
+  ON f.word = b.word""",
+})

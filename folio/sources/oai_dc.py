@@ -25,10 +25,12 @@ XML_OPTIONS = {
 }
 
 _DC = ", ".join(f"{f}: ARRAY<STRING>" for f in DC_FIELDS)
-OAI_DC_SCHEMA = (
-    "ListRecords STRUCT<record: ARRAY<STRUCT<"
+RECORD_FIELDS = (
     "header: STRUCT<_status: STRING, identifier: STRING, datestamp: STRING, setSpec: ARRAY<STRING>>, "
-    f"metadata: STRUCT<dc: STRUCT<{_DC}>>>>, "
+    f"metadata: STRUCT<dc: STRUCT<{_DC}>>"
+)
+OAI_DC_SCHEMA = (
+    f"ListRecords STRUCT<record: ARRAY<STRUCT<{RECORD_FIELDS}>>, "
     "resumptionToken: STRUCT<_VALUE: STRING>>, "
     "error STRUCT<_code: STRING, _VALUE: STRING>, _corrupt_record STRING"
 )
@@ -128,7 +130,13 @@ def parse_oai_dc(pages: DataFrame, handle_prefix: str = HANDLE_PREFIX,
         F.col("page_status") == "ok")
     recs = routed.select(
         "file_name", F.posexplode(F.col("p.ListRecords.record")).alias("pos", "r")
-    ).where(F.coalesce(F.col("r.header._status"), F.lit("")) != "deleted")
+    )
+    return dc_records(recs, handle_prefix)
+
+
+def dc_records(recs: DataFrame, handle_prefix: str = HANDLE_PREFIX) -> DataFrame:
+    """Parsed records ``(file_name, pos, r)`` as J3 gives them."""
+    recs = recs.where(F.coalesce(F.col("r.header._status"), F.lit("")) != "deleted")
     dc = {f: clean_values(F.col(f"r.metadata.dc.{f}")) for f in DC_FIELDS}
     header_id = F.nullif(strip_ws(F.col("r.header.identifier")), F.lit(""))
     out = recs.select(
@@ -153,11 +161,11 @@ TOKEN_SCHEMA = ("ListRecords STRUCT<resumptionToken: STRUCT<_VALUE: STRING>>, "
                 "error STRUCT<_code: STRING, _VALUE: STRING>, _corrupt_record STRING")
 
 
-def page_tokens(pages: DataFrame) -> DataFrame:
+def page_tokens(pages: DataFrame, *carried: str) -> DataFrame:
     """Per good page: its resumption token (NULL on the last page of a set)."""
     ok = route_page_errors(parse_pages(pages, TOKEN_SCHEMA)).where(F.col("page_status") == "ok")
     return ok.select(
-        "file_name",
+        "file_name", *carried,
         F.nullif(strip_ws(F.col("p.ListRecords.resumptionToken._VALUE")), F.lit("")).alias("token"),
     )
 

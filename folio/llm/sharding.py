@@ -20,6 +20,8 @@ along, but for ``shard`` and ``slot``, which are made anew.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,13 +58,51 @@ def communication_matrix(counts: list[int], shards: int, seed: int) -> np.ndarra
 
 
 def _hypergeometric(rng, good: int, bad: int, draws: int) -> int:
-    """One draw. The library takes populations below 10^9; above, one partition's
-    rows are so small a part that the binomial law, held to the possible range, is used."""
+    """One draw of the hypergeometric law, of any size: the library takes populations below
+    10^9, larger ones are drawn by rejection."""
     if good == 0:
         return 0
     if good + bad < 10**9:
         return int(rng.hypergeometric(good, bad, draws))
-    return int(min(good, draws, max(draws - bad, 0, rng.binomial(draws, good / (good + bad)))))
+    return hypergeometric_by_rejection(rng, good, bad, draws)
+
+
+def _log_falling(n: int, k: int) -> float:
+    """log of n (n-1) ... (n-k+1) / n^k, without the loss that differences of large
+    log-gammas would bring."""
+    if k == 0:
+        return 0.0
+    if n - k < 1000:
+        if n > 10**6:  # the factors above 1000, then the last ones
+            cut = n - 1000
+            return _log_falling(n, cut) + sum(
+                math.log((n - i) / n) for i in range(cut, k))
+        return math.lgamma(n + 1) - math.lgamma(n - k + 1) - k * math.log(n)
+    m = n - k
+    return (-(m + 0.5) * math.log1p(-k / n) - k + (1 / n - 1 / m) / 12
+            - (1 / n**3 - 1 / m**3) / 360)
+
+
+def hypergeometric_by_rejection(rng, good: int, bad: int, draws: int) -> int:
+    """A binomial proposal, taken with the ratio of both laws over the ratio's maximum: drawing
+    without replacement from populations of any size. More than half of the population is
+    drawn by what is left over."""
+    total = good + bad
+    if draws > total - draws:
+        return good - hypergeometric_by_rejection(rng, good, bad, total - draws)
+    if draws == 0 or bad == 0 or good == 0:
+        return draws if bad == 0 else 0
+
+    def ratio(k: int) -> float:
+        return _log_falling(good, k) + _log_falling(bad, draws - k)
+
+    # The ratio rises as long as k * total <= (draws - 1) * good.
+    top = min((draws - 1) * good // total + 1, good, draws)
+    highest = ratio(max(top, draws - bad))
+    while True:
+        k = int(rng.binomial(draws, good / total))
+        if max(0, draws - bad) <= k <= good and math.log(1 - rng.random()) <= ratio(k) - highest:
+            return k
 
 
 def shuffle_shards(spark: SparkSession, rows: DataFrame, shards: int = SHARDS,

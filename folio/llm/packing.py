@@ -49,7 +49,8 @@ class Encoder:
     """Ids as the ``tokenizers`` library gives them for the file at ``path``.
 
     Plain texts take the faster rank encoder built from the same vocabulary,
-    whose result is equal there; every other text goes through the library.
+    whose result is equal there; every other text goes through the library, and so does
+    one that holds an added token's string (the library gives it that token's id).
     """
 
     def __init__(self, path: str):
@@ -57,9 +58,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
-        self.exact.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            given = json.load(f)
+        vocab = given["model"]["vocab"]
+        added = [t["content"] for t in given.get("added_tokens") or []]
+        self.added = re.compile("|".join(map(re.escape, added)) if added else "(?!)")
         letters = _byte_letters()
         ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items()
                  if all(c in letters for c in token) and not token.startswith("<|")}
@@ -67,7 +70,7 @@ class Encoder:
                                       special_tokens={})
 
     def encode(self, text: str) -> np.ndarray:
-        if PLAIN.fullmatch(text):
+        if PLAIN.fullmatch(text) and not self.added.search(text):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 

@@ -748,7 +748,38 @@ def q_keyword_folding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.join(words, "keyword_norm")
 
 
+def q_harvest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = B.oai_pages(spark, sf_dir)
+    return reports.harvest_counts(pages, _records(pages))
+
+
+def q_file_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item-page load and the bundle load of a run."""
+    pages = B.item_pages(spark, sf_dir)
+    rich = stored(spark, rich_records(spark, sf_dir), "rich")
+    bundles = xoai.last_record_files(xoai.explode_bitstreams(rich))
+    degrees = upsert.fill_degree(B.metadata_levels(spark, sf_dir), rich)
+    return reports.file_load_counts(
+        "item pages", html_grid.parse_file_grid(pages), pages.select("thesis_id")).unionByName(
+        reports.file_load_counts("bundles", bundles, degrees=degrees))
+
+
+def q_scan_doc_text_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marked texts scanned back whole; the writer ends each file with one line feed."""
+    work = new_work_dir(spark, "j8")
+    B.raw_text(spark, sf_dir).select("thesis_id", F.col("raw").alias("value")).write.partitionBy(
+        "thesis_id").text(f"{work}/texts")
+    scanned = scan_doc_text(spark, f"{work}/texts").withColumn(
+        "raw", F.expr("left(raw, length(raw) - 1)"))
+    return doc_text.split_marker(scanned).select(
+        "thesis_id", "n_pages", "kept", F.length("text").cast("int").alias("text_chars"),
+        F.md5("text").alias("text_md5"))
+
+
 QUERIES: dict[str, Query] = {
+    "harvest_counts": q_harvest_counts,
+    "file_load_counts": q_file_load_counts,
+    "scan_doc_text_whole": q_scan_doc_text_whole,
     "dump_records": q_dump_records,
     "dump_problems": q_dump_problems,
     "dump_tokens": q_dump_tokens,

@@ -693,6 +693,16 @@ SELECT context, prefix, set_spec, resume_offset, missing FROM (
   LEFT JOIN missing m ON m.context = l.context AND m.set_spec = l.set_spec
   GROUP BY l.context, l.set_spec, l.last) t
 WHERE resume_offset IS NOT NULL""",
+    "harvest_counts": _b1(f"""
+SELECT 'oai_dc' AS prefix, set_spec, count(DISTINCT page_offset) + 3 AS pages,
+  count(*) FILTER (WHERE {_LIVE}) AS records FROM b1 GROUP BY set_spec"""),
+    "file_load_counts": _with(b5=B.B5_ROWS, b6=B.B6_METADATA, b2=B.B2_RECORDS, x=_XOAI_FILES)
+        + ",\n" + _DEGREE_FILLED + """
+SELECT 'item pages' AS load, (SELECT count(*) FROM orders) AS theses,
+  (SELECT count(*) FROM b5) AS files, 0 AS degrees
+UNION ALL SELECT 'bundles', (SELECT count(DISTINCT thesis_id) FROM x), (SELECT count(*) FROM x),
+  (SELECT count(*) FROM filled WHERE degree_raw IS NOT NULL)""",
+    "scan_doc_text_whole": ORACLES["doc_text_marker"],
     "people_runs": ORACLES["clean_people"],
     "people_links_runs": ORACLES["clean_people_links"],
     "keyword_folding": _with(b12=B.B12_KEYWORDS) + """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import staged
+from folio.llm.common import release, staged
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -25,4 +25,5 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             "cc")
         labels = new.select("u", "c")
         if not new.where("moved").limit(1).count():
+            release(spark)
             return labels

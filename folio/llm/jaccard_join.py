@@ -49,11 +49,12 @@ SHRINK = 0.7
 LEVELS = 8
 BINS = 128
 SKETCH_LEAST = 0.64
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: One in so many nodes is compared first.
 FIRST_PART = 6
-#: Token bytes of one side of a block in the exact comparison.
-BLOCK_BYTES = 2 << 20
+#: Token bytes, and sets, of one side of a block in the exact comparison.
+BLOCK_BYTES = 1 << 20
+BLOCK_SETS = 256
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,7 +81,7 @@ class Shingler:
 
     def __call__(self, text: str) -> np.ndarray:
         known = self.known
-        if len(known) > 500_000:
+        if len(known) > 50_000:
             known.clear()
         words = text.split()
         codes = []
@@ -282,7 +283,8 @@ def exact_links(labels: DataFrame, copies: DataFrame, tokens: DataFrame, thresho
     component is compared once."""
     weighed = labels.join(tokens, "u").select("u", "c", F.octet_length("tokens").alias("size"))
     sizes = weighed.groupBy("c").agg(
-        F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias("k"))
+        F.greatest(F.ceil(F.sum("size") / BLOCK_BYTES), F.ceil(
+            F.count(F.lit(1)) / BLOCK_SETS)).cast("int").alias("k"))
     members = labels.join(sizes, "c").select(F.col("c").alias("node"), "u", "k")
     rows = in_blocks(members).join(copies, "u").join(tokens, "u").select(
         "node", "i", "j", "u", "side", "copies", "tokens")

@@ -25,10 +25,10 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import ragged, texts_of, text_runs
+from folio.llm.common import bound_batches, ragged, texts_of, text_runs
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
@@ -39,7 +39,7 @@ SMOOTHING = 0.5
 SCRIPT_SHARE = 0.02
 #: A text in which no language has this score is rejected by ``known``.
 LEAST_SCORE = 0.25
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 #: Script ranges by first code point (fixed values of the Unicode blocks).
 SCRIPTS = (
@@ -58,8 +58,10 @@ def held_out(key: str = "doc_id"):
 
 
 def letter_tables() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: whether it is a letter, and its script's number."""
-    letter = np.array([unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)])
+    """For each code point: whether it is a letter, and its script's number. Built once on the
+    driver; tasks get the two arrays of a byte a code point."""
+    letter = np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)),
+                         dtype=bool, count=0x110000)
     starts = np.array([s for _, s in SCRIPTS])
     number = np.array([NAMES.index(name) for name, _ in SCRIPTS], dtype=np.int8)
     return letter, number[np.searchsorted(starts, np.arange(0x110000), side="right") - 1]
@@ -129,19 +131,31 @@ def training_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 class Model:
     """Languages, log probabilities (bucket, language), scripts (language, script)."""
 
-    def __init__(self, langs: list[str], grams: np.ndarray, scripts: np.ndarray):
-        self.langs = langs
+    def __init__(self, langs: list[str], logp: np.ndarray, uses: np.ndarray):
+        self.langs, self.logp, self.uses = langs, logp, uses
+
+    @classmethod
+    def of_counts(cls, langs: list[str], grams: np.ndarray, scripts: np.ndarray) -> Model:
         smooth = grams + SMOOTHING
-        self.logp = np.log(smooth / smooth.sum(axis=0, keepdims=True)).astype(np.float32)
         share = scripts / np.maximum(scripts.sum(axis=1, keepdims=True), 1)
-        self.uses = share >= SCRIPT_SHARE
+        return cls(langs, np.log(smooth / smooth.sum(axis=0, keepdims=True)).astype(np.float32),
+                   share >= SCRIPT_SHARE)
+
+    def sent(self, spark: SparkSession):
+        """A broadcast of plain lists and arrays, which needs no module of this package on
+        the executors: the model's parts, then the letter tables."""
+        bound_batches(spark)
+        return spark.sparkContext.broadcast(
+            (self.langs, self.logp, self.uses, *letter_tables()))
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Count n-grams and scripts in parallel; the driver gets one table of fixed size."""
+    bound_batches(docs.sparkSession)
+    tables = docs.sparkSession.sparkContext.broadcast(letter_tables())
 
     def run(batches):
-        letter, script = letter_tables()
+        letter, script = tables.value
         grams, scripts = {}, {}
         for batch in text_runs(batches, "text", BATCH_BYTES):
             texts, langs = texts_of(batch.column(1)), batch.column(0).to_pylist()
@@ -171,7 +185,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     bins, n = np.array(rows["bin"], dtype=np.int64), np.array(rows["n"], dtype=float)
     grams[bins[bins >= 0], at[bins >= 0]] = n[bins >= 0]
     scripts[at[bins < 0], -1 - bins[bins < 0]] = n[bins < 0]
-    return Model(langs, grams, scripts)
+    return Model.of_counts(langs, grams, scripts)
 
 
 def word_scores(words: Words, model: Model) -> np.ndarray:
@@ -268,12 +282,12 @@ def detect(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text
            penalty: float = SWITCH_PENALTY, with_spans: bool = False) -> DataFrame:
     """``(key, lang_pred, score)`` and, ``with_spans``, runs of words of one language as
     ``array<struct<lang, first_word, n_words>>``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.sent(docs.sparkSession)
     spans_arrow = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int32()),
                                       ("n_words", pa.int32())]))
 
     def run(batches):
-        model, tables = shared.value, letter_tables()
+        model, tables = Model(*shared.value[:3]), shared.value[3:]
         for batch in text_runs(batches, text, BATCH_BYTES):
             found = Labels(texts_of(batch.column(1)), model, *tables, penalty)
             out = [batch.column(0), pa.array(found.names(model.langs), pa.string()),
@@ -293,10 +307,10 @@ def known(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang",
           least_score: float = LEAST_SCORE, penalty: float = SWITCH_PENALTY) -> DataFrame:
     """The documents with a language: ``und`` ones and those below ``least_score`` go, ``lang`` is
     set to the prediction, every other column stays as it is."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = model.sent(docs.sparkSession)
 
     def run(batches):
-        model, tables = shared.value, letter_tables()
+        model, tables = Model(*shared.value[:3]), shared.value[3:]
         for batch in text_runs(batches, text, BATCH_BYTES):
             at = batch.schema.get_field_index(text)
             found = Labels(texts_of(batch.column(at)), model, *tables, penalty)

@@ -1,3 +1,4 @@
+import numpy as np
 from folio.llm import langid
 from folio.session import read_table
 
@@ -40,3 +41,11 @@ def test_without_labels_or_rows(spark, make_docs):
     assert [r["lang_pred"] for r in langid.detect(docs, model).collect()] == ["und", "und"]
     assert langid.known(docs, model).count() == 0
     assert langid.detect(docs.limit(0), langid.fit(docs.limit(0))).count() == 0
+
+
+def test_what_is_broadcast_needs_no_module_of_the_package(spark):
+    import pickle
+
+    model = langid.Model(["a"], np.zeros((4, 1), np.float32), np.ones((1, 2), bool))
+    raw = pickle.dumps(model.sent(spark).value)
+    assert b"folio" not in raw

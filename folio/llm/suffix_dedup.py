@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folio.llm.common import staged, text_runs
+from folio.llm.common import release, staged, text_runs
 from folio.llm.induced_sort import suffix_order
 
 LENGTH = 400
@@ -330,6 +330,7 @@ def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length:
     """(documents' digests, ``(tkey, n_removed, n_spans, kept_sha256, kept)`` of the distinct texts
     that lose bytes; ``kept`` holds the remaining bytes)."""
     rows, spans, found = repeated_spans(spark, docs, text, length, shard_bytes, largest_key)
+    release(spark)
     lists = spans.distinct().groupBy("u").agg(
         F.collect_list(F.struct("first", "last")).alias("runs"))
 
@@ -357,7 +358,8 @@ def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length:
 
 def report(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
            length: int = LENGTH, shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY) -> DataFrame:
-    """``(key, n_bytes, n_removed, n_spans, kept_sha256)`` of every document."""
+    """``(key, n_bytes, n_removed, n_spans, kept_sha256, repeated)`` of every document; ``repeated``
+    tells that it loses bytes."""
     _, cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key)
     utf8 = _text(text).cast("binary")
     whole = docs.select(F.col(key).alias(key), _tkey(text).alias("tkey"),
@@ -366,7 +368,8 @@ def report(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str
     return whole.join(cut.drop("kept"), "tkey", "left").select(
         key, "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-        F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+        F.coalesce("kept_sha256", "whole").alias("kept_sha256"),
+        F.col("n_removed").isNotNull().alias("repeated"))
 
 
 def removed(spark: SparkSession, docs: DataFrame, text: str = "text", length: int = LENGTH,

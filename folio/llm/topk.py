@@ -164,7 +164,7 @@ def search(spark: SparkSession, vectors: DataFrame, is_query: Callable[[Column],
                      *(pa.array(np.concatenate([f[c] for f in found])) for c in (0, 1))],
                     names=["query_row", "query_id", "vec_id", "score"])
 
-    found = candidates.unionByName(queries).repartition(slices, "slice").sortWithinPartitions(
+    found = candidates.unionByName(queries).repartitionById(slices, "slice").sortWithinPartitions(
         "slice", "kind").mapInArrow(run, FOUND)
     place = F.row_number().over(Window.partitionBy("query_row").orderBy(
         F.col("score").desc(), "vec_id"))

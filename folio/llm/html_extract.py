@@ -3,9 +3,11 @@
 A page is read once into blocks: the text between two block-level tags, with its
 ancestors. A logistic classifier over the shape of a block (length, links,
 punctuation, ...) and the hints of its ancestors (tags, words in class and id)
-give the two terminal capacities: what it costs to call the block content, or
+gives the two terminal capacities: what it costs to call the block content, or
 boilerplate. Neighbours in the page and consecutive blocks of one parent are
-joined by smoothness edges, stronger the closer the blocks are in the DOM.
+joined by smoothness edges, stronger the closer the blocks are in the DOM and weaker
+where their hints differ; a heading holds to what follows it twice as fast. The edges'
+scale is a usual cost of shape.
 The minimum cut is the cheapest labelling; the source side is the article.
 
 A block whose preference outweighs all its edges is decided before the flow (an
@@ -13,7 +15,12 @@ exact reduction: its label is the same in some minimum cut), so max-flow runs on
 the undecided remainder only.
 
 The classifier is fitted on a bounded sample: about ``SAMPLE`` pages, those whose hash of
-``page_id`` falls in their share. Blocks under unmistakable tags are its labels.
+``page_id`` falls in their share, and at most ``PER_PAGE`` labelled blocks of each. Labels come
+from what it does not see, the tree: the element with most unlinked text in its own
+children holds the article; those children are content, blocks outside of it boilerplate,
+and blocks deeper inside have no label. Each block is learnt from three times: whole, without
+its hints, and without hints and tag, so that pages of plain divisions are told by their text.
+A boilerplate hint weighs its log odds among the labelled blocks (half a block added to each).
 
 Defined cases: null, empty or text-free html gives an empty text; tags left open,
 stray end tags and pages cut off inside a tag are read as far as they go; repeated
@@ -34,6 +41,7 @@ from pyspark.sql import functions as F
 from folio.llm.common import texts_of, text_runs
 
 SAMPLE = 400
+PER_PAGE = 200
 BATCH_BYTES = 4 << 20
 
 # Element names by their role, and words in class or id.
@@ -66,20 +74,25 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S | re.I)
 ATTR = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-FEATURES = 10
-#: Cost of a label against a hint, and the strongest smoothness edge.
-HINT_BOILER = 8.0
-HINT_CONTENT = 3.0
+SHAPE, FEATURES = 10, 12
+TAGS = slice(4, 7)
+#: The strongest smoothness edge, as a share of the mean cost of the sampled blocks, and what
+#: a change of hints adds to the distance of two blocks.
 SMOOTH = 1.0
+CROSS = 4.0
+#: (weights, strongest edge) where nothing can be learnt.
+DEFAULT = (np.array([-2.0, 2.0, -4.0, 2.0, 1.0, 1.0, -1.0, 0.5, -1.0, -0.5, -6.0, 3.0]), 2.0)
 
 
 class Block:
-    """Text between two block-level tags; ``path`` numbers its open elements."""
+    """Text between two block-level tags; ``path`` numbers its open elements and ``parent``
+    is the element around its block-level one."""
 
-    __slots__ = ("text", "tag", "path", "boiler", "content", "link", "raw")
+    __slots__ = ("text", "tag", "path", "parent", "boiler", "content", "link", "raw")
 
-    def __init__(self, tag, path, boiler, content):
-        self.tag, self.path, self.boiler, self.content = tag, path, boiler, content
+    def __init__(self, tag, path, parent, boiler, content):
+        self.tag, self.path, self.parent, self.boiler, self.content = (
+            tag, path, parent, boiler, content)
         self.raw, self.link, self.text = [], 0, ""
 
 
@@ -95,8 +108,9 @@ def blocks_of(page: str) -> list[Block]:
         if stack[-1][4]:
             return
         if current is None:
-            block_tag = next((e[0] for e in reversed(stack) if e[0] in BLOCK), "")
-            current = Block(block_tag, tuple(e[1] for e in stack), stack[-1][2], stack[-1][3])
+            own = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCK), 0)
+            current = Block(stack[own][0], tuple(e[1] for e in stack), stack[max(own - 1, 0)][1],
+                            stack[-1][2], stack[-1][3])
             out.append(current)
         current.raw.append(text)
         if link:
@@ -155,7 +169,8 @@ def blocks_of(page: str) -> list[Block]:
 
 
 def features(blocks: list[Block]) -> np.ndarray:
-    """Shape of each block: length, links, punctuation, case, digits, kind of tag."""
+    """Shape of each block (length, links, punctuation, case, digits, kind of tag), then its
+    hints: boilerplate, content and nothing of boilerplate."""
     rows = np.empty((len(blocks), FEATURES))
     for i, b in enumerate(blocks):
         t = b.text
@@ -165,14 +180,29 @@ def features(blocks: list[Block]) -> np.ndarray:
                    min(1.0, 10 * sum(map(t.count, ".,;!?")) / n), b.tag[:1] == "h" and
                    b.tag[1:].isdigit(), b.tag in ("p", "blockquote", "pre"), b.tag == "li",
                    t[-1] in ".!?:\"'”", any(c in t for c in "©|»·"),
-                   min(1.0, 5 * sum(c.isdigit() for c in t[:200]) / min(n, 200)))
+                   min(1.0, 5 * sum(c.isdigit() for c in t[:200]) / min(n, 200)),
+                   b.boiler, b.content and not b.boiler)
     return rows
 
 
-def fit(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
-    """Logistic weights from the sampled pages' blocks under unmistakable tags: article
-    and main against nav, footer, aside and form. Without both kinds: fixed weights."""
-    default = np.array([-2.0, 2.0, -4.0, 2.0, 1.0, 1.0, -1.0, 0.5, -1.0, -0.5])
+def labels(blocks: list[Block]) -> dict[int, bool]:
+    """Blocks told by the tree alone: the children, of their commonest tag, of the element with
+    most unlinked text of its own (the first such) are content, all outside of it is not."""
+    mass: dict[int, dict[str, int]] = {}
+    for b in blocks:
+        of = mass.setdefault(b.parent, {})
+        of[b.tag] = of.get(b.tag, 0) + max(len(b.text) - b.link, 0)
+    if not mass:
+        return {}
+    main = max(mass, key=lambda e: sum(mass[e].values()))
+    tag = max(mass[main], key=mass[main].get)
+    return {i: b.parent == main for i, b in enumerate(blocks)
+            if main not in b.path or (b.parent == main and b.tag == tag)}
+
+
+def fit(pages: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
+    """Logistic weights and the strongest edge, from the labelled blocks of the sampled pages.
+    Without both labels: ``DEFAULT``."""
     total = pages.where(F.col("page_id").isNotNull()).count()
     share = min(1.0, sample / max(total, 1))
     place = F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) / float(1 << 30)
@@ -180,27 +210,41 @@ def fit(pages: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     def run(batches):
         for batch in text_runs(batches, "html", BATCH_BYTES):
             for page in texts_of(batch.column(0)):
-                blocks = [b for b in blocks_of(page) if b.boiler or b.content]
-                if blocks:
+                blocks = blocks_of(page)
+                told = labels(blocks)
+                keys = list(told)
+                if len(keys) > PER_PAGE:
+                    keys = [keys[i * len(keys) // PER_PAGE] for i in range(PER_PAGE)]
+                if keys:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(features(blocks).tolist(), pa.list_(pa.float64())),
-                         pa.array([float(not b.boiler) for b in blocks])], names=["x", "y"])
+                        [pa.array(features([blocks[i] for i in keys]).tolist(),
+                                  pa.list_(pa.float64())),
+                         pa.array([float(told[i]) for i in keys])], names=["x", "y"])
 
     got = pages.where(place < share).select("html").mapInArrow(
         run, "x array<double>, y double").toArrow()
     y = got.column("y").to_numpy()
     if len(y) == 0 or y.min() == y.max():
-        return default
+        return DEFAULT
     x = np.array(got.column("x").to_pylist())
+    told = [(x[y == k, SHAPE].sum() + 0.5) / ((y == k).sum() + 1) for k in (0, 1)]
+    x[:, SHAPE] = 0
+    plain = x.copy()
+    plain[:, SHAPE:] = 0
+    bare = plain.copy()
+    bare[:, TAGS] = 0
+    x, y = np.concatenate([x, plain, bare]), np.concatenate([y, y, y])
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     w = np.zeros(FEATURES)
-    for _ in range(400):  # ridge keeps the weights small where the classes are separable
+    for _ in range(1000):  # ridge keeps the weights small where the classes are separable
         p = 1 / (1 + np.exp(-x @ w))
-        w -= 1.0 * ((x.T @ (weight * (p - y))) / len(y) + 0.01 * w)
-    return w
+        w -= 1.0 * ((x.T @ (weight * (p - y))) / len(y) + 0.001 * w)
+    strongest = float(SMOOTH * np.abs(x @ w).mean())
+    w[SHAPE] = np.log(told[1] / told[0])
+    return w, strongest
 
 
-def smoothness(blocks: list[Block]) -> dict[tuple[int, int], float]:
+def smoothness(blocks: list[Block], strongest: float) -> dict[tuple[int, int], float]:
     """Edges between page neighbours and between consecutive blocks of one parent."""
     edges: dict[tuple[int, int], float] = {}
     last: dict[int, int] = {}
@@ -212,21 +256,27 @@ def smoothness(blocks: list[Block]) -> dict[tuple[int, int], float]:
             if a != b:
                 break
             same += 1
-        edges[i, j] = SMOOTH / (1 + (len(p) + len(q) - 2 * same) / 2)
+        unlike = (blocks[i].boiler, blocks[i].content) != (blocks[j].boiler, blocks[j].content)
+        heading = blocks[i].tag[:1] == "h" and blocks[i].tag[1:].isdigit()
+        edges[i, j] = (1 + heading) * strongest / (1 + (len(p) + len(q) - 2 * same) / 2 + CROSS * unlike)
 
     for i, b in enumerate(blocks):
-        parent = b.path[-2] if len(b.path) > 1 else 0
         if i:
             join(i - 1, i)
-        if parent in last and last[parent] < i - 1:
-            join(last[parent], i)
-        last[parent] = i
+        if b.parent in last and last[b.parent] < i - 1:
+            join(last[b.parent], i)
+        last[b.parent] = i
     return edges
 
 
 def min_cut(gain: np.ndarray, edges: dict[tuple[int, int], float]) -> np.ndarray:
     """Labels that minimise (cost of labels + weight of cut edges); ``gain`` is the cost
     of calling a block boilerplate less that of calling it content."""
+    return cut(gain, edges)[0]
+
+
+def cut(gain: np.ndarray, edges: dict[tuple[int, int], float]) -> tuple[np.ndarray, int]:
+    """(labels of the minimum cut, number of blocks that went into the flow)."""
     n = len(gain)
     label = np.full(n, -1)
     near: list[dict[int, float]] = [{} for _ in range(n)]
@@ -251,7 +301,7 @@ def min_cut(gain: np.ndarray, edges: dict[tuple[int, int], float]) -> np.ndarray
         side = max_flow(rest, gain, near)
         for i in rest:
             label[i] = i in side
-    return label == 1
+    return label == 1, len(rest)
 
 
 def max_flow(nodes: list[int], gain: list[float], near: list[dict[int, float]]) -> set[int]:
@@ -288,29 +338,44 @@ def max_flow(nodes: list[int], gain: list[float], near: list[dict[int, float]])
             cap[v][u] = cap[v].get(u, 0.0) + push
 
 
-def main_text(page: str, weights: np.ndarray) -> str:
-    """The content blocks of a page, one a line."""
+def main_blocks(page: str, costs: tuple[np.ndarray, float]) -> tuple[str, int, int, int, int]:
+    """(the content blocks of a page, one a line; blocks; those whose own cost does not outweigh
+    their edges; those left to the flow; those whose label is not the one their cost prefers)."""
     blocks = blocks_of(page)
     if not blocks:
-        return ""
+        return "", 0, 0, 0, 0
+    weights, strongest = costs
     gain = features(blocks) @ weights
-    gain += [(-HINT_BOILER if b.boiler else HINT_CONTENT if b.content else 0.0) for b in blocks]
-    keep = min_cut(gain, smoothness(blocks))
-    return "\n".join(b.text for b, k in zip(blocks, keep) if k)
+    edges = smoothness(blocks, strongest)
+    held = np.zeros(len(blocks))
+    for (i, j), w in edges.items():
+        held[i] += w
+        held[j] += w
+    keep, flowed = cut(gain, edges)
+    return ("\n".join(b.text for b, k in zip(blocks, keep) if k), len(blocks),
+            int((np.abs(gain) < held).sum()), flowed, int((keep != (gain > 0)).sum()))
+
+
+def main_text(page: str, costs: tuple[np.ndarray, float] = DEFAULT) -> str:
+    """The content blocks of a page, one a line."""
+    return main_blocks(page, costs)[0]
 
 
-def extract(pages: DataFrame, weights: np.ndarray | None = None) -> DataFrame:
-    """``(page_id, url, text, n_chars)`` of every page."""
-    weights = fit(pages) if weights is None else weights
+def extract(pages: DataFrame, costs: tuple[np.ndarray, float] | None = None) -> DataFrame:
+    """``(page_id, url, text, n_chars, n_blocks, n_open, n_flow, n_changed)`` of every page."""
+    costs = fit(pages) if costs is None else costs
 
     def run(batches):
         for batch in text_runs(batches, "html", BATCH_BYTES):
-            texts = [main_text(p, weights) for p in texts_of(batch.column(2))]
+            found = [main_blocks(p, costs) for p in texts_of(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())],
-                names=["page_id", "url", "text", "n_chars"])
+                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
+                 pa.array([len(f[0]) for f in found], pa.int64()),
+                 *(pa.array([f[k] for f in found], pa.int64()) for k in (1, 2, 3, 4))],
+                names=["page_id", "url", "text", "n_chars", "n_blocks", "n_open", "n_flow",
+                       "n_changed"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
     return pages.select("page_id", "url", "html").mapInArrow(
-        run, f"page_id {kind}, url string, text string, n_chars long")
+        run, f"page_id {kind}, url string, text string, n_chars long, n_blocks long, "
+        "n_open long, n_flow long, n_changed long")

@@ -6,8 +6,6 @@ import pytest
 
 from folio.llm import html_extract as H
 
-WEIGHTS = np.array([-2.0, 2.0, -4.0, 2.0, 1.0, 1.0, -1.0, 0.5, -1.0, -0.5])
-
 
 def test_minimum_cut_equals_brute_force():
     random.seed(4)
@@ -40,7 +38,7 @@ words &#233; &eacute; in it.<p>Second one, left open, with a <a href=x>link</a>.
 
 
 def test_article_without_menus_notices_adverts_comments_and_forms():
-    assert H.main_text(PAGE, WEIGHTS) == (
+    assert H.main_text(PAGE) == (
         "Title & more\nFirst paragraph, with bold words é é in it.\n"
         "Second one, left open, with a link.\nA quote, well said.")
 
@@ -48,7 +46,7 @@ def test_article_without_menus_notices_adverts_comments_and_forms():
 @pytest.mark.parametrize("page", ["", "<", "<p", "</p></div>", "<script>x", "<!-- a", "<a href='",
                                   "<p>" * 3000, "&#0;&#xffffff;&bogus"])
 def test_broken_pages_do_not_fail(page):
-    assert isinstance(H.main_text(page, WEIGHTS), str)
+    assert isinstance(H.main_text(page), str)
 
 
 def test_rows_and_empty_table(spark):
@@ -62,3 +60,54 @@ def test_rows_and_empty_table(spark):
     assert next(r for r in out if r["page_id"] == 3)["text"].count("\n") == 2999
     assert len({r["text"] for r in out if r["page_id"] == 1}) == 1
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def unnamed_page(rng):
+    """(html, its article): divisions without telling tags, classes or ids."""
+    words = "the of river stone winter market garden letters houses morning quiet walked over".split()
+
+    def sentence(n):
+        return " ".join(rng.choices(words, k=n)).capitalize() + "."
+
+    body = [sentence(rng.randint(14, 60)) for _ in range(rng.randint(4, 8))]
+    body.insert(rng.randint(1, len(body) - 1), "Quiet")
+    menu = "".join(f'<div><a href="/{w}">{w}</a></div>' for w in rng.sample(words, 6))
+    foot = "".join(f'<div><a href="/{w}">{w}</a> |</div>' for w in rng.sample(words, 4))
+    page = (f'<html><body><div class="a1">{menu}</div><div class="a2">'
+            + "".join(f'<div><a href="/q">{t}</a></div>' if t == "Quiet" else f"<div>{t}</div>"
+                      for t in body) + f'</div><div class="a3">{foot}</div>')
+    return page, "\n".join(body)
+
+
+def test_pages_without_telling_names_are_told_by_shape_and_neighbours(spark):
+    rng = random.Random(5)
+    made = [unnamed_page(rng) for _ in range(60)]
+    pages = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(made)],
+                                  "page_id long, url string, html string")
+    out = {r["page_id"]: r for r in H.extract(pages).collect()}
+    assert all(out[i]["text"] == text for i, (_, text) in enumerate(made))
+    # The linked word inside the article looks like the menu: its neighbours decide.
+    assert sum(r["n_changed"] for r in out.values()) >= 30
+    assert sum(r["n_open"] for r in out.values()) > sum(r["n_changed"] for r in out.values())
+
+
+def test_labels_come_from_the_tree():
+    blocks = H.blocks_of("<div><a href=x>menu</a></div><div><h1>T</h1><p>Long enough text.</p>"
+                         "<p>More.</p><ul><li>deep</li></ul></div><p>foot</p>")
+    told = H.labels(blocks)
+    assert {blocks[i].text: v for i, v in told.items()} == {
+        "menu": False, "Long enough text.": True, "More.": True, "foot": False}
+    assert H.labels([]) == {}
+
+
+def test_fitted_costs_keep_the_article_of_a_hinted_page(spark):
+    other = PAGE.replace("Second one", "Another one")
+    pages = spark.createDataFrame([(i, "u", h) for i, h in enumerate([PAGE, other] * 20)],
+                                  "page_id long, url string, html string")
+    assert H.main_text(PAGE, H.fit(pages)) == H.main_text(PAGE)
+
+
+def test_one_label_only_gives_the_default_costs(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>One block.</p>"), (2, "u", None)],
+                                  "page_id long, url string, html string")
+    assert H.fit(pages) is H.DEFAULT

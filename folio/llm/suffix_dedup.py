@@ -12,9 +12,9 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else
    repeats. Only keys with a segment that occurs once go on.
 3. Order. Keys are packed into shards of about ``SHARD`` bytes; each shard's suffix array and
    common prefixes come from external induced sorting (``induced_sort``). Neighbours
-   with a common prefix of ``LENGTH`` bytes are repeats. A key of more than ``LARGEST_KEY``
-   bytes is split by the string itself: its starts fold as single strings with counts,
-   exactly.
+   with a common prefix of ``LENGTH`` bytes are repeats. A key of more bytes than a shard is
+   split, so that no task sorts more than a shard and one key: its starts are dealt by the
+   128-bit digests of their strings and counted.
 
 Equal texts fold first (by a 128-bit digest), so groups of copies cost one text.
 
@@ -39,8 +39,8 @@ LENGTH = 400
 GRAM = 32
 #: Bytes sorted together: keys are added until so many are reached.
 SHARD = 1 << 20
-#: A key with more bytes than this is split by the string itself.
-LARGEST_KEY = 6 << 20
+#: A key with more bytes than this is split by its strings.
+LARGEST_KEY = SHARD
 BATCH_BYTES = 4 << 20
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -261,12 +261,14 @@ def repeats_in_shards(open_segments: DataFrame, partitions: int, length: int, sh
         run, "seg binary, first int, last int")
 
 
-def repeats_by_string(hot: DataFrame, length: int) -> DataFrame:
-    """The same for keys larger than a shard: every string is a row, equal ones fold."""
+def repeats_by_string(spark: SparkSession, hot: DataFrame, length: int) -> DataFrame:
+    """The same for keys larger than a shard: a row of digest, segment and place for each start,
+    dealt by digest; counts fold before they are shuffled."""
     starts = F.explode(F.sequence(F.lit(0), F.octet_length("data") - length)).alias("first")
-    strings = hot.select("seg", "data", starts).select(
-        "seg", "first", F.substr("data", F.col("first") + 1, F.lit(length)).alias("string"))
-    twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    strings = staged(spark, hot.select("seg", "data", starts).select(
+        "seg", "first", F.unhex(F.md5(F.substr(
+            "data", F.col("first") + 1, F.lit(length)))).alias("string")), "suffix")
+    twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
     return strings.join(twice, "string").select("seg", "first", F.col("first").alias("last"))
 
 
@@ -303,7 +305,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text",
                                        shard_bytes))
     hot = keys.where(F.col("size") > largest_key)
     if hot.limit(1).count():
-        parts.append(repeats_by_string(folded.join(hot, "key"), length))
+        parts.append(repeats_by_string(spark, folded.join(hot, "key"), length))
     runs = parts[0]
     for p in parts[1:]:
         runs = runs.unionByName(p)

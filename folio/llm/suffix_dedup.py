@@ -262,14 +262,31 @@ def repeats_in_shards(open_segments: DataFrame, partitions: int, length: int, sh
 
 
 def repeats_by_string(spark: SparkSession, hot: DataFrame, length: int) -> DataFrame:
-    """The same for keys larger than a shard: a row of digest, segment and place for each start,
-    dealt by digest; counts fold before they are shuffled."""
-    starts = F.explode(F.sequence(F.lit(0), F.octet_length("data") - length)).alias("first")
-    strings = staged(spark, hot.select("seg", "data", starts).select(
-        "seg", "first", F.unhex(F.md5(F.substr(
-            "data", F.col("first") + 1, F.lit(length)))).alias("string")), "suffix")
-    twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-    return strings.join(twice, "string").select("seg", "first", F.col("first").alias("last"))
+    """The same for keys larger than a shard: each segment's strings fold by their digests, with
+    the places they start at, and are dealt by digest."""
+
+    def run(batches):
+        for batch in text_runs(batches, "data", BATCH_BYTES):
+            for seg, data in zip(*(c.to_pylist() for c in batch.columns)):
+                places: dict[bytes, list[int]] = {}
+                for at in range(len(data) - length + 1):
+                    places.setdefault(hashlib.md5(data[at:at + length]).digest(), []).append(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([seg] * len(places), pa.binary()),
+                     pa.array(list(places), pa.binary()),
+                     pa.array(list(places.values()), pa.list_(pa.int32()))],
+                    names=["seg", "string", "firsts"])
+
+    strings = staged(spark, hot.select("seg", "data").mapInArrow(
+        run, "seg binary, string binary, firsts array<int>"), "suffix")
+    twice = strings.groupBy("string").agg(F.sum(F.size("firsts")).alias("n")).where(
+        "n > 1").select("string")
+    starts = strings.join(twice, "string").groupBy("seg").agg(
+        F.array_sort(F.flatten(F.collect_list("firsts"))).alias("firsts"))
+    # Neighbouring starts have one difference between place and rank.
+    return starts.select("seg", F.explode(F.transform("firsts", lambda at, i: F.struct(
+        (at - i).alias("run"), at.alias("at")))).alias("x")).groupBy("seg", "x.run").agg(
+        F.min("x.at").alias("first"), F.max("x.at").alias("last")).select("seg", "first", "last")
 
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text",

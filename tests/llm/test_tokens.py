@@ -67,6 +67,31 @@ def test_round_trip_equals_the_rank_library(spark, make_docs):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_cuts_at_spaces_and_pieces_change_no_id(monkeypatch):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    draw = np.random.Generator(np.random.PCG64(3))
+    parts = [" ", " ", "\n", "\t", "\u3000", "\x85", "it's", "Ab", "12345", "#!", "é", "日本", "x" * 300]
+    texts = ["", " ", " a", "a ", "  ", " \n", "\n "] + [
+        "".join(draw.choice(parts, size=draw.integers(1, 14))) for _ in range(1500)]
+    # None of these has a space beside other white space: they are cut at spaces alone.
+    texts += [" ".join(draw.choice(["a\nb", "it's\n\nso", "é", "12345\t#"], size=9))
+              for _ in range(50)]
+    monkeypatch.setattr(bpe, "PIECE_BYTES", 7)
+    number = bpe.numbering()
+    codes = [bpe.numbered(number, t) for t in texts]
+    assert 300 < sum(bool(bpe.MIXED.search(t)) for t in texts) < len(texts) - 300
+    table, of, at, n = bpe.Encoder(path, P.PATTERN).chunks(
+        [" " + c if isinstance(c, str) else c[0] for c in number])
+    for text, c in zip(texts, codes):
+        pieces = list(table.of(of[bpe.ragged(at[c], n[c])]))
+        ids = np.frombuffer(b"".join(p for p, _ in pieces), dtype="<u4").tolist()
+        assert ids == library.encode_ordinary(text)
+        assert b"".join(p for _, p in pieces).decode() == text
+
+
 def test_empty_tables(spark, make_docs):
     none = make_docs([(1, "x")]).limit(0)
     assert packing.pack(spark, none, P.path("byte_bpe_50k.json")).count() == 0

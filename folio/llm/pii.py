@@ -4,7 +4,7 @@ High-recall generators propose spans, which may overlap. Four kinds (email, ip,
 card, phone) have exact checks: what passes is a base span and always stays. All
 candidates also get features of format (length, digits, letters, marks, changes between
 them) and of context (neighbouring characters, digits nearby, cue words of other kinds).
-Boosted trees are fitted on half of a bounded sample of candidates (about ``SAMPLE``, by hash).
+Boosted trees are fitted on one half of all candidates (by hash).
 Labels come from what the features leave out: the exact checks of the four kinds (digit
 sums, ranges of numbers, counts), and for the other generators a cue word of their own kind
 just before the span. So the trees learn from cued spans what such a span looks like, and find
@@ -33,7 +33,6 @@ from pyspark.sql import functions as F
 
 from folio.llm.common import staged
 
-SAMPLE = 6000
 PRECISION = 0.95
 PRIOR = 10
 CONTEXT = 32
@@ -144,15 +143,10 @@ FEATURES = ["n_chars", "n_digits", "n_letters", "n_marks", "n_distinct", "n_chan
             *(f"is_{n}" for n, _, _, _ in GENERATORS)]
 
 
-def fit(found: DataFrame, sample: int = SAMPLE):
-    """(boosted trees, threshold per generator), or None where nothing can be learnt."""
-    total = found.count()
-    if not total:
-        return None
-    place = F.pmod(F.xxhash64("row", "generator", "start"), F.lit(1 << 30)) / float(1 << 30)
-    share = min(1.0, sample / total)
-    chosen = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(
-        found.where(place < share)).select(
+def fit(found: DataFrame):
+    """(boosted trees, threshold per generator), or None where nothing can be learnt. Every
+    candidate counts: the trees learn from one half, the thresholds come from the other."""
+    chosen = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found).select(
         "generator", "features", "label",
         (F.pmod(F.xxhash64("start", "row"), F.lit(2)) == 0).alias("learn"))
     learn = chosen.where("learn").cache()

@@ -693,9 +693,10 @@ def q_titlepage_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages of the harvest in two large files, scanned by records."""
+    """All pages of the harvest in files of many pages, scanned by records; the number of files
+    follows the data."""
     work = new_work_dir(spark, "dump")
-    B.oai_pages(spark, sf_dir).select("xml").repartition(2).write.text(f"{work}/dump")
+    B.oai_pages(spark, sf_dir).select("xml").hint("rebalance").write.text(f"{work}/dump")
     return dump.scan_dump(spark, f"{work}/dump")
 
 

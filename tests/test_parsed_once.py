@@ -25,13 +25,16 @@ def test_what_is_read_twice_is_stored(spark, name):
 
 def test_dump_files_follow_the_data(spark, monkeypatch):
     monkeypatch.setattr(catalog.dump, "scan_dump", lambda _, path: path)
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "20000")
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    before = [spark.conf.get(k) for k in keys]
+    for k in keys:
+        spark.conf.set(k, "4000")
     try:
         path = catalog._dump(spark, SF)
     finally:
-        spark.conf.set(key, before)
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
     assert len(spark.read.text(path).inputFiles()) > 2
 
 

@@ -24,7 +24,7 @@ from folio.streaming.ingest import (
 from folio.operators import election, keywords, ledger, people, progress, registers, upsert
 from folio.functions import metadata
 from folio.sources import doc_text, dump, html_grid, oai_dc, xoai
-from folio.sources.pages import scan_doc_text, scan_page_folders
+from folio.sources.pages import land_folders, scan_doc_text, scan_page_folders
 from folio.operators.titlepage import extract_titlepage, replace_titlepages
 from folio.plans import queue, reports
 
@@ -344,8 +344,8 @@ def _land(df: DataFrame, path: str) -> None:
 
 def _land_pages(pages: DataFrame, path: str) -> None:
     """Land raw pages one a file, in folders ``page=<file name>``."""
-    pages.select(F.col("file_name").alias("page"), F.col("xml").alias("value")).repartition(
-        "page").write.partitionBy("page").text(path)
+    land_folders(pages.select(F.col("file_name").alias("page"), F.col("xml").alias("value"))
+                 .repartition("page"), path)
 
 
 def q_scan_pages_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -362,8 +362,7 @@ def q_scan_doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marked texts scanned back from a folder per thesis."""
     work = new_work_dir(spark, "j8")
     raw = B.raw_text(spark, sf_dir).withColumn("raw", F.regexp_replace("raw", "\\s+$", ""))
-    raw.select("thesis_id", F.col("raw").alias("value")).write.partitionBy("thesis_id").option(
-        "lineSep", " ").text(f"{work}/texts")
+    land_folders(raw.select("thesis_id", F.col("raw").alias("value")), f"{work}/texts", " ")
     d = doc_text.split_marker(scan_doc_text(spark, f"{work}/texts"))
     return d.select("thesis_id", "n_pages", "kept")
 
@@ -786,8 +785,8 @@ def q_file_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_scan_doc_text_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marked texts scanned back whole; the writer ends each file with one line feed."""
     work = new_work_dir(spark, "j8")
-    B.raw_text(spark, sf_dir).select("thesis_id", F.col("raw").alias("value")).write.partitionBy(
-        "thesis_id").text(f"{work}/texts")
+    land_folders(B.raw_text(spark, sf_dir).select("thesis_id", F.col("raw").alias("value")),
+                 f"{work}/texts")
     scanned = scan_doc_text(spark, f"{work}/texts").withColumn(
         "raw", F.expr("left(raw, length(raw) - 1)"))
     return doc_text.split_marker(scanned).select(

@@ -8,6 +8,11 @@ driver-side loop over names.
 
 from __future__ import annotations
 
+import itertools
+import os
+import re
+
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +55,50 @@ def scan_page_folders(spark: SparkSession, path: str, prefix: str = "oai_dc") ->
         F.col("page").alias("file_name"), F.trim("value").alias("xml"))
 
 
+#: What the folder names of partitions escape, and the name that stands for no value.
+_ESCAPED = re.compile(r"[\x01-\x1f\"#%'*/:=?\\\x7f{\[\]^]")
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def land_folders(rows: DataFrame, path: str, line_sep: str = "\n") -> None:
+    """Rows ``(key, value)`` as raw files in folders ``<key>=<its value>``, laid out as by
+    ``write.partitionBy(key).text(path)``; ``line_sep`` ends each value.
+
+    On a mounted file system Hadoop starts processes (``chmod``) for every file, folder
+    and checksum and the driver moves the folders one by one, so the tasks write the files
+    themselves there. A file appears whole, by a rename, under the name of its partition: a
+    retried task replaces what the lost one wrote.
+    """
+    key = rows.columns[0]
+    jvm = rows.sparkSession.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file":
+        rows.write.option("lineSep", line_sep).partitionBy(key).text(path)
+        return
+    fs.mkdirs(root)
+    base = root.toUri().getPath()
+
+    def folder_name(row):
+        told = _NO_VALUE if row[0] is None or row[0] == "" else _ESCAPED.sub(
+            lambda m: f"%{ord(m[0]):02X}", str(row[0]))
+        return f"{key}={told}"
+
+    def run(part):
+        task = TaskContext.get()
+        name = f"part-{task.partitionId():05d}.txt"
+        unseen = f".{name}.{task.taskAttemptId()}"
+        for told, same in itertools.groupby(part, key=folder_name):
+            folder = os.path.join(base, told)
+            os.makedirs(folder, exist_ok=True)
+            with open(os.path.join(folder, unseen), "wb") as out:
+                for row in same:
+                    out.write((row[1] or "").encode() + line_sep.encode())
+            os.replace(os.path.join(folder, unseen), os.path.join(folder, name))
+
+    rows.sortWithinPartitions(key).foreachPartition(run)
+
+
 def scan_doc_text(spark: SparkSession, path: str) -> DataFrame:
     """Cached texts ``(thesis_id, raw)`` of files ``<id>.txt``, or of folders
     ``thesis_id=<id>``; files with another name are not texts."""

@@ -31,6 +31,12 @@ from folio.plans import queue, reports
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def title_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title-page texts, dealt out: a compact table has few splits, and the patterns cost far more
+    than the move. AQE sets the number of tasks by size and cores."""
+    return B.doc_text_from_titlepages(spark, sf_dir).repartition("thesis_id")
+
+
 def q_titlepage_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     tp = extract_titlepage(B.doc_text_from_titlepages(spark, sf_dir))
     return tp.select("thesis_id", "ects", "degree", "subject", "year_on_page",
@@ -48,7 +54,7 @@ def q_titlepage_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_faculty_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.faculty_summary(extract_titlepage(B.doc_text_from_titlepages(spark, sf_dir)))
+    return reports.faculty_summary(extract_titlepage(title_texts(spark, sf_dir)))
 
 
 # The planning date is an argument, never the clock, so plans are reproducible.
@@ -252,7 +258,7 @@ def q_clean_people_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def titlepages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_titlepage(B.doc_text_from_titlepages(spark, sf_dir))
+    return extract_titlepage(title_texts(spark, sf_dir))
 
 
 def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -78,3 +78,17 @@ def test_heading_without_names_is_null(spark):
     r = _one(spark, "Advisors:\nFaculty of Law\n")
     assert r["advisors"] is None
     assert r["faculty"] == "Law"
+
+
+def test_title_texts_of_one_split_are_read_by_many_tasks(spark):
+    from folio import catalog
+
+    # A small table is a single split; its texts must not be matched in a single task.
+    texts = catalog.title_texts(spark, "/root/testdata/sf0.001")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert catalog.B.doc_text_from_titlepages(
+            spark, "/root/testdata/sf0.001").rdd.getNumPartitions() == 1
+        assert texts.rdd.getNumPartitions() == 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

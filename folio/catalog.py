@@ -426,9 +426,10 @@ INDEXED_AT = dt.datetime(2024, 1, 1, 12, 0, 0)
 
 def indexed_files(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Files of the item pages with their elected role; the pages are read once, stored for the
-    election and the counts."""
+    election and the counts. They are dealt out first: joined to a broadcast side they would come
+    in the few splits of their compact table."""
     return election.elect_primary_tiered(
-        stored(spark, html_grid.parse_file_grid(pages), "grid"))
+        stored(spark, html_grid.parse_file_grid(pages.repartition("thesis_id")), "grid"))
 
 
 def q_file_index_status(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 1. ``language_id``: documents in no known language go; ``lang`` is the predicted one.
 2. ``near_duplicates``: of each group of near-duplicates the document of least id stays.
-3. ``repeated_passages``: passages of 400 bytes or more that stand elsewhere too are cut out.
+3. ``repeated_passages``: passages of over 50 words that stand elsewhere too are cut out.
 4. ``personal_data``: personal data is replaced by its kind in brackets.
 5. ``packing``: what is left is tokenized and packed into sequences of 2048 tokens.
 
@@ -34,7 +34,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _measured(suffix_dedup.removed(spark, docs))
+    return _measured(suffix_dedup.removed(
+        spark, docs, length=suffix_dedup.PASSAGE, unit=suffix_dedup.Words))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

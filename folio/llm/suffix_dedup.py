@@ -1,8 +1,10 @@
 """Removal of long repeated passages by suffix arrays over shards of the corpus.
 
-A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else too.
+A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else too. With
+``Words`` as the unit a word goes if ``PASSAGE`` words that cover it stand anywhere else too;
+below, what is told of bytes holds for the symbols of the unit.
 
-1. Anchors. Winnowing picks the least hash of ``GRAM`` bytes in every window of half
+1. Anchors. Winnowing picks the least hash of ``gram`` bytes in every window of half
    the positions of such a string. Equal strings of ``LENGTH`` bytes hold equal windows, so a window whose least
    hash is picked once in the corpus proves that no string around it repeats. What is
    left are candidate starts; unrelated text has none.
@@ -12,7 +14,8 @@ A byte goes if a string of ``LENGTH`` bytes that covers it starts anywhere else
    repeats. Only keys with a segment that occurs once go on.
 3. Order. Keys are packed into shards of about ``SHARD`` bytes; each shard's suffix array and
    common prefixes come from external induced sorting (``induced_sort``). Neighbours
-   with a common prefix of ``LENGTH`` bytes are repeats. A key of more bytes than a shard is
+   with a common prefix of ``LENGTH`` bytes are repeats; a string of words is the bytes from
+   the space before its first word to that after its last. A key of more bytes than a shard is
    split, so that no task sorts more than a shard and one key: its starts are dealt by the
    128-bit digests of their strings and counted.
 
@@ -25,7 +28,9 @@ other columns are ignored (``removed`` keeps them).
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +40,9 @@ from pyspark.sql import functions as F
 from folio.llm.common import release, staged, text_runs
 from folio.llm.induced_sort import suffix_order
 
+#: Bytes of a string, and words of one: a passage of over 50.
 LENGTH = 400
-GRAM = 32
+PASSAGE = 51
 #: Bytes sorted together: keys are added until so many are reached.
 SHARD = 1 << 20
 #: A key with more bytes than this is split by its strings.
@@ -45,12 +51,79 @@ BATCH_BYTES = 4 << 20
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
-def gram_hashes(data: bytes, gram: int = GRAM) -> np.ndarray:
-    """A 64-bit hash of the ``gram`` bytes at each position that has them."""
-    n = len(data) - gram + 1
+class Bytes:
+    """Lengths count bytes."""
+
+    gram = 32
+
+    @staticmethod
+    def split(data: bytes):
+        """The symbols of a text."""
+        return data
+
+    @staticmethod
+    def numbers(symbols) -> np.ndarray:
+        """A number for each symbol; equal symbols have equal ones."""
+        return np.frombuffer(symbols, dtype=np.uint8).astype(np.uint64)
+
+    @staticmethod
+    def joined(symbols) -> bytes:
+        """Bytes that tell the symbols."""
+        return symbols
+
+    @staticmethod
+    def strings(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each string of ``length`` symbols in what ``joined`` gave, its first byte and
+        its bytes."""
+        at = np.arange(len(data) - length + 1)
+        return at, np.full(len(at), length)
+
+    @staticmethod
+    def places(data: bytes):
+        """The first byte of each symbol of a text, and its end."""
+        return range(len(data) + 1)
+
+
+@functools.lru_cache(maxsize=1 << 17)
+def _digest(word: bytes) -> bytes:
+    return hashlib.blake2b(word, digest_size=8).digest()
+
+
+class Words:
+    """Lengths count words; white space between them does not matter. Han characters and
+    kana, which no white space divides into words, are words by themselves."""
+
+    gram = 8
+    word = re.compile(rb"[\xE3-\xE9][\x80-\xBF]{2}|[^\x20\x09-\x0D\xE3-\xE9]+")
+
+    @classmethod
+    def split(cls, data: bytes):
+        return cls.word.findall(data)
+
+    @staticmethod
+    def numbers(symbols) -> np.ndarray:
+        return np.frombuffer(b"".join(map(_digest, symbols)), dtype=np.uint64)
+
+    @staticmethod
+    def joined(symbols) -> bytes:
+        return b" " + b" ".join(symbols) + b" "
+
+    @staticmethod
+    def strings(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 32)
+        return at[:-length], at[length:] - at[:-length] + 1
+
+    @classmethod
+    def places(cls, data: bytes):
+        return [m.start() for m in cls.word.finditer(data)] + [len(data)]
+
+
+def gram_hashes(symbols, unit=Bytes) -> np.ndarray:
+    """A 64-bit hash of the ``unit.gram`` symbols at each position that has them."""
+    gram, n = unit.gram, len(symbols) - unit.gram + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    x = np.frombuffer(data, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    x = unit.numbers(symbols) + np.uint64(1)
     x = (x * K2) ^ (x << np.uint64(17))
     # Doubling: a hash of 2, 4, ... bytes from two hashes of half the length.
     width = 1
@@ -75,21 +148,21 @@ def window_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1:width - 1 + n])
 
 
-def winnow(length: int) -> int:
-    """Positions in a winnowing window: half of those inside a string of ``length`` bytes."""
-    if length < 2 * GRAM:
-        raise ValueError(f"strings must have {2 * GRAM} bytes at least")
-    return (length - GRAM + 1) // 2
+def winnow(length: int, unit=Bytes) -> int:
+    """Positions in a winnowing window: half of those inside a string of ``length`` symbols."""
+    if length < 2 * unit.gram:
+        raise ValueError(f"strings must have {2 * unit.gram} symbols at least")
+    return (length - unit.gram + 1) // 2
 
 
-def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(symbols, length: int = LENGTH, unit=Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct anchor hashes of a text, the first and last window each is the least of,
     and 1 or 2 (the hash is found once in the text, or more often)."""
-    x = gram_hashes(data)
-    if len(data) < length:
+    if len(symbols) < length:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none, none
-    least = window_least(x, winnow(length))
+    x = gram_hashes(symbols, unit)
+    least = window_least(x, winnow(length, unit))
     begin = np.append(0, np.flatnonzero(least[1:] != least[:-1]) + 1)
     end = np.append(begin[1:], len(least)) - 1
     values, first, runs = np.unique(least[begin], return_index=True, return_counts=True)
@@ -99,12 +172,12 @@ def anchors(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
             np.minimum(np.maximum(found, runs), 2))
 
 
-def candidate_starts(n_bytes: int, unique: list[tuple[int, int]], length: int = LENGTH
+def candidate_starts(n: int, unique: list[tuple[int, int]], length: int = LENGTH, unit=Bytes
                      ) -> list[tuple[int, int]]:
-    """Ranges (first, last) of starts whose string holds no window whose least hash occurs
+    """Ranges (first, last) of starts in ``n`` symbols whose string holds no window whose least hash occurs
     once in the corpus; ``unique`` lists such windows as (first, last)."""
-    room = length - GRAM + 1 - winnow(length)
-    out, at, end = [], 0, n_bytes - length
+    room = length - unit.gram + 1 - winnow(length, unit)
+    out, at, end = [], 0, n - length
     for a, b in sorted(unique):
         if a - room > at:
             out.append((at, min(a - room - 1, end)))
@@ -116,12 +189,12 @@ def candidate_starts(n_bytes: int, unique: list[tuple[int, int]], length: int =
     return out
 
 
-def segments_of(data: bytes, ranges, length: int = LENGTH):
-    """(key, start, end) of the runs of starts in ``ranges`` with one least hash; the text of a
-    segment is data[start:end + length]."""
+def segments_of(symbols, ranges, length: int = LENGTH, unit=Bytes):
+    """(key, start, end) of the runs of starts in ``ranges`` with one least hash; a segment
+    is symbols[start:end + length]."""
     for a, b in ranges:
-        x = gram_hashes(data[a:b + length])
-        least = window_least(x, length - GRAM + 1)
+        x = gram_hashes(symbols[a:b + length], unit)
+        least = window_least(x, length - unit.gram + 1)
         cuts = np.append(np.flatnonzero(np.diff(least)) + 1, len(least))
         begin = 0
         for end in cuts.tolist():
@@ -129,24 +202,25 @@ def segments_of(data: bytes, ranges, length: int = LENGTH):
             begin = end
 
 
-def repeated_starts(segments: list[bytes], length: int = LENGTH) -> list[list[tuple[int, int]]]:
+def repeated_starts(segments: list[bytes], length: int = LENGTH, unit=Bytes
+                    ) -> list[list[tuple[int, int]]]:
     """For each segment, runs (first, last) of starts whose string occurs elsewhere in these
     segments, by the suffix array of their concatenation."""
-    parts, starts, at = [], [], 0
+    parts, starts, strings, at = [], [], [], 0
     for s in segments:
         parts.append(np.frombuffer(s, dtype=np.uint8).astype(np.int32) + 2)
         parts.append(np.ones(1, dtype=np.int32))
         starts.append(at)
+        strings.append(unit.strings(s, length))
         at += len(s) + 1
     text = np.concatenate([*parts, np.zeros(1, dtype=np.int32)])
-    order, lcp = suffix_order(text, length)
-    near = lcp >= length
-    hit = np.zeros(len(text), dtype=bool)
-    hit[order[near]] = True
-    hit[order[np.flatnonzero(near) - 1]] = True
+    order, lcp = suffix_order(text, max(int(size.max()) for _, size in strings))
+    # The longest prefix that a suffix has in common with any other it has with a neighbour.
+    near = np.zeros(len(text), dtype=np.int64)
+    near[order] = np.maximum(lcp, np.append(lcp[1:], 0))
     out = []
-    for s, a in zip(segments, starts):
-        own = np.append(np.append(False, hit[a:a + len(s) - length + 1]), False)
+    for a, (first, size) in zip(starts, strings):
+        own = np.append(np.append(False, near[a + first] >= size), False)
         edge = np.flatnonzero(own[1:] != own[:-1])
         out.append([(int(x), int(y) - 1) for x, y in zip(edge[::2], edge[1::2])])
     return out
@@ -164,25 +238,28 @@ def _bytes_of(column) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def texts_with_anchors(docs: DataFrame, text: str, length: int) -> DataFrame:
-    """One row per document: digest, length, anchors. The text itself is not kept."""
+def texts_with_anchors(docs: DataFrame, text: str, length: int, unit=Bytes) -> DataFrame:
+    """One row per document: digest, number of symbols, anchors. The text itself is not kept."""
 
     def run(batches):
         for batch in text_runs(batches, "text", BATCH_BYTES):
-            data = _bytes_of(batch.column(1))
-            found = [anchors(d, length) for d in data]
+            sizes, found = [], []
+            for data in _bytes_of(batch.column(1)):
+                symbols = unit.split(data)
+                sizes.append(len(symbols))
+                found.append(anchors(symbols, length, unit))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(d) for d in data], pa.int64()),
+                [batch.column(0), pa.array(sizes, pa.int64()),
                  *(pa.array([f[k].astype(np.int64 if k == 0 else np.int32) for f in found],
                             pa.list_(pa.int64() if k == 0 else pa.int32())) for k in range(4))],
-                names=["tkey", "n_bytes", "hashes", "a", "b", "times"])
+                names=["tkey", "n_symbols", "hashes", "a", "b", "times"])
 
     return docs.select(_tkey(text).alias("tkey"), _text(text).alias("text")).mapInArrow(
-        run, "tkey binary, n_bytes long, hashes array<long>, a array<int>, b array<int>, "
+        run, "tkey binary, n_symbols long, hashes array<long>, a array<int>, b array<int>, "
         "times array<int>")
 
 
-def candidates(texts: DataFrame, length: int) -> DataFrame:
+def candidates(texts: DataFrame, length: int, unit=Bytes) -> DataFrame:
     """``(u, tkey, copies, firsts, lasts)`` of the texts with candidate starts."""
     seen = texts.select("u", "copies", F.explode(F.arrays_zip("hashes", "a", "b", "times"))
                         .alias("x")).select("u", "copies", "x.*")
@@ -193,8 +270,8 @@ def candidates(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            ranges = [candidate_starts(n, [(x["a"], x["b"]) for x in w or []], length) for n, w in
-                      zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+            ranges = [candidate_starts(n, [(x["a"], x["b"]) for x in w or []], length, unit)
+                      for n, w in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
             keep = pa.array([bool(r) for r in ranges])
             firsts = pa.array([[a for a, _ in r] for r in ranges], pa.list_(pa.int32()))
             lasts = pa.array([[b for _, b in r] for r in ranges], pa.list_(pa.int32()))
@@ -202,40 +279,41 @@ def candidates(texts: DataFrame, length: int) -> DataFrame:
                 [*(c.filter(keep) for c in (*batch.columns[:3], firsts, lasts))],
                 names=["u", "tkey", "copies", "firsts", "lasts"])
 
-    long = texts.where(F.col("n_bytes") >= length)
+    long = texts.where(F.col("n_symbols") >= length)
     return long.join(unique, "u", "left").select(
-        "u", "tkey", "copies", "n_bytes", "unique").mapInArrow(
+        "u", "tkey", "copies", "n_symbols", "unique").mapInArrow(
         run, "u long, tkey binary, copies long, firsts array<int>, lasts array<int>")
 
 
-def segment_rows(found: DataFrame, length: int) -> DataFrame:
-    """``(key, seg, data, u, start, copies)`` for the texts ``(u, copies, firsts, lasts, text)``."""
+def segment_rows(found: DataFrame, length: int, unit=Bytes) -> DataFrame:
+    """``(key, seg, data, last, u, start, copies)``, ``last`` the last start of a segment, for the texts ``(u, copies, firsts, lasts, text)``."""
 
     def run(batches):
         for batch in text_runs(batches, "text", BATCH_BYTES):
             rows = []
             for u, copies, firsts, lasts, data in zip(
                     *(c.to_pylist() for c in batch.columns[:4]), _bytes_of(batch.column(4))):
-                for key, a, b in segments_of(data, zip(firsts, lasts), length):
-                    piece = data[a:b + length]
-                    rows.append((key, hashlib.md5(piece).digest(), piece, u, a, copies))
+                symbols = unit.split(data)
+                for key, a, b in segments_of(symbols, zip(firsts, lasts), length, unit):
+                    piece = unit.joined(symbols[a:b + length])
+                    rows.append((key, hashlib.md5(piece).digest(), piece, b - a, u, a, copies))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (
-                        pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32(),
-                        pa.int64()))], names=["key", "seg", "data", "u", "start", "copies"])
+                        pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int32(),
+                        pa.int64()))], names=["key", "seg", "data", "last", "u", "start", "copies"])
 
     return found.select("u", "copies", "firsts", "lasts", "text").mapInArrow(
-        run, "key long, seg binary, data binary, u long, start int, copies long")
+        run, "key long, seg binary, data binary, last int, u long, start int, copies long")
 
 
-def repeats_in_shards(open_segments: DataFrame, partitions: int, length: int, shard_bytes: int
-                      ) -> DataFrame:
+def repeats_in_shards(open_segments: DataFrame, partitions: int, length: int, shard_bytes: int,
+                      unit=Bytes) -> DataFrame:
     """``(seg, first, last)``: runs of repeated starts in segments ``(key, seg, data)``. A shard
     is closed at the first key after ``shard_bytes``, so it holds whole keys."""
 
     def flush(held):
-        runs = repeated_starts([d for _, d in held], length)
+        runs = repeated_starts([d for _, d in held], length, unit)
         rows = [(s, a, b) for (s, _), r in zip(held, runs) for a, b in r]
         if rows:
             yield pa.RecordBatch.from_arrays(
@@ -261,7 +339,7 @@ def repeats_in_shards(open_segments: DataFrame, partitions: int, length: int, sh
         run, "seg binary, first int, last int")
 
 
-def repeats_by_string(spark: SparkSession, hot: DataFrame, length: int) -> DataFrame:
+def repeats_by_string(spark: SparkSession, hot: DataFrame, length: int, unit=Bytes) -> DataFrame:
     """The same for keys larger than a shard: each segment's strings fold by their digests, with
     the places they start at, and are dealt by digest."""
 
@@ -269,8 +347,9 @@ def repeats_by_string(spark: SparkSession, hot: DataFrame, length: int) -> DataF
         for batch in text_runs(batches, "data", BATCH_BYTES):
             for seg, data in zip(*(c.to_pylist() for c in batch.columns)):
                 places: dict[bytes, list[int]] = {}
-                for at in range(len(data) - length + 1):
-                    places.setdefault(hashlib.md5(data[at:at + length]).digest(), []).append(at)
+                for at, (first, size) in enumerate(zip(*(x.tolist() for x in unit.strings(
+                        data, length)))):
+                    places.setdefault(hashlib.md5(data[first:first + size]).digest(), []).append(at)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([seg] * len(places), pa.binary()),
                      pa.array(list(places), pa.binary()),
@@ -291,22 +370,22 @@ def repeats_by_string(spark: SparkSession, hot: DataFrame, length: int) -> DataF
 
 def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text",
                    length: int = LENGTH, shard_bytes: int = SHARD,
-                   largest_key: int = LARGEST_KEY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents' digests in order of rows, repeated starts ``(u, first, last)`` of the distinct
-    texts, the texts that have candidates ``(u, tkey, text)``)."""
-    rows = staged(spark, texts_with_anchors(docs, text, length), "suffix")
+                   largest_key: int = LARGEST_KEY, unit=Bytes) -> tuple[DataFrame, DataFrame]:
+    """(repeated starts ``(u, first, last)`` of the distinct texts, the texts that have
+    candidates ``(u, tkey, text)``)."""
+    rows = texts_with_anchors(docs, text, length, unit)
     texts = staged(spark, rows.groupBy("tkey").agg(
-        F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"),
+        F.count(F.lit(1)).alias("copies"), F.first("n_symbols").alias("n_symbols"),
         F.first(F.struct("hashes", "a", "b", "times")).alias("x")).select(
-        "tkey", "copies", "n_bytes", "x.*", F.monotonically_increasing_id().alias("u")), "suffix")
-    found = staged(spark, candidates(texts, length), "suffix")
+        "tkey", "copies", "n_symbols", "x.*", F.monotonically_increasing_id().alias("u")), "suffix")
+    found = staged(spark, candidates(texts, length, unit), "suffix")
     bodies = docs.select(_tkey(text).alias("tkey"), _text(text).alias("text")).groupBy("tkey").agg(
         F.first("text").alias("text"))
     found = staged(spark, bodies.join(found, "tkey"), "suffix")
-    segments = staged(spark, segment_rows(found, length), "suffix")
+    segments = staged(spark, segment_rows(found, length, unit), "suffix")
     folded = staged(spark, segments.groupBy("seg").agg(
         F.sum("copies").alias("times"), F.first("key").alias("key"),
-        F.first("data").alias("data")), "suffix")
+        F.first("data").alias("data"), F.first("last").alias("last")), "suffix")
 
     keys = folded.groupBy("key").agg(F.min("times").alias("least"),
                                      F.sum(F.octet_length("data") + 1).alias("size")).where(
@@ -316,24 +395,24 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, text: str = "text",
     total = cool.agg(F.sum("size")).collect()[0][0] or 0
     shards = -(-total // shard_bytes)
     parts = [folded.where("times > 1").select(
-        "seg", F.lit(0).alias("first"), (F.octet_length("data") - length).alias("last"))]
+        "seg", F.lit(0).alias("first"), "last")]
     if total:
         parts.append(repeats_in_shards(folded.join(cool, "key"), shards, length,
-                                       shard_bytes))
+                                       shard_bytes, unit))
     hot = keys.where(F.col("size") > largest_key)
     if hot.limit(1).count():
-        parts.append(repeats_by_string(spark, folded.join(hot, "key"), length))
+        parts.append(repeats_by_string(spark, folded.join(hot, "key"), length, unit))
     runs = parts[0]
     for p in parts[1:]:
         runs = runs.unionByName(p)
     spans = runs.join(segments.select("seg", "u", "start"), "seg").select(
         "u", (F.col("start") + F.col("first")).alias("first"),
         (F.col("start") + F.col("last")).alias("last"))
-    return rows, spans, found.select("u", "tkey", "text")
+    return spans, found.select("u", "tkey", "text")
 
 
 def merged(firsts, lasts, length: int) -> list[tuple[int, int]]:
-    """Maximal runs (start, end) of bytes covered by the strings that start in the ranges."""
+    """Maximal runs (start, end) of symbols covered by the strings that start in the ranges."""
     out: list[list[int]] = []
     for a, b in sorted(zip(firsts, lasts)):
         if out and a <= out[-1][1]:
@@ -344,11 +423,10 @@ def merged(firsts, lasts, length: int) -> list[tuple[int, int]]:
 
 
 def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length: int = LENGTH,
-              shard_bytes: int = SHARD,
-              largest_key: int = LARGEST_KEY) -> tuple[DataFrame, DataFrame]:
-    """(documents' digests, ``(tkey, n_removed, n_spans, kept_sha256, kept)`` of the distinct texts
-    that lose bytes; ``kept`` holds the remaining bytes)."""
-    rows, spans, found = repeated_spans(spark, docs, text, length, shard_bytes, largest_key)
+              shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY, unit=Bytes) -> DataFrame:
+    """``(tkey, n_removed, n_spans, kept_sha256, kept)`` of the distinct texts that lose bytes;
+    ``kept`` holds the remaining bytes. White space goes with the word before it."""
+    spans, found = repeated_spans(spark, docs, text, length, shard_bytes, largest_key, unit)
     release(spark)
     lists = spans.distinct().groupBy("u").agg(
         F.collect_list(F.struct("first", "last")).alias("runs"))
@@ -358,10 +436,10 @@ def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length:
             out = []
             for runs, data in zip(batch.column(1).to_pylist(), _bytes_of(batch.column(2))):
                 gone = merged([r["first"] for r in runs], [r["last"] for r in runs], length)
-                kept, at = [], 0
+                places, kept, at = unit.places(data), [], 0
                 for a, b in gone:
-                    kept.append(data[at:a])
-                    at = b
+                    kept.append(data[at:places[a]])
+                    at = places[b]
                 kept = b"".join(kept) + data[at:]
                 out.append((len(data) - len(kept), len(gone), hashlib.sha256(kept).hexdigest(),
                             kept))
@@ -370,16 +448,15 @@ def cut_texts(spark: SparkSession, docs: DataFrame, text: str = "text", length:
                     pa.int64(), pa.int64(), pa.string(), pa.binary())))],
                 names=["tkey", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    cut = found.join(lists, "u").select("tkey", "runs", "text").mapInArrow(
+    return found.join(lists, "u").select("tkey", "runs", "text").mapInArrow(
         run, "tkey binary, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return rows, cut
 
 
 def report(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
            length: int = LENGTH, shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY) -> DataFrame:
     """``(key, n_bytes, n_removed, n_spans, kept_sha256, repeated)`` of every document; ``repeated``
     tells that it loses bytes."""
-    _, cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key)
+    cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key)
     utf8 = _text(text).cast("binary")
     whole = docs.select(F.col(key).alias(key), _tkey(text).alias("tkey"),
                         F.octet_length(utf8).cast("long").alias("n_bytes"),
@@ -392,10 +469,10 @@ def report(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str
 
 
 def removed(spark: SparkSession, docs: DataFrame, text: str = "text", length: int = LENGTH,
-            shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY) -> DataFrame:
+            shard_bytes: int = SHARD, largest_key: int = LARGEST_KEY, unit=Bytes) -> DataFrame:
     """``docs`` with the repeated passages cut out of ``text``. Bytes of a character that is
     only partly covered stay out, so the text is valid."""
-    _, cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key)
+    cut = cut_texts(spark, docs, text, length, shard_bytes, largest_key, unit)
 
     def run(batches):
         for batch in text_runs(batches, "kept", BATCH_BYTES):

@@ -30,6 +30,15 @@ def test_empty_and_null_documents(spark, make_docs):
             assert out.count() <= 4
 
 
+def test_passages_of_over_fifty_words_are_cut(spark, make_docs):
+    passage = " ".join(f"w{i}" for i in range(51))
+    texts = [f"here {passage} ends", f"another text has {passage}", f"only {passage[:-1]}x y"]
+    docs = make_docs(list(enumerate(texts))).select("doc_id", "text", "lang", "source", "n_chars")
+    out = {r["doc_id"]: (r["text"], r["n_chars"])
+           for r in corpus_pipeline.repeated_passages(spark, docs, SF).collect()}
+    assert out == {0: ("here ends", 9), 1: ("another text has ", 17), 2: (texts[2], len(texts[2]))}
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
     assert "pipeline" in names

@@ -79,3 +79,52 @@ def test_cut_documents_keep_their_columns(spark, make_docs):
     by_id = {r["doc_id"]: r["text"] for r in out.collect() if r["doc_id"] != 3}
     assert by_id[0] is None and by_id[4] == texts[4] and by_id[7] == ""
     assert S.report(spark, docs.limit(0)).count() == 0 == S.removed(spark, docs.limit(0)).count()
+
+
+def brute_words(texts, length=S.PASSAGE):
+    places = [[m.span() for m in S.Words.word.finditer((t or "").encode())] for t in texts]
+    words = [[(t or "").encode()[a:b] for a, b in p] for t, p in zip(texts, places)]
+    seen = {}
+    for w in words:
+        for i in range(len(w) - length + 1):
+            seen[tuple(w[i:i + length])] = seen.get(tuple(w[i:i + length]), 0) + 1
+    out = []
+    for t, p, w in zip(texts, places, words):
+        gone = [False] * len(w)
+        for i in range(len(w) - length + 1):
+            if seen[tuple(w[i:i + length])] > 1:
+                gone[i:i + length] = [True] * length
+        data = (t or "").encode()
+        at = p[0][0] if p else 0
+        kept = data[:at]
+        for i, g in enumerate(gone):
+            end = p[i + 1][0] if i + 1 < len(p) else len(data)
+            kept += b"" if g else data[at:end]
+            at = end
+        out.append((kept + data[at:]).decode() if any(gone) else t)
+    return out
+
+
+@pytest.mark.parametrize("shard,key", [(S.SHARD, S.LARGEST_KEY), (2000, 3000)])
+def test_passages_of_words_equal_brute_force(spark, make_docs, shard, key):
+    rng = random.Random(7)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6)))
+                        for _ in range(n))
+
+    passage, edge, long = prose(51), prose(50), prose(90)
+    han = "".join(chr(0x4E00 + rng.randrange(2000)) for _ in range(70))
+    texts = [None, "", prose(50), prose(300), f"{prose(40)} {passage} {prose(30)}",
+             f"{prose(7)}\n{passage}\n{prose(80)}", f"{prose(60)} {edge} {prose(60)}",
+             f"{edge} {prose(60)}", long, "  " + long.replace(" ", "\n\t") + "\n", "x" + long,
+             "a b " * 90, f"{prose(30)} {han}", f"{han} {prose(30)}", "q" * 900, "q" * 900 + " r"]
+    texts += [f"{prose(rng.randint(0, 9))} {long} {prose(rng.randint(0, 9))}" for _ in range(40)]
+    assert len(passage.encode()) < S.LENGTH
+    docs = make_docs(list(enumerate(texts))).repartition(4)
+    got = {r["doc_id"]: r["text"] for r in S.removed(
+        spark, docs, length=S.PASSAGE, shard_bytes=shard, largest_key=key,
+        unit=S.Words).select("doc_id", "text").collect()}
+    want = brute_words(texts)
+    assert [got[i] for i in range(len(texts))] == want
+    assert passage not in want[4] and edge in want[6] and want[9] == "  " and han[5:60] not in want[12]

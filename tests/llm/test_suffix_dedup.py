@@ -128,3 +128,55 @@ def test_passages_of_words_equal_brute_force(spark, make_docs, shard, key):
     want = brute_words(texts)
     assert [got[i] for i in range(len(texts))] == want
     assert passage not in want[4] and edge in want[6] and want[9] == "  " and han[5:60] not in want[12]
+
+
+def test_words_and_anchors_of_many_texts_are_those_of_each():
+    rng = random.Random(9)
+    alphabet = [32, 9, 13, 14, 8, 97, 98, 0xE3, 0xE9, 0xEA, 0x80, 0xBF, 0xC3]
+    for _ in range(3000):
+        data = bytes(rng.choice(alphabet) for _ in range(rng.randint(0, 14)))
+        words = S.Words.split(data)
+        assert [*zip(words.begin.tolist(), words.end.tolist())] == [
+            m.span() for m in S.Words.word.finditer(data)]
+    for unit, length in ((S.Bytes, 80), (S.Words, 18)):
+        texts = ["".join(rng.choice("ab é中 "[:rng.choice([2, 6])]) for _ in range(n)).encode()
+                 for n in [0, 5, 17, 18, 79, 80, 81, 300, 2, 500, 0, 900] * 2]
+        sizes, text, *rest = S.anchors(texts, length, unit)
+        for i, t in enumerate(texts):
+            n, _, *own = S.anchors([t], length, unit)
+            assert sizes[i] == n[0] == len(unit.split(t))
+            assert [x[text == i].tolist() for x in rest] == [x.tolist() for x in own]
+
+
+@pytest.mark.parametrize("shard,key", [(S.SHARD, S.LARGEST_KEY), (2000, 3000)])
+def test_report_tells_passages_of_over_fifty_words(spark, make_docs, shard, key):
+    rng = random.Random(11)
+
+    def prose(n):
+        return " ".join("".join(rng.choice("abcdé") for _ in range(rng.randint(1, 6)))
+                        for _ in range(n))
+
+    passage, edge, long, row = prose(51), prose(50), prose(160), prose(9).replace(" ", "")
+    texts = [None, "", prose(200), f"{prose(40)} {passage} {prose(30)}",
+             f"{prose(7)}\n{passage.replace(' ', '  ')}\n{prose(80)}",
+             f"{prose(60)} {edge} {prose(60)}", f"{edge} {prose(60)}",
+             f"{prose(60)} {long} {prose(9)}", f"{long} {prose(80)}", prose(70), "a b " * 90,
+             f"{prose(5)} {row * 20}", f"{row * 20} {prose(60)}"]
+    texts += [texts[9]] + [f"{prose(rng.randint(0, 9))} {passage} {prose(3)}" for _ in range(20)]
+    assert len(passage.encode()) < S.LENGTH < len(long.encode())
+    docs = make_docs(list(enumerate(texts))).repartition(4)
+    got = {r["doc_id"]: r for r in S.report(spark, docs, shard_bytes=shard,
+                                            largest_key=key).collect()}
+    words = [(t or "").split() for t in texts]
+    seen = {}
+    for w in words:
+        for i in range(len(w) - 50):
+            seen[tuple(w[i:i + 51])] = seen.get(tuple(w[i:i + 51]), 0) + 1
+    want = [len({j for i in range(len(w) - 50) if seen[tuple(w[i:i + 51])] > 1
+                 for j in range(i, i + 51)}) for w in words]
+    assert [got[i]["n_passage_words"] for i in range(len(texts))] == want
+    assert [got[i]["has_passage"] for i in range(len(texts))] == [n > 0 for n in want]
+    assert want[3:9] == [51, 51, 0, 0, 160, 160] and not got[3]["repeated"]
+    assert got[7]["repeated"] and got[11]["repeated"] and not want[11]
+    assert [(got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], got[i]["kept_sha256"])
+            for i in range(len(texts))] == brute(texts)

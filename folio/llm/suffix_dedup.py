@@ -532,16 +532,20 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, looked_for: Strings, te
         F.first(F.struct("which", "hashes", "a", "b", "times")).alias("x")).select(
         "tkey", "copies", "n_symbols", "x.*", F.monotonically_increasing_id().alias("u")), "suffix")
     found = staged(spark, candidates(texts, looked_for), "suffix")
+    release(spark)
     bodies = docs.select(_tkey(text).alias("tkey"), _text(text).alias("text")).groupBy("tkey").agg(
         F.first("text").alias("text"))
     found = staged(spark, bodies.join(found, "tkey"), "suffix")
     segments = staged(spark, segment_rows(found, looked_for), "suffix")
     folded = staged(spark, segments.groupBy("seg").agg(
         F.sum("copies").alias("times"), *(F.first(c).alias(c) for c in (
-            "which", "key", "data", "last", "alone"))), "suffix")
+            "which", "key", "last", "alone")),
+        F.first(F.octet_length("data") + 1).alias("size"),
+        F.min(F.struct("u", "start")).alias("one")), "suffix")
+    release(spark)
 
     keys = folded.groupBy("which", "key").agg(
-        F.min("times").alias("least"), F.sum(F.octet_length("data") + 1).alias("size"),
+        F.min("times").alias("least"), F.sum("size").alias("size"),
         ((F.count(F.lit(1)) == 1) & F.min("alone")).alias("alone")).where(
         "least = 1 and not alone").select("which", "key", "size")
     keys = staged(spark, keys, "suffix")
@@ -550,12 +554,18 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, looked_for: Strings, te
     shards = -(-total // shard_bytes)
     parts = [folded.where("times > 1").select(
         "seg", F.lit(0).alias("first"), "last")]
+
+    def bodies_of(some: DataFrame) -> DataFrame:
+        """``(which, key, seg, data)`` of the distinct segments of some keys."""
+        ones = folded.join(some, ["which", "key"]).select(
+            "which", "key", "seg", "one.u", "one.start")
+        return segments.select("seg", "data", "u", "start").join(ones, ["seg", "u", "start"])
+
     if total:
-        parts.append(repeats_in_shards(folded.join(cool, ["which", "key"]), shards, looked_for,
-                                       shard_bytes))
+        parts.append(repeats_in_shards(bodies_of(cool), shards, looked_for, shard_bytes))
     hot = keys.where(F.col("size") > largest_key)
     if hot.limit(1).count():
-        parts.append(repeats_by_string(spark, folded.join(hot, ["which", "key"]), looked_for))
+        parts.append(repeats_by_string(spark, bodies_of(hot), looked_for))
     runs = parts[0]
     for p in parts[1:]:
         runs = runs.unionByName(p)

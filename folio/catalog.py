@@ -24,7 +24,7 @@ from folio.streaming.ingest import (
 from folio.operators import election, keywords, ledger, people, progress, registers, upsert
 from folio.functions import metadata
 from folio.sources import doc_text, dump, html_grid, oai_dc, xoai
-from folio.sources.pages import land_folders, scan_doc_text, scan_page_folders
+from folio.sources.pages import land_folders, land_pages, scan_doc_text, scan_page_folders
 from folio.operators.titlepage import extract_titlepage, replace_titlepages
 from folio.plans import queue, reports
 
@@ -348,16 +348,10 @@ def _land(df: DataFrame, path: str) -> None:
     df.write.parquet(path)
 
 
-def _land_pages(pages: DataFrame, path: str) -> None:
-    """Land raw pages one a file, in folders ``page=<file name>``."""
-    land_folders(pages.select(F.col("file_name").alias("page"), F.col("xml").alias("value"))
-                 .repartition("page"), path)
-
-
 def q_scan_pages_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw pages scanned back from the store, with their record counts."""
     work = new_work_dir(spark, "j1")
-    _land_pages(B.oai_pages(spark, sf_dir), f"{work}/pages")
+    land_pages(B.oai_pages(spark, sf_dir), f"{work}/pages")
     routed = oai_dc.route_page_errors(oai_dc.parse_pages(
         scan_page_folders(spark, f"{work}/pages")))
     return routed.select("file_name", "page_status", F.coalesce(
@@ -376,8 +370,8 @@ def q_scan_doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_pages_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ST1: raw pages arrive one a file; the stream parses them into bronze."""
     work = new_work_dir(spark, "st1")
-    _land_pages(B.oai_pages(spark, sf_dir), f"{work}/landing")
-    run_to_bronze(spark, f"{work}/landing", "value STRING, page STRING",
+    land_pages(B.oai_pages(spark, sf_dir), f"{work}/landing")
+    run_to_bronze(spark, f"{work}/landing", "value STRING",
                   lambda b: _records(raw_pages(b)), f"{work}/bronze",
                   checkpoint_dir(f"{work}/checkpoint", prefix="oai_dc"), wholetext=True)
     return _flat(read_bronze(spark, f"{work}/bronze", ["file_name", "pos"]))

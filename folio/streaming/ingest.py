@@ -15,6 +15,7 @@ do not depend on how files fell into batches, nor on their order.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 from collections.abc import Callable
 
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from folio.operators import registers as reg
 from folio.sinks.table import VersionedTable
+from folio.sources.pages import page_of
 
 PAGE_SCHEMA = "file_name STRING, xml STRING"
 
@@ -52,8 +54,8 @@ def run_to_bronze(
 ) -> None:
     """Process every file in ``source_dir`` not seen by ``checkpoint`` and write the
     transformed rows below ``bronze_dir``. Files are Parquet, or with ``wholetext``
-    one raw page each in folders ``page=<name>``. ``then(rows, run, batch)`` gets the
-    bronze rows of each batch once they are stored.
+    one raw page each, named by its file or in folders ``page=<name>``. ``then(rows, run,
+    batch)`` gets the bronze rows of each batch once they are stored.
 
     ``trigger(availableNow=True)`` drains what is there in (possibly several)
     micro-batches and stops, so the same code serves a scheduled batch run
@@ -63,7 +65,8 @@ def run_to_bronze(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if wholetext:
-        src = reader.text(source_dir, wholetext=True)
+        src = reader.text(source_dir, wholetext=True).withColumn(
+            "page", page_of(F.col("_metadata.file_path")))
     else:
         src = reader.parquet(source_dir)
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
@@ -75,13 +78,31 @@ def run_to_bronze(
         if then:
             then(spark.read.schema(rows.schema).parquet(path).drop("stored_at"), run, epoch_id)
 
-    q = (
-        src.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    with small_files(spark) if wholetext else contextlib.nullcontext():
+        q = (
+            src.writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+
+
+@contextlib.contextmanager
+def small_files(spark: SparkSession):
+    """While it holds, a listing takes a few tasks a core, not one a path up to 10,000, and a
+    file counts little besides its bytes, so that a task reads more than 32 of them."""
+    put = {"spark.sql.sources.parallelPartitionDiscovery.parallelism":
+           str(4 * spark.sparkContext.defaultParallelism),
+           "spark.sql.files.openCostInBytes": str(64 << 10)}
+    before = {name: spark.conf.get(name, None) for name in put}
+    try:
+        for name, value in put.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def merge_batches(table: VersionedTable, registers_of: Callable[[DataFrame], DataFrame],

@@ -141,6 +141,12 @@ def _records(pages: DataFrame) -> DataFrame:
     return oai_dc.parse_oai_dc(pages, fail_on_error=False)
 
 
+def _dealt_records(pages: DataFrame) -> DataFrame:
+    """The same of a batch of few files, dealt out before the parse: a file is one split, and its
+    one task would parse all its pages. AQE sets the number of tasks by size and cores."""
+    return _records(pages.repartition("file_name"))
+
+
 def q_rejected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages whose records a harvest lacks, with the reason."""
     return oai_dc.rejected_pages(B.oai_pages(spark, sf_dir))
@@ -550,7 +556,7 @@ def q_silver_metadata_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n in (1, 4, 7):
         table = VersionedTable(spark, f"{work}/silver-{n}", ["thesis_id"], buckets=16)
         run_to_bronze(
-            spark, f"{work}/landing", PAGE_SCHEMA, _records, f"{work}/bronze-{n}",
+            spark, f"{work}/landing", PAGE_SCHEMA, _dealt_records, f"{work}/bronze-{n}",
             checkpoint_dir(f"{work}/checkpoint", batches=n), max_files_per_trigger=28 // n,
             then=merge_batches(table, upsert.metadata_registers,
                                lambda r: r.select(F.col("id").alias("thesis_id"))))

@@ -45,3 +45,26 @@ def test_landed_pages_are_streamed_under_their_names(spark):
     # A listing used to take a task a folder, up to 10,000, and a task 32 files at most.
     assert seen == [4 * spark.sparkContext.defaultParallelism, 64 << 10]
     assert [spark.conf.get(n) for n in names] == before
+
+
+@pytest.mark.parametrize("layout", ["folders", "files"])
+def test_texts_are_scanned_without_a_list_in_the_driver(spark, tmp_path, layout):
+    texts = {1: "one\n", 20: "two\r\n\n", 3: "", 4: "á" * 5000}
+    for i, text in texts.items():
+        folder = tmp_path / f"thesis_id={i}" if layout == "folders" else tmp_path
+        folder.mkdir(exist_ok=True)
+        (folder / ("part-0.txt" if layout == "folders" else f"{i}.txt")).write_bytes(text.encode())
+        (folder / ".part-0.txt.1").write_text("unseen")
+        (folder / "_SUCCESS").write_text("")
+    got = scan_doc_text(spark, str(tmp_path))
+    # The driver's list held every file, about a kilobyte each.
+    assert got.inputFiles() == []
+    assert {r.thesis_id: r.raw for r in got.collect()} == texts
+
+
+def test_pages_of_a_batch_of_few_files_are_dealt_out(spark):
+    from folio.catalog import _dealt_records
+
+    pages = spark.createDataFrame([("oai_dc_a_000000.xml", "<a/>")], "file_name string, xml string")
+    plan = _dealt_records(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(file_name" in plan
